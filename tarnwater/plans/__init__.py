@@ -1,6 +1,6 @@
 """Registered queries over the shared tables, each with its SQL twin where one exists."""
 
-from tarnwater.plans import logs, relational, sources  # noqa: F401
+from tarnwater.plans import arrays, candidates, logs, relational, scalars, sources, splits, text  # noqa: F401
 from tarnwater.plans.registry import REGISTRY
 
 __all__ = ["REGISTRY"]
