@@ -30,6 +30,17 @@ def keyed_uniform(seed: int, *keys: Column | str) -> Column:
     return _word(keyed_digest(seed, *keys), 0) / F.lit(float(SPAN))
 
 
+def keyed_below(seed: int, share: float, *keys: Column | str) -> Column:
+    """``keyed_uniform(...) < share`` by comparing the hex digits, without turning them into a number."""
+    return keyed_digest(seed, *keys) < F.lit(share_limit(share))
+
+
+def share_limit(share: float) -> str:
+    """Hex digits that a digest stays below with the given probability."""
+    limit = math.ceil(min(max(share, 0.0), 1.0) * SPAN)
+    return "g" if limit >= SPAN else f"{limit:0{HEX_DIGITS}x}"
+
+
 def keyed_normal(seed: int, *keys: Column | str) -> Column:
     """Standard normal number for the key (two uniform words, polar form)."""
     digest = keyed_digest(seed, *keys)

@@ -68,6 +68,12 @@ def perceptron(label: str, layers: Sequence[int], features: str = "features", **
     return MultilayerPerceptronClassifier(labelCol=label, featuresCol=features, layers=list(layers), **settings)
 
 
+def compact_rows(df: DataFrame, columns: Sequence[str], weight: str = "weight") -> DataFrame:
+    """Equal training rows as one row with their number as weight. With few distinct rows every iteration of a weighted
+    fit then costs as good as nothing, and the result is the same."""
+    return df.groupBy(*columns).agg(F.count("*").cast("double").alias(weight))
+
+
 def coefficient_table(model, features: Sequence[str], df: DataFrame) -> DataFrame:
     """Intercept and one coefficient per feature; zeros of a sparse result included."""
     values = [float(v) for v in model.coefficients.toArray()]

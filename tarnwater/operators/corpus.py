@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
@@ -73,40 +74,65 @@ def word_ids(tokenized: DataFrame, key: str, numbered: DataFrame, column: str =
 
 
 def _lookup(tokenized, key, numbered, column, wanted, top_n):
-    # a document's words meet again in one array no longer than the document itself; combining starts in the map task
-    long = tokenized.select(key, F.posexplode_outer(column).alias("pos", "word"))
-    matched = long.join(_bounded(numbered, top_n), "word", "left")
-    hit = F.when(F.col("word_id").isNotNull(), F.struct("pos", wanted))
-    grouped = matched.groupBy(key).agg(F.array_sort(F.collect_list(hit)).alias("_hits"))
-    return grouped.select(key, F.col(f"_hits.{wanted}").alias("found"))
+    # unknown words are dropped before grouping; a document's words meet again in one array no longer than the document
+    long = tokenized.select(key, F.posexplode(column).alias("pos", "word"))
+    hits = long.join(_bounded(numbered, top_n), "word").select(key, F.struct("pos", wanted).alias("hit"))
+    grouped = hits.groupBy(key).agg(F.array_sort(F.collect_list("hit")).alias("_hits"))
+    found = grouped.select(key, F.col(f"_hits.{wanted}").alias("found"))
+    nothing = F.array().cast(found.schema["found"].dataType)
+    return tokenized.select(key).join(found, key, "left").withColumn("found", F.coalesce("found", nothing))
 
 
-def longest(indexed: DataFrame, column: str = "ids") -> DataFrame:
-    """Length of the longest list over all documents."""
-    return indexed.agg(F.max(F.size(column)).alias("max_length"))
+def known_counts(tokenized: DataFrame, key: str, numbered: DataFrame, top_n: int = VOCABULARY_SIZE, column: str = "tokens") -> DataFrame:
+    """Known words per document as counts (key, ids, times, n_ids), ids ascending: all that sizes and mean vectors need.
 
-
-def words_per_label(indexed: DataFrame, labels: DataFrame, key: str, label: str, column: str = "ids") -> DataFrame:
+    The bounded vocabulary becomes a count vectorizer, which looks words up inside the row: no explode, no shuffle.
+    """
+    if not 0 < top_n <= SMALL_VOCABULARY:
+        indexed = word_ids(tokenized, key, numbered, column, top_n)
+        pairs = indexed.select(key, F.explode_outer("ids").alias("id")).groupBy(key, "id").agg(F.count("id").alias("times"))
+        kept = F.array_compact(F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("id", F.col("times").cast("int"))))))
+        found = pairs.groupBy(key).agg(kept.alias("_c")).select(key, F.col("_c.id").alias("ids"), F.col("_c.times").alias("times"))
+    else:
+        words = [row["word"] for row in numbered.orderBy("word_id").select("word").collect()]
+        if not words:
+            none = F.array().cast("array<int>")
+            return tokenized.select(key, none.alias("ids"), none.alias("times"), F.lit(0).alias("n_ids"))
+        model = CountVectorizerModel.from_vocabulary(words, inputCol=column, outputCol="_counts")
+        dense = vector_to_array("_counts")
+        # positions of the non-zero cells of the bounded count vector
+        cells = F.filter(F.transform(dense, lambda n, i: F.struct(i.alias("id"), n.cast("int").alias("n"))), lambda c: c["n"] > 0)
+        found = model.transform(tokenized.select(key, column)).select(key, cells.alias("_c"))
+        found = found.select(key, F.col("_c.id").alias("ids"), F.col("_c.n").alias("times"))
+    return found.withColumn("n_ids", F.aggregate("times", F.lit(0), lambda a, n: a + n))
+
+
+def longest(counted: DataFrame) -> DataFrame:
+    """Known words of the longest document."""
+    return counted.agg(F.max("n_ids").alias("max_length"))
+
+
+def words_per_label(counted: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
     """Known words per label."""
-    sized = indexed.select(key, F.size(column).cast("bigint").alias("_n"))
+    sized = counted.select(key, F.col("n_ids").cast("bigint").alias("_n"))
     return sized.join(labels.select(key, label), key).groupBy(label).agg(F.sum("_n").alias("n_words"))
 
 
-def document_vectors(
-    indexed: DataFrame, key: str, vectors: DataFrame, dedupe: bool = True, column: str = "ids", bound: int = VOCABULARY_SIZE
-) -> DataFrame:
+def document_vectors(counted: DataFrame, key: str, vectors: DataFrame, dedupe: bool = True, bound: int = VOCABULARY_SIZE) -> DataFrame:
     """Mean of the word vectors of a document (key, n_ids, vector); NULL for a document without known words.
 
-    ``vectors`` holds (word_id, vector). With ``dedupe`` each distinct word is summed once but the sum is divided by the
-    number of words with repeats; without it the result is the plain mean. Only (key, word_id, times) is exploded, and
-    the vector sums are combined in the JVM before the shuffle.
+    ``counted`` comes from :func:`known_counts`, ``vectors`` holds (word_id, vector). With ``dedupe`` each distinct word
+    is summed once but the sum is divided by the number of words with repeats; without it the result is the plain mean.
+    Only one row per document and distinct word is exploded, and the sums are combined in the JVM before the shuffle.
     """
-    sized = indexed.select(key, F.size(column).alias("n_ids"), F.col(column).alias("_ids"))
-    ids = F.array_distinct("_ids") if dedupe else F.col("_ids")
-    long = sized.select(key, "n_ids", F.explode_outer(ids).alias("word_id"))
+    long = counted.select(key, "n_ids", F.inline(F.arrays_zip("ids", "times")).alias("word_id", "times"))
     dense = vectors.select("word_id", array_to_vector(F.col("vector").cast("array<double>")).alias("_vector"))
-    matched = long.join(_bounded(dense, bound), "word_id", "left")
-    known = matched.where(F.col("_vector").isNotNull()).groupBy(key, "n_ids").agg(Summarizer.sum(F.col("_vector")).alias("_sum"))
-    result = sized.select(key, "n_ids").join(known.select(key, vector_to_array("_sum").alias("_sum")), key, "left")
-    n = F.array_repeat(F.col("n_ids").cast("double"), F.size("_sum"))
-    return result.select(key, "n_ids", F.zip_with("_sum", n, lambda s, k: s / k).alias("vector"))
+    matched = long.join(_bounded(dense, bound), "word_id")
+    # the mean weighted by w times the total weight is the sum of w * vector
+    weight = F.lit(1.0) if dedupe else F.col("times").cast("double")
+    summary = Summarizer.metrics("mean").summary(F.col("_vector"), weight)
+    known = matched.groupBy(key, "n_ids").agg(summary.alias("_s"), F.sum(weight).alias("_w"))
+    scale = F.array_repeat(F.col("_w") / F.col("n_ids"), F.size("_mean"))
+    means = known.select(key, "n_ids", "_w", vector_to_array("_s.mean").alias("_mean"))
+    found = means.select(key, F.zip_with("_mean", scale, lambda m, k: m * k).alias("vector"))
+    return counted.select(key, "n_ids").join(found, key, "left")

@@ -12,7 +12,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarnwater.functions.random import keyed_digest, keyed_uniform
+from tarnwater.functions.random import keyed_digest, share_limit
 from tarnwater.operators.order import row_positions
 
 
@@ -33,19 +33,19 @@ def random_parts(df: DataFrame, keys: Sequence[str], weights: Sequence[float], s
     """Assign every row to part 0, 1, ... with the given weights, by the hash of its key."""
     total = float(sum(weights))
     limits = [w / total for w in accumulate(weights)]
-    draw = keyed_uniform(seed, *keys)
+    draw = keyed_digest(seed, *keys)
     part = F.lit(len(weights) - 1)
     for i in reversed(range(len(weights) - 1)):
-        part = F.when(F.col("_draw") < limits[i], i).otherwise(part)
+        part = F.when(F.col("_draw") < share_limit(limits[i]), i).otherwise(part)
     return df.withColumn("_draw", draw).withColumn(name, part).drop("_draw")
 
 
 def stratified_flag(df: DataFrame, column: str, fractions: Mapping, keys: Sequence[str], seed: int, name: str = "in_sample") -> DataFrame:
     """Flag a stratified sample without replacement: each stratum has its own share; unlisted strata have none."""
-    share = F.lit(0.0)
+    limit = F.lit(share_limit(0.0))
     for value, fraction in fractions.items():
-        share = F.when(F.col(column) == value, F.lit(float(fraction))).otherwise(share)
-    return df.withColumn(name, keyed_uniform(seed, *keys) < share)
+        limit = F.when(F.col(column) == value, F.lit(share_limit(float(fraction)))).otherwise(limit)
+    return df.withColumn(name, keyed_digest(seed, *keys) < limit)
 
 
 def complement(df: DataFrame, sample: DataFrame, keys: Sequence[str], semantics: str = "key") -> DataFrame:

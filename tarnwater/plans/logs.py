@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tarnwater.operators import logs
 from tarnwater.plans.registry import query, rounded
-from tarnwater.session import Tables
+from tarnwater.session import Tables, spread
 
 
 def render_lines(t: Tables) -> DataFrame:
@@ -15,7 +15,8 @@ def render_lines(t: Tables) -> DataFrame:
     suffix = F.get(F.array(*[F.lit(s) for s in (".de", ".ca", ".sg", ".jp")]), (F.col("user_id") % 4).cast("int"))
     code = F.get(F.array(F.lit("200"), F.lit("304"), F.lit("404")), (F.col("event_id") % 3).cast("int"))
     size = F.when(F.col("event_type") == "error", "-").otherwise(F.floor("value").cast("string"))
-    return t.events.select(
+    events = spread(t.events.select("event_id", "user_id", "event_type", "value", "ts"), "event_id")
+    return events.select(
         F.concat(
             F.lit("h"), F.col("user_id").cast("string"), suffix, F.lit(" - - ["), F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"),
             F.lit(' -0400] "GET /'), "event_type", F.lit(' HTTP/1.0" '), code, F.lit(" "), size,

@@ -15,7 +15,7 @@ from tarnwater.plans import text
 from tarnwater.plans.features import vectors
 from tarnwater.plans.registry import query, rounded, uniform_sql
 from tarnwater.plans.statistics import MEASURES_SQL, measures
-from tarnwater.session import Tables
+from tarnwater.session import Tables, materialize, spread
 
 LAMBDA = 0.1
 
@@ -27,7 +27,8 @@ def table_of(t: Tables, rows: list[tuple], schema: str) -> DataFrame:
 
 def coefficients(t: Tables, estimator, df: DataFrame, names: list[str], digits: int = 5) -> DataFrame:
     """Fitted coefficients, rounded."""
-    training = df.select("features", estimator.getLabelCol()).cache()
+    weights = ["weight"] if "weight" in df.columns else []
+    training = df.select("features", estimator.getLabelCol(), *weights).cache()
     model = estimator.fit(training)
     training.unpersist()
     return fits.coefficient_table(model, names, df).withColumn("coefficient", rounded("coefficient", digits))
@@ -35,7 +36,7 @@ def coefficients(t: Tables, estimator, df: DataFrame, names: list[str], digits:
 
 def one_feature(t: Tables) -> DataFrame:
     """Quantity as the only feature, price in thousands as label."""
-    return features.assemble(measures(t), ["q"])
+    return features.assemble(spread(measures(t)), ["q"])
 
 
 def _line_sql(slope: str) -> str:
@@ -53,7 +54,8 @@ def _line_sql(slope: str) -> str:
     SELECT 'intercept' AS term, round(ln(m0), 5) AS coefficient FROM g UNION ALL SELECT 'returned', round(ln(m1 / m0), 5) + 0.0 FROM g""")
 def poisson_regression(t: Tables) -> DataFrame:
     rows = t.lineitem.select((F.col("l_returnflag") == "R").cast("double").alias("returned"), "l_quantity")
-    estimator = fits.poisson_regression("l_quantity", penalty=0.0, tol=1e-12)
+    rows = fits.compact_rows(rows, ["returned", "l_quantity"])
+    estimator = fits.poisson_regression("l_quantity", penalty=0.0, tol=1e-10, weightCol="weight")
     return coefficients(t, estimator, features.assemble(rows, ["returned"]), ["returned"])
 
 
@@ -86,7 +88,8 @@ def lasso_fit(t: Tables) -> DataFrame:
     UNION ALL SELECT 'large', round(ln(p1 / (1 - p1)) - ln(p0 / (1 - p0)), 5) FROM g""")
 def logistic_regression(t: Tables) -> DataFrame:
     rows = t.orders.select((F.col("o_orderstatus") == "F").cast("double").alias("label"), (F.col("o_totalprice") > 150000).cast("double").alias("large"))
-    estimator = fits.logistic_regression("label", penalty=0.0, tol=1e-12, maxIter=200, standardization=False)
+    rows = fits.compact_rows(rows, ["label", "large"])
+    estimator = fits.logistic_regression("label", penalty=0.0, tol=1e-12, maxIter=200, standardization=False, weightCol="weight")
     return coefficients(t, estimator, features.assemble(rows, ["large"]), ["large"])
 
 
@@ -185,7 +188,7 @@ def pca_logistic_sweep(t: Tables) -> DataFrame:
 
 def document_features(t: Tables, learned: bool, dims: int = 16) -> DataFrame:
     """Rectified mean word vectors of the labelled documents, from learned or from given word vectors."""
-    docs = text.tokenized(t).join(t.labels.select("doc_id"), "doc_id", "left_semi")
+    docs = materialize(text.tokenized(t).join(t.labels.select("doc_id"), "doc_id", "left_semi"), "tokens")
     numbered = text.numbered_vocabulary(docs)
     if learned:
         found = fits.learn_word_vectors(docs, dims, partitions=4)
@@ -193,12 +196,12 @@ def document_features(t: Tables, learned: bool, dims: int = 16) -> DataFrame:
     else:
         vectors_ = t.embeddings.select(F.col("vec_id").alias("word_id"), F.col("embedding").alias("vector"))
         dims = 64
-    indexed = corpus.word_ids(docs, "doc_id", numbered, top_n=text.WORDS)
-    means = corpus.document_vectors(indexed, "doc_id", vectors_, bound=text.WORDS)
+    counted = corpus.known_counts(docs, "doc_id", numbered, text.WORDS)
+    means = corpus.document_vectors(counted, "doc_id", vectors_, bound=text.WORDS)
     filled = means.withColumn("vector", F.coalesce("vector", F.array_repeat(F.lit(0.0), dims)))
     rows = filled.select("doc_id", array_to_vector(fits.rectify("vector")).alias("features"))
     labelled = rows.join(t.labels.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
-    return splits.random_parts(labelled, ["doc_id"], [0.75, 0.25], 6)
+    return materialize(splits.random_parts(labelled, ["doc_id"], [0.75, 0.25], 6), "features")
 
 
 def text_scores(t: Tables, learned: bool, name: str) -> DataFrame:
@@ -243,7 +246,7 @@ def returned_lines(t: Tables) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", (F.col("l_returnflag") == "R").cast("double").alias("label")
     )
     keys = ["l_orderkey", "l_linenumber", "l_partkey"]
-    assembled = features.assemble(rows, ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    assembled = features.assemble(spread(rows, *keys), ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"])
     return splits.random_parts(assembled.select(*keys, "features", "label"), keys, [0.7, 0.3], 6)
 
 
@@ -271,7 +274,7 @@ def priced_lines(t: Tables) -> DataFrame:
     """Price in thousands from quantity, discount, tax and line number."""
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_tax", (F.col("l_extendedprice") / 1000.0).alias("y"))
     keys = ["l_orderkey", "l_linenumber", "l_partkey"]
-    assembled = features.assemble(rows, ["l_quantity", "l_discount", "l_tax", "l_linenumber"])
+    assembled = features.assemble(spread(rows, *keys), ["l_quantity", "l_discount", "l_tax", "l_linenumber"])
     return splits.random_parts(assembled.select(*keys, "features", "y"), keys, [0.85, 0.15], 6)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tarnwater.functions.text import STOP_WORDS
 from tarnwater.operators import corpus, splits, table
 from tarnwater.plans.registry import long_vector, query, uniform_sql
-from tarnwater.session import Tables
+from tarnwater.session import Tables, spread
 
 WORDS = 500
 
@@ -48,7 +48,7 @@ INDEX_SQL = (
 
 def tokenized(t: Tables) -> DataFrame:
     """Documents as token arrays (doc_id, tokens)."""
-    return corpus.tokenize(t.documents.select("doc_id", "text"))
+    return corpus.tokenize(spread(t.documents.select("doc_id", "text"), "doc_id"))
 
 
 def numbered_vocabulary(docs: DataFrame) -> DataFrame:
@@ -62,6 +62,12 @@ def indexed(t: Tables) -> DataFrame:
     return corpus.word_ids(docs, "doc_id", numbered_vocabulary(docs), top_n=WORDS)
 
 
+def counted(t: Tables) -> DataFrame:
+    """Documents as counts of vocabulary ids (doc_id, ids, times, n_ids)."""
+    docs = tokenized(t)
+    return corpus.known_counts(docs, "doc_id", numbered_vocabulary(docs), WORDS)
+
+
 @query(f"WITH {TOKENS_SQL} SELECT doc_id, len(tokens) AS n_tokens, array_to_string(tokens, ' ') AS tokens FROM tok")
 def text_tokens(t: Tables) -> DataFrame:
     return tokenized(t).select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
@@ -108,12 +114,12 @@ def text_to_index(t: Tables) -> DataFrame:
 
 @query(f"WITH {INDEX_SQL} SELECT max(n_ids) AS max_length FROM indexed")
 def text_max_length(t: Tables) -> DataFrame:
-    return corpus.longest(indexed(t)).withColumn("max_length", F.col("max_length").cast("bigint"))
+    return corpus.longest(counted(t)).withColumn("max_length", F.col("max_length").cast("bigint"))
 
 
 @query(f"WITH {INDEX_SQL} SELECT quality, CAST(sum(n_ids) AS BIGINT) AS n_words FROM indexed JOIN labels USING (doc_id) GROUP BY quality")
 def words_per_label(t: Tables) -> DataFrame:
-    return corpus.words_per_label(indexed(t), t.labels, "doc_id", "quality")
+    return corpus.words_per_label(counted(t), t.labels, "doc_id", "quality")
 
 
 def _vector_sql(source: str) -> str:
@@ -128,7 +134,7 @@ def _vector_sql(source: str) -> str:
 
 def _document_vectors(t: Tables, dedupe: bool) -> DataFrame:
     vectors = t.embeddings.select(F.col("vec_id").alias("word_id"), F.col("embedding").alias("vector"))
-    docs = corpus.document_vectors(indexed(t), "doc_id", vectors, dedupe=dedupe, bound=WORDS)
+    docs = corpus.document_vectors(counted(t), "doc_id", vectors, dedupe=dedupe, bound=WORDS)
     return long_vector(docs, ["doc_id"], "vector").withColumn("pos", F.col("pos").cast("bigint"))
 
 

@@ -53,6 +53,16 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give a scan with fewer splits than cores one partition per core, by the hash of a unique key; work per row that
+    is heavy would otherwise sit in a few tasks. A scan of a large table has more splits than that and is left alone.
+    Call it on scans and projections of scans: the split count is known there without running a job."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 > cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 class Tables:
     """Parquet tables of one directory, read on attribute access: ``Tables(spark, path).orders``."""
 

@@ -12,7 +12,7 @@ from tarnwater.session import build_session
 def main() -> None:
     path, names = sys.argv[1], sys.argv[2:] or list(REGISTRY)
     spark = build_session(
-        "check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.log.level": "ERROR"}
+        "check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g", "spark.log.level": "ERROR"}
     )
     for name in names:
         query, start = REGISTRY[name], time.time()
