@@ -89,21 +89,20 @@ def known_counts(tokenized: DataFrame, key: str, numbered: DataFrame, top_n: int
     The bounded vocabulary becomes a count vectorizer, which looks words up inside the row: no explode, no shuffle.
     """
     if not 0 < top_n <= SMALL_VOCABULARY:
-        indexed = word_ids(tokenized, key, numbered, column, top_n)
-        pairs = indexed.select(key, F.explode_outer("ids").alias("id")).groupBy(key, "id").agg(F.count("id").alias("times"))
-        kept = F.array_compact(F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("id", F.col("times").cast("int"))))))
-        found = pairs.groupBy(key).agg(kept.alias("_c")).select(key, F.col("_c.id").alias("ids"), F.col("_c.times").alias("times"))
+        hits = tokenized.select(key, F.explode(column).alias("word")).join(numbered, "word")
+        pairs = hits.groupBy(key, F.col("word_id").alias("id")).agg(F.count("*").cast("int").alias("times"))
+        grouped = pairs.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("id", "times"))).alias("_c"))
+        found = tokenized.select(key).join(grouped, key, "left")
+        nothing = F.array().cast("array<int>")
+        found = found.select(key, *[F.coalesce(F.col(f"_c.{c}"), nothing).alias(n) for c, n in (("id", "ids"), ("times", "times"))])
     else:
         words = [row["word"] for row in numbered.orderBy("word_id").select("word").collect()]
         if not words:
             none = F.array().cast("array<int>")
             return tokenized.select(key, none.alias("ids"), none.alias("times"), F.lit(0).alias("n_ids"))
         model = CountVectorizerModel.from_vocabulary(words, inputCol=column, outputCol="_counts")
-        dense = vector_to_array("_counts")
-        # positions of the non-zero cells of the bounded count vector
-        cells = F.filter(F.transform(dense, lambda n, i: F.struct(i.alias("id"), n.cast("int").alias("n"))), lambda c: c["n"] > 0)
-        found = model.transform(tokenized.select(key, column)).select(key, cells.alias("_c"))
-        found = found.select(key, F.col("_c.id").alias("ids"), F.col("_c.n").alias("times"))
+        sparse = model.transform(tokenized.select(key, column)).select(key, F.unwrap_udt("_counts").alias("_c"))
+        found = sparse.select(key, F.col("_c.indices").alias("ids"), F.col("_c.values").cast("array<int>").alias("times"))
     return found.withColumn("n_ids", F.aggregate("times", F.lit(0), lambda a, n: a + n))
 
 
