@@ -23,6 +23,14 @@ def equal_to_scalar(df: DataFrame, column: str, one_row: DataFrame) -> DataFrame
     return df.where(F.col(column) == one_row.scalar())
 
 
+def sums_by_dimension(facts: DataFrame, dimension: DataFrame, key: str, group: str, value: str, count: str = "n", total: str = "total") -> DataFrame:
+    """Rows and value sum of the facts per attribute of a dimension with a unique key. Facts are summed per key before
+    the join: a key with a large share of the rows shrinks to one row in the map tasks."""
+    per_key = facts.groupBy(key).agg(F.count("*").alias(count), F.sum(value).alias(total))
+    joined = per_key.join(dimension.select(key, group), key)
+    return joined.groupBy(group).agg(F.sum(count).alias(count), F.sum(total).alias(total))
+
+
 def union_tagged(parts: dict[str, DataFrame], tag: str) -> DataFrame:
     """UNION ALL by name, each part marked with its label."""
     tagged = [df.withColumn(tag, F.lit(label)) for label, df in parts.items()]

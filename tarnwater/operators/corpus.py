@@ -36,7 +36,7 @@ def gram_counts(tokenized: DataFrame, column: str = "tokens") -> DataFrame:
     pair = lambda n, df: lambda w: F.struct(w.alias("word"), F.lit(n).alias("n"), F.lit(df).alias("df"))
     uses = F.transform(column, pair(1, 0))
     documents = F.transform(F.array_distinct(column), pair(0, 1))
-    long = tokenized.select(F.inline(F.concat(uses, documents)))
+    long = tokenized.select(F.inline_outer(F.concat(uses, documents))).where(F.col("word").isNotNull())
     return long.groupBy("word").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
 
 
@@ -74,8 +74,9 @@ def word_ids(tokenized: DataFrame, key: str, numbered: DataFrame, column: str =
 
 
 def _lookup(tokenized, key, numbered, column, wanted, top_n):
-    # unknown words are dropped before grouping; a document's words meet again in one array no longer than the document
-    long = tokenized.select(key, F.posexplode(column).alias("pos", "word"))
+    # Unknown words are dropped before grouping; a document's words meet again in one array no longer than the document.
+    # The outer form keeps the optimizer from adding a size(tokens) > 0 filter at the scan, which would tokenize twice.
+    long = tokenized.select(key, F.posexplode_outer(column).alias("pos", "word"))
     hits = long.join(_bounded(numbered, top_n), "word").select(key, F.struct("pos", wanted).alias("hit"))
     grouped = hits.groupBy(key).agg(F.array_sort(F.collect_list("hit")).alias("_hits"))
     found = grouped.select(key, F.col(f"_hits.{wanted}").alias("found"))
@@ -89,7 +90,7 @@ def known_counts(tokenized: DataFrame, key: str, numbered: DataFrame, top_n: int
     The bounded vocabulary becomes a count vectorizer, which looks words up inside the row: no explode, no shuffle.
     """
     if not 0 < top_n <= SMALL_VOCABULARY:
-        hits = tokenized.select(key, F.explode(column).alias("word")).join(numbered, "word")
+        hits = tokenized.select(key, F.explode_outer(column).alias("word")).join(numbered, "word")
         pairs = hits.groupBy(key, F.col("word_id").alias("id")).agg(F.count("*").cast("int").alias("times"))
         grouped = pairs.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("id", "times"))).alias("_c"))
         found = tokenized.select(key).join(grouped, key, "left")
@@ -124,7 +125,7 @@ def document_vectors(counted: DataFrame, key: str, vectors: DataFrame, dedupe: b
     is summed once but the sum is divided by the number of words with repeats; without it the result is the plain mean.
     Only one row per document and distinct word is exploded, and the sums are combined in the JVM before the shuffle.
     """
-    long = counted.select(key, "n_ids", F.inline(F.arrays_zip("ids", "times")).alias("word_id", "times"))
+    long = counted.select(key, "n_ids", F.inline_outer(F.arrays_zip("ids", "times")).alias("word_id", "times"))
     dense = vectors.select("word_id", array_to_vector(F.col("vector").cast("array<double>")).alias("_vector"))
     matched = long.join(_bounded(dense, bound), "word_id")
     # the mean weighted by w times the total weight is the sum of w * vector

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -22,9 +23,10 @@ def parse_log(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def with_suffix(log: DataFrame, suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
-    """Keep hosts with one of the suffixes and name it, so that all suffixes share one scan."""
-    suffix = F.coalesce(*[F.when(F.col("host").endswith(s), F.lit(s)) for s in suffixes])
-    return log.withColumn("suffix", suffix).where(F.col("suffix").isNotNull())
+    """Keep hosts with one of the suffixes and name it, so that all suffixes share one scan. The suffix reads the host
+    once, which matters because the filter is evaluated on the host expression itself."""
+    pattern = "(" + "|".join(re.escape(s) for s in suffixes) + ")$"
+    return log.withColumn("suffix", F.regexp_extract("host", pattern, 1)).where(F.col("suffix") != "")
 
 
 def suffix_counts(log: DataFrame, suffixes: Sequence[str] = SUFFIXES) -> DataFrame:

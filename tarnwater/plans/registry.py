@@ -50,8 +50,9 @@ def day_text(value: Column | str) -> Column:
 
 
 def long_vector(df: DataFrame, ids: list[str], array: str, digits: int = 6) -> DataFrame:
-    """Array column as rows (ids, pos, value)."""
-    rows = df.select(*ids, F.posexplode(array).alias("pos", "value"))
+    """Array column as rows (ids, pos, value). The outer form keeps the array from being computed once more for a
+    filter on its size; rows of a missing array are dropped afterwards."""
+    rows = df.select(*ids, F.posexplode_outer(array).alias("pos", "value")).where(F.col("pos").isNotNull())
     return rows.select(*ids, "pos", rounded("value", digits).alias("value"))
 
 

@@ -155,8 +155,7 @@ def map_values_dict(t: Tables) -> DataFrame:
     FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand""")
 def join_dimension(t: Tables) -> DataFrame:
     part = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    joined = t.lineitem.select("l_partkey", "l_quantity").join(part, on="l_partkey")
-    return joined.groupBy("p_brand").agg(F.count("*").alias("n_lines"), F.sum("l_quantity").alias("quantity"))
+    return combine.sums_by_dimension(t.lineitem, part, "l_partkey", "p_brand", "l_quantity", "n_lines", "quantity")
 
 
 @query("""
