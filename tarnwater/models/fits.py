@@ -82,7 +82,8 @@ def coefficient_table(model, features: Sequence[str], df: DataFrame) -> DataFram
 
 
 def learn_word_vectors(tokenized: DataFrame, dims: int, min_count: int = 1, partitions: int = 1, rounds: int = 1, column: str = "tokens") -> DataFrame:
-    """Word vectors from the corpus itself as (word, vector array<double>)."""
+    """Word vectors from the corpus itself as (word, vector array<double>). The model holds one vector per word on the
+    driver, so keep only the words of a vocabulary in the token arrays first."""
     fitted = Word2Vec(vectorSize=dims, minCount=min_count, numPartitions=partitions, maxIter=rounds, seed=SEED, inputCol=column, outputCol="_v").fit(tokenized)
     return fitted.getVectors().select("word", vector_to_array("vector").alias("vector"))
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tarnwater.functions.text import STOP_WORDS, VOCABULARY_SIZE, ngrams, tokens
 from tarnwater.operators.order import row_positions
+from tarnwater.session import row_bound
 
 # A vocabulary up to this many words is broadcast and numbered in one task; a larger one is joined by shuffle.
 SMALL_VOCABULARY = 100_000
@@ -49,47 +50,50 @@ def vocabulary(counts: DataFrame, top_n: int = VOCABULARY_SIZE, min_df: int = 0,
     return kept.orderBy(F.desc("n"), F.asc("word")).limit(top_n) if top_n > 0 else kept
 
 
-def number_words(vocab: DataFrame, top_n: int = VOCABULARY_SIZE) -> DataFrame:
+def is_small(words: DataFrame) -> bool:
+    """Whether the plan itself proves that the table has few rows, as after a top-N cut."""
+    bound = row_bound(words)
+    return bound is not None and bound <= SMALL_VOCABULARY
+
+
+def number_words(vocab: DataFrame) -> DataFrame:
     """Alphabetical, 0-based ids (word, word_id). A vocabulary without a small bound is numbered by distributed ranks."""
     words = vocab.select("word")
-    if 0 < top_n <= SMALL_VOCABULARY:
+    if is_small(words):
         return words.select("word", (F.row_number().over(Window.orderBy("word")) - 1).alias("word_id"))
     numbered = row_positions(words, ["word"], "word_id")
     return numbered.withColumn("word_id", F.col("word_id").cast("int")).select("word", "word_id")
 
 
-def _bounded(small: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(small) if 0 < rows <= SMALL_VOCABULARY else small
-
-
-def keep_known(tokenized: DataFrame, key: str, words: DataFrame, column: str, top_n: int = VOCABULARY_SIZE) -> DataFrame:
+def keep_known(tokenized: DataFrame, key: str, words: DataFrame, column: str) -> DataFrame:
     """Keep only the array elements that occur in ``words`` (column ``word``), order and repeats preserved."""
     known = words.select("word").withColumn("word_id", F.lit(0))
-    return _lookup(tokenized, key, known, column, "word", top_n).withColumnRenamed("found", column)
+    return _lookup(tokenized, key, known, column, "word").withColumnRenamed("found", column)
 
 
-def word_ids(tokenized: DataFrame, key: str, numbered: DataFrame, column: str = "tokens", top_n: int = VOCABULARY_SIZE) -> DataFrame:
+def word_ids(tokenized: DataFrame, key: str, numbered: DataFrame, column: str = "tokens") -> DataFrame:
     """Document to its list of vocabulary ids, unknown words dropped; (key, ids, n_ids)."""
-    return _lookup(tokenized, key, numbered, column, "word_id", top_n).withColumnRenamed("found", "ids")
+    return _lookup(tokenized, key, numbered, column, "word_id").withColumnRenamed("found", "ids")
 
 
-def _lookup(tokenized, key, numbered, column, wanted, top_n):
+def _lookup(tokenized, key, numbered, column, wanted):
     # Unknown words are dropped before grouping; a document's words meet again in one array no longer than the document.
     # The outer form keeps the optimizer from adding a size(tokens) > 0 filter at the scan, which would tokenize twice.
     long = tokenized.select(key, F.posexplode_outer(column).alias("pos", "word"))
-    hits = long.join(_bounded(numbered, top_n), "word").select(key, F.struct("pos", wanted).alias("hit"))
+    hits = long.join(F.broadcast(numbered) if is_small(numbered) else numbered, "word").select(key, F.struct("pos", wanted).alias("hit"))
     grouped = hits.groupBy(key).agg(F.array_sort(F.collect_list("hit")).alias("_hits"))
     found = grouped.select(key, F.col(f"_hits.{wanted}").alias("found"))
     nothing = F.array().cast(found.schema["found"].dataType)
     return tokenized.select(key).join(found, key, "left").withColumn("found", F.coalesce("found", nothing))
 
 
-def known_counts(tokenized: DataFrame, key: str, numbered: DataFrame, top_n: int = VOCABULARY_SIZE, column: str = "tokens") -> DataFrame:
+def known_counts(tokenized: DataFrame, key: str, numbered: DataFrame, column: str = "tokens") -> DataFrame:
     """Known words per document as counts (key, ids, times, n_ids), ids ascending: all that sizes and mean vectors need.
 
-    The bounded vocabulary becomes a count vectorizer, which looks words up inside the row: no explode, no shuffle.
+    A vocabulary with a small bound becomes a count vectorizer, which looks words up inside the row: no explode, no
+    shuffle. Any other is joined.
     """
-    if not 0 < top_n <= SMALL_VOCABULARY:
+    if not is_small(numbered):
         hits = tokenized.select(key, F.explode_outer(column).alias("word")).join(numbered, "word")
         pairs = hits.groupBy(key, F.col("word_id").alias("id")).agg(F.count("*").cast("int").alias("times"))
         grouped = pairs.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("id", "times"))).alias("_c"))
@@ -118,16 +122,19 @@ def words_per_label(counted: DataFrame, labels: DataFrame, key: str, label: str)
     return sized.join(labels.select(key, label), key).groupBy(label).agg(F.sum("_n").alias("n_words"))
 
 
-def document_vectors(counted: DataFrame, key: str, vectors: DataFrame, dedupe: bool = True, bound: int = VOCABULARY_SIZE) -> DataFrame:
+def document_vectors(counted: DataFrame, key: str, vectors: DataFrame, dedupe: bool = True, n_words: int | None = None) -> DataFrame:
     """Mean of the word vectors of a document (key, n_ids, vector); NULL for a document without known words.
 
     ``counted`` comes from :func:`known_counts`, ``vectors`` holds (word_id, vector). With ``dedupe`` each distinct word
     is summed once but the sum is divided by the number of words with repeats; without it the result is the plain mean.
     Only one row per document and distinct word is exploded, and the sums are combined in the JVM before the shuffle.
+    With ``n_words`` only the vectors of ids below it are read, which bounds the table that is broadcast.
     """
     long = counted.select(key, "n_ids", F.inline_outer(F.arrays_zip("ids", "times")).alias("word_id", "times"))
     dense = vectors.select("word_id", array_to_vector(F.col("vector").cast("array<double>")).alias("_vector"))
-    matched = long.join(_bounded(dense, bound), "word_id")
+    if n_words is not None and n_words <= SMALL_VOCABULARY:
+        dense = F.broadcast(dense.where(F.col("word_id") < n_words))
+    matched = long.join(dense, "word_id")
     # the mean weighted by w times the total weight is the sum of w * vector
     weight = F.lit(1.0) if dedupe else F.col("times").cast("double")
     summary = Summarizer.metrics("mean").summary(F.col("_vector"), weight)

@@ -191,13 +191,13 @@ def document_features(t: Tables, learned: bool, dims: int = 16) -> DataFrame:
     docs = materialize(text.tokenized(t).join(t.labels.select("doc_id"), "doc_id", "left_semi"), "tokens")
     numbered = text.numbered_vocabulary(docs)
     if learned:
-        found = fits.learn_word_vectors(docs, dims, partitions=4)
-        vectors_ = found.join(F.broadcast(numbered), "word").select("word_id", "vector")
+        known = materialize(corpus.keep_known(docs, "doc_id", numbered, "tokens"), "known")
+        vectors_ = fits.learn_word_vectors(known, dims, partitions=4).join(numbered, "word").select("word_id", "vector")
     else:
         vectors_ = t.embeddings.select(F.col("vec_id").alias("word_id"), F.col("embedding").alias("vector"))
         dims = 64
-    counted = corpus.known_counts(docs, "doc_id", numbered, text.WORDS)
-    means = corpus.document_vectors(counted, "doc_id", vectors_, bound=text.WORDS)
+    counted = corpus.known_counts(docs, "doc_id", numbered)
+    means = corpus.document_vectors(counted, "doc_id", vectors_, n_words=text.WORDS)
     filled = means.withColumn("vector", F.coalesce("vector", F.array_repeat(F.lit(0.0), dims)))
     rows = filled.select("doc_id", array_to_vector(fits.rectify("vector")).alias("features"))
     labelled = rows.join(t.labels.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")

@@ -53,19 +53,19 @@ def tokenized(t: Tables) -> DataFrame:
 
 def numbered_vocabulary(docs: DataFrame) -> DataFrame:
     """The most frequent words that occur in at least two documents, numbered alphabetically."""
-    return corpus.number_words(corpus.vocabulary(corpus.gram_counts(docs), WORDS, min_df=2), WORDS)
+    return corpus.number_words(corpus.vocabulary(corpus.gram_counts(docs), WORDS, min_df=2))
 
 
 def indexed(t: Tables) -> DataFrame:
     """Documents as vocabulary ids (doc_id, ids)."""
     docs = tokenized(t)
-    return corpus.word_ids(docs, "doc_id", numbered_vocabulary(docs), top_n=WORDS)
+    return corpus.word_ids(docs, "doc_id", numbered_vocabulary(docs))
 
 
 def counted(t: Tables) -> DataFrame:
     """Documents as counts of vocabulary ids (doc_id, ids, times, n_ids)."""
     docs = tokenized(t)
-    return corpus.known_counts(docs, "doc_id", numbered_vocabulary(docs), WORDS)
+    return corpus.known_counts(docs, "doc_id", numbered_vocabulary(docs))
 
 
 @query(f"WITH {TOKENS_SQL} SELECT doc_id, len(tokens) AS n_tokens, array_to_string(tokens, ' ') AS tokens FROM tok")
@@ -88,7 +88,7 @@ def text_ngrams(t: Tables) -> DataFrame:
 def text_ngrams_vocab(t: Tables) -> DataFrame:
     grams = corpus.with_ngrams(tokenized(t), 1, 2).select("doc_id", "grams")
     known = corpus.vocabulary(corpus.gram_counts(grams, "grams"), 200)
-    kept = corpus.keep_known(grams, "doc_id", known, "grams", top_n=200)
+    kept = corpus.keep_known(grams, "doc_id", known, "grams")
     return kept.select("doc_id", F.size("grams").cast("bigint").alias("n_grams"), F.array_join("grams", "|").alias("grams"))
 
 
@@ -134,7 +134,7 @@ def _vector_sql(source: str) -> str:
 
 def _document_vectors(t: Tables, dedupe: bool) -> DataFrame:
     vectors = t.embeddings.select(F.col("vec_id").alias("word_id"), F.col("embedding").alias("vector"))
-    docs = corpus.document_vectors(counted(t), "doc_id", vectors, dedupe=dedupe, bound=WORDS)
+    docs = corpus.document_vectors(counted(t), "doc_id", vectors, dedupe=dedupe, n_words=WORDS)
     return long_vector(docs, ["doc_id"], "vector").withColumn("pos", F.col("pos").cast("bigint"))
 
 

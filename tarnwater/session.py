@@ -63,6 +63,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys)
 
 
+def row_bound(df: DataFrame) -> int | None:
+    """Upper bound of the row count as the analysed plan proves it (a limit, a global aggregate), or None. Runs no job."""
+    bound = df._jdf.queryExecution().analyzed().maxRows()
+    return int(bound.get()) if bound.isDefined() else None
+
+
 class Tables:
     """Parquet tables of one directory, read on attribute access: ``Tables(spark, path).orders``."""
 

@@ -139,16 +139,17 @@ def test_vocabulary_ties_and_document_frequency(spark):
 def test_ids_counts_and_mean_vectors(spark, top_n):
     docs = documents(spark)
     known = spark.createDataFrame([("dog",), ("cat",), ("emu",)], "word string")
-    numbered = corpus.number_words(known, top_n)
+    numbered = corpus.number_words(known.limit(top_n) if top_n else known)
+    assert corpus.is_small(numbered) is bool(top_n)
     assert {r["word"]: r["word_id"] for r in numbered.collect()} == {"cat": 0, "dog": 1, "emu": 2}
-    ids = {r["doc_id"]: r["ids"] for r in corpus.word_ids(docs, "doc_id", numbered, top_n=top_n).collect()}
+    ids = {r["doc_id"]: r["ids"] for r in corpus.word_ids(docs, "doc_id", numbered).collect()}
     assert ids == {1: [0, 0, 1], 2: [], 3: [], 4: [1, 2], 5: []}
-    counted = corpus.known_counts(docs, "doc_id", numbered, top_n)
+    counted = corpus.known_counts(docs, "doc_id", numbered)
     assert {r["doc_id"]: (list(r["ids"]), list(r["times"]), r["n_ids"]) for r in counted.collect()} == {
         1: ([0, 1], [2, 1], 3), 2: ([], [], 0), 3: ([], [], 0), 4: ([1, 2], [1, 1], 2), 5: ([], [], 0),
     }
     vectors = spark.createDataFrame([(0, [3.0, 0.0]), (1, [0.0, 6.0]), (2, [2.0, 2.0])], "word_id int, vector array<double>")
-    mean = lambda **kw: {r["doc_id"]: r["vector"] for r in corpus.document_vectors(counted, "doc_id", vectors, bound=top_n, **kw).collect()}
+    mean = lambda **kw: {r["doc_id"]: r["vector"] for r in corpus.document_vectors(counted, "doc_id", vectors, n_words=top_n or None, **kw).collect()}
     once, plain = mean(dedupe=True), mean(dedupe=False)
     assert once[1] == pytest.approx([1.0, 2.0]) and plain[1] == pytest.approx([2.0, 2.0]) and once[2] is None and once[3] is None
     assert corpus.longest(counted).first()["max_length"] == 3
