@@ -16,6 +16,8 @@ from tarnwater.session import row_bound
 
 # A vocabulary up to this many words is broadcast and numbered in one task; a larger one is joined by shuffle.
 SMALL_VOCABULARY = 100_000
+# A word list up to this length is written into the plan.
+SHORT_LIST = 10_000
 
 
 def tokenize(docs: DataFrame, text: str = "text", stop_words: Sequence[str] = STOP_WORDS, name: str = "tokens") -> DataFrame:
@@ -28,6 +30,12 @@ def with_ngrams(tokenized: DataFrame, low: int, high: int, source: str = "tokens
     return tokenized.withColumn(name, ngrams(F.col(source), low, high))
 
 
+def gram_frequencies(tokenized: DataFrame, column: str = "tokens") -> DataFrame:
+    """Corpus frequency of every gram (word, n)."""
+    long = tokenized.select(F.explode_outer(column).alias("word")).where(F.col("word").isNotNull())
+    return long.groupBy("word").agg(F.count("*").alias("n"))
+
+
 def gram_counts(tokenized: DataFrame, column: str = "tokens") -> DataFrame:
     """Corpus frequency and document frequency of every gram (word, n, df).
 
@@ -66,7 +74,14 @@ def number_words(vocab: DataFrame) -> DataFrame:
 
 
 def keep_known(tokenized: DataFrame, key: str, words: DataFrame, column: str) -> DataFrame:
-    """Keep only the array elements that occur in ``words`` (column ``word``), order and repeats preserved."""
+    """Keep only the array elements that occur in ``words`` (column ``word``), order and repeats preserved.
+
+    A word list that is proven short becomes a hashed set inside the row filter: no explode, no shuffle.
+    """
+    bound = row_bound(words)
+    if bound is not None and bound <= SHORT_LIST:
+        kept = [row["word"] for row in words.select("word").collect()]
+        return tokenized.select(key, F.filter(column, lambda w: w.isin(kept)).alias(column))
     known = words.select("word").withColumn("word_id", F.lit(0))
     return _lookup(tokenized, key, known, column, "word").withColumnRenamed("found", column)
 

@@ -87,7 +87,7 @@ def text_ngrams(t: Tables) -> DataFrame:
     SELECT doc_id, coalesce(n, 0) AS n_grams, coalesce(grams, '') AS grams FROM documents LEFT JOIN kept USING (doc_id)""")
 def text_ngrams_vocab(t: Tables) -> DataFrame:
     grams = corpus.with_ngrams(tokenized(t), 1, 2).select("doc_id", "grams")
-    known = corpus.vocabulary(corpus.gram_counts(grams, "grams"), 200)
+    known = corpus.vocabulary(corpus.gram_frequencies(grams, "grams"), 200)
     kept = corpus.keep_known(grams, "doc_id", known, "grams")
     return kept.select("doc_id", F.size("grams").cast("bigint").alias("n_grams"), F.array_join("grams", "|").alias("grams"))
 

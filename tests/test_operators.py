@@ -158,7 +158,9 @@ def test_ids_counts_and_mean_vectors(spark, top_n):
 def test_known_grams_keep_order_and_repeats(spark):
     docs = spark.createDataFrame([(1, ["b", "a", "x", "b"]), (2, ["x"])], "id int, grams array<string>")
     known = spark.createDataFrame([("a",), ("b",)], "word string")
-    assert {r["id"]: r["grams"] for r in corpus.keep_known(docs, "id", known, "grams").collect()} == {1: ["b", "a", "b"], 2: []}
+    for words in (known, known.limit(5)):
+        assert {r["id"]: r["grams"] for r in corpus.keep_known(docs, "id", words, "grams").collect()} == {1: ["b", "a", "b"], 2: []}
+    assert {tuple(r) for r in corpus.gram_frequencies(docs, "grams").collect()} == {("b", 2), ("a", 1), ("x", 2)}
 
 
 def toy(spark):
