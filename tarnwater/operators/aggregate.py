@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnwater.operators.combine import join_null_safe
 from tarnwater.operators.order import exact_quantiles
 from tarnwater.operators.table import numeric_columns
 
@@ -77,7 +78,7 @@ def transpose(df: DataFrame, key: str, labels: Sequence[str], columns: Sequence[
 def value_share(counts: DataFrame, keys: Sequence[str], count: str = "n", name: str = "percent") -> DataFrame:
     """Percent of the group total; ``counts`` holds the already aggregated rows."""
     totals = counts.groupBy(*keys).agg(F.sum(count).alias("_total"))
-    return counts.join(totals, list(keys)).withColumn(name, 100.0 * F.col(count) / F.col("_total")).drop("_total")
+    return join_null_safe(counts, totals, keys).withColumn(name, 100.0 * F.col(count) / F.col("_total")).drop("_total")
 
 
 def arg_max(df: DataFrame, key: str, value: str) -> DataFrame:

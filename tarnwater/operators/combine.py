@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,13 @@ def equal_to_scalar(df: DataFrame, column: str, one_row: DataFrame) -> DataFrame
     return df.where(F.col(column) == one_row.scalar())
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner equi-join on columns of the same name where NULL matches NULL, so that the NULL group is not lost."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = [left[k].eqNullSafe(renamed[f"_right_{k}"]) for k in keys]
+    return left.join(renamed, reduce(lambda a, b: a & b, same)).drop(*[f"_right_{k}" for k in keys])
+
+
 def sums_by_dimension(facts: DataFrame, dimension: DataFrame, key: str, group: str, value: str, count: str = "n", total: str = "total") -> DataFrame:
     """Rows and value sum of the facts per attribute of a dimension with a unique key. Facts are summed per key before
     the join: a key with a large share of the rows shrinks to one row in the map tasks."""

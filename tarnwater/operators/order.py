@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnwater.operators.combine import join_null_safe
 from tarnwater.session import materialize
 
 Key = Column | str
@@ -57,7 +58,7 @@ def running_sum(
         .select(*keys, "_bucket", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start"))
     )
     partial = rows.withColumn("_inside", F.sum(value).over(inside))
-    joined = partial.join(starts, [*keys, "_bucket"])
+    joined = join_null_safe(partial, starts, [*keys, "_bucket"])
     return joined.withColumn(name, F.col("_inside") + F.col("_start")).drop("_inside", "_start", "_bucket")
 
 

@@ -206,7 +206,7 @@ def document_features(t: Tables, learned: bool, dims: int = 16) -> DataFrame:
 
 def text_scores(t: Tables, learned: bool, name: str) -> DataFrame:
     """Train the output layer on document vectors and score the held-out part, log loss included."""
-    rows = document_features(t, learned).cache()
+    rows = document_features(t, learned)
     model = fits.logistic_regression("label", penalty=0.001, family="multinomial", maxIter=30).fit(rows.where("part = 0"))
     scored = model.transform(rows.where("part = 1"))
     truth = F.get(vector_to_array("probability"), F.col("label").cast("int"))
@@ -235,7 +235,7 @@ def text_grid_search(t: Tables) -> DataFrame:
 
 @query()
 def mlp_classifier(t: Tables) -> DataFrame:
-    parts = splits.random_parts(vectors(t), ["vec_id"], [0.8, 0.2], 6).cache()
+    parts = materialize(splits.random_parts(vectors(t), ["vec_id"], [0.8, 0.2], 6), "parts")
     model = fits.perceptron("label", [64, 32, 10]).fit(parts.where("part = 0"))
     return scores(t, model.transform(parts.where("part = 1")), "label", "perceptron 64-32-10")
 
@@ -254,7 +254,8 @@ def tree_scores(t: Tables, estimator, name: str) -> DataFrame:
     """Fit on 70%, report accuracy, exact AUC on the score and AUC on the hard label of the other 30%."""
     rows = returned_lines(t).cache()
     scored = estimator.fit(rows.where("part = 0")).transform(rows.where("part = 1"))
-    scored = scored.select("label", "prediction", vector_to_array("probability")[1].alias("score")).cache()
+    scored = materialize(scored.select("label", "prediction", vector_to_array("probability")[1].alias("score")), "scored")
+    rows.unpersist()
     on_score, on_label = metrics.roc_auc(scored), metrics.roc_auc(scored, score="prediction")
     accuracy = metrics.accuracy(scored).withColumns({"auc": on_score.scalar(), "auc_hard": on_label.scalar()})
     return accuracy.select(F.lit(name).alias("model"), *[rounded(c, 4).alias(c) for c in ("accuracy", "auc", "auc_hard")])
@@ -285,6 +286,7 @@ def rf_regressor(t: Tables) -> DataFrame:
     scored = model.transform(rows)
     error = (F.col("y") - F.col("prediction")) * (F.col("y") - F.col("prediction"))
     rmse = lambda part: F.sqrt(F.avg(F.when(F.col("part") == part, error)))
+    rows.unpersist()
     return scored.agg(F.round(rmse(0), 4).alias("rmse_train"), F.round(rmse(1), 4).alias("rmse_test"), F.round(F.stddev_pop("y"), 4).alias("label_std"))
 
 
@@ -318,7 +320,7 @@ def als_recommender(t: Tables) -> DataFrame:
 @query()
 def experiment_table(t: Tables) -> DataFrame:
     estimators = {f"{n} iterations": recommend.recommender("customer", "part", "rating", iterations=n) for n in (2, 4)}
-    table = recommend.score_by_time_split(ratings(t), F.col("time"), [0.4, 0.6, 0.8], estimators, "rating")
+    table = recommend.score_by_time_split(materialize(ratings(t), "ratings"), F.col("time"), [0.4, 0.6, 0.8], estimators, "rating")
     return table.withColumn("score", F.round("score", 4))
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnwater.functions.numeric import bucket_label, flag_above, map_values, row_mean
+from tarnwater.functions import numeric
+from tarnwater.functions.numeric import bucket_label, flag_above, map_values
 from tarnwater.operators import aggregate, combine, order, splits, table
 from tarnwater.plans.registry import day_text, query, rounded, uniform_sql
 from tarnwater.session import Tables
@@ -247,8 +248,8 @@ def describe_table(t: Tables) -> DataFrame:
 
 
 @query("SELECT l_orderkey, l_linenumber, round((l_quantity + l_discount + l_tax) / 3, 6) AS row_mean FROM lineitem")
-def row_means(t: Tables) -> DataFrame:
-    mean = row_mean(F.col("l_quantity"), F.col("l_discount"), F.col("l_tax"))
+def row_mean(t: Tables) -> DataFrame:
+    mean = numeric.row_mean(F.col("l_quantity"), F.col("l_discount"), F.col("l_tax"))
     return t.lineitem.select("l_orderkey", "l_linenumber", rounded(mean).alias("row_mean"))
 
 

@@ -76,7 +76,7 @@ def nan_flags(t: Tables) -> DataFrame:
 
 @query("""
     SELECT o_orderkey, xor(o_orderkey, o_custkey) AS x, o_orderkey & o_custkey AS a, o_orderkey >> 3 AS r, (o_orderkey & 255) << 2 AS l,
-        (o_orderkey >> 4) & 1 AS bit4, bit_count(o_orderkey & 240) % 2 AS parity
+        (o_orderkey >> 4) & 1 AS bit4, CAST(bit_count(o_orderkey & 240) % 2 AS INTEGER) AS parity
     FROM orders""")
 def bit_ops(t: Tables) -> DataFrame:
     key = F.col("o_orderkey")

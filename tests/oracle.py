@@ -9,6 +9,8 @@ from collections import Counter
 
 import duckdb
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
 _connections: dict[str, duckdb.DuckDBPyConnection] = {}
 
 
@@ -40,6 +42,10 @@ def difference(spark_df, path: str, sql: str) -> str | None:
     expected = cursor.fetchall()
     if sorted(names) != sorted(spark_df.columns):
         return f"columns {sorted(spark_df.columns)} instead of {sorted(names)}"
+    declared = {d[0]: str(d[1]) for d in cursor.description}
+    types = {c: (t, declared[c]) for c, t in spark_df.dtypes if TYPES.get(t, t) != declared[c]}
+    if types:
+        return f"types {types}"
     order = sorted(names)
     pick = [names.index(c) for c in order]
     want = Counter(tuple(plain(row[i]) for i in pick) for row in expected)

@@ -42,6 +42,22 @@ def test_running_sums_with_a_hot_key(spark):
     assert whole == expected
 
 
+def test_null_groups_are_kept(spark):
+    df = spark.createDataFrame([(1, None, 1, 2), (2, None, 2, 3), (3, 7, 1, 4), (4, 7, None, 5)], "id int, k int, t int, v int")
+    got = {r["id"]: r["running"] for r in order.running_sum(df, "v", ["t", "id"], F.col("t"), ["k"]).collect()}
+    assert got == {1: 2, 2: 5, 4: 5, 3: 9}
+    shares = aggregate.value_share(aggregate.group_count(df, "k", "t"), ["k"]).collect()
+    assert len(shares) == 4 and all(r["percent"] == 50.0 for r in shares)
+
+
+def test_sums_by_dimension_with_a_hot_key(spark):
+    facts = spark.createDataFrame([(0 if i % 3 else i, i) for i in range(300)], "k int, v int")
+    dimension = spark.createDataFrame([(i, "even" if i % 2 == 0 else "odd") for i in range(300)], "k int, g string")
+    got = {r["g"]: (r["n"], r["total"]) for r in combine.sums_by_dimension(facts, dimension, "k", "g", "v").collect()}
+    odd = [i for i in range(300) if i % 3 == 0 and i % 2]
+    assert got == {"odd": (len(odd), sum(odd)), "even": (300 - len(odd), sum(range(300)) - sum(odd))}
+
+
 def test_top_rows_per_group_break_ties_by_name(spark):
     counts = spark.createDataFrame([("x", "b", 2), ("x", "a", 2), ("x", "c", 5)], "g string, h string, n int")
     top = order.top_rows_per_group(counts, ["g"], [F.desc("n"), "h"], 2)
