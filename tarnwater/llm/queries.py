@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnwater.llm import packing, token_files
+from tarnwater.llm import exact_dedup, packing, token_files
 from tarnwater.session import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,17 @@ def op1_packing(t: Tables) -> DataFrame:
 def op9_token_files(t: Tables) -> DataFrame:
     """Every document as it stands in the token files."""
     return token_files.token_files(t.documents)
+
+
+@query(
+    """
+    WITH d AS (
+        SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents
+    )
+    SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
+    FROM d WINDOW w AS (PARTITION BY norm)
+    """
+)
+def op2_exact_dedup(t: Tables) -> DataFrame:
+    """Every document with the one that stays of its group."""
+    return exact_dedup.duplicate_groups(t.documents)
