@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwater.llm import chat, exact_dedup, packing, token_files
+from tarnwater.llm import chat, exact_dedup, packing, token_files, url_filter
 from tarnwater.session import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,58 @@ def op10_chat_formatting(t: Tables) -> DataFrame:
         F.col("name").alias("conv_id"), F.size("turns").cast("bigint").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"), F.length("learned").cast("bigint").alias("loss_chars"),
         F.sha2("learned", 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"),
     )
+
+
+RULES = ("block net/", "allow example.net/en/", "block example.com/de/", "allow org/fr/")
+
+
+def _judge_sql() -> str:
+    """The rounds of the propagation as one common table each."""
+    lower = "translate(coalesce(regexp_extract({}, '{}', {}), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    rounds, d = url_filter.ROUNDS, url_filter.DAMPING
+    steps = "".join(
+        f""", s{n} AS MATERIALIZED (
+            SELECT host, sum(trust) AS trust, sum(distrust) AS distrust FROM (
+                SELECT e.dst AS host, {d} * s.trust * e.f AS trust, 0.0 AS distrust FROM s{n - 1} s JOIN shares e ON s.host = e.src
+                UNION ALL SELECT e.src, 0.0, {d} * s.distrust * e.b FROM s{n - 1} s JOIN shares e ON s.host = e.dst
+                UNION ALL SELECT host, {1 - d} * trust, {1 - d} * distrust FROM s0
+            ) GROUP BY host
+        )"""
+        for n in range(1, rounds + 1)
+    )
+    return rf"""
+    WITH u AS (
+        SELECT page_id, html, {lower.format("url", "(?s)^.*?://([^/?#]*)", 1)} AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages
+    ), r AS (
+        SELECT *, CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+            WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+            WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+            WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule FROM u
+    ), v AS (SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS fixed FROM r),
+    links AS (
+        SELECT src, dst, count(*) AS weight FROM (
+            SELECT DISTINCT page_id, host AS src, lower(unnest(regexp_extract_all(html, '(?i)\shref\s*=\s*["'']?(?:https?:)?//([^/?#"''\s>]+)', 1))) AS dst FROM u WHERE host <> ''
+        ) WHERE src <> dst GROUP BY ALL
+    ), named AS (SELECT host FROM u WHERE host <> '' UNION SELECT dst FROM links),
+    owned AS (
+        SELECT DISTINCT array_to_string(l[len(l) - n + 1:], '.') AS upper_host, array_to_string(l[len(l) - n:], '.') AS lower_host
+        FROM (SELECT l, unnest(range(2, len(l))) AS n FROM (SELECT string_split(host, '.') AS l FROM named))
+    ), edges AS (
+        SELECT src, dst, sum(weight) AS weight FROM (
+            SELECT * FROM links UNION ALL SELECT upper_host, lower_host, 1 FROM owned UNION ALL SELECT lower_host, upper_host, 1 FROM owned
+        ) GROUP BY ALL
+    ), shares AS MATERIALIZED (
+        SELECT src, dst, CAST(weight AS DOUBLE) / sum(weight) OVER (PARTITION BY src) AS f, CAST(weight AS DOUBLE) / sum(weight) OVER (PARTITION BY dst) AS b FROM edges
+    ), s0 AS MATERIALIZED (
+        SELECT host, CAST(count(*) FILTER (fixed = 'allow') AS DOUBLE) / greatest(any_value(a), 1) AS trust, CAST(count(*) FILTER (fixed = 'block') AS DOUBLE) / greatest(any_value(b), 1) AS distrust
+        FROM v, (SELECT count(*) FILTER (fixed = 'allow') AS a, count(*) FILTER (fixed = 'block') AS b FROM v) WHERE fixed IS NOT NULL GROUP BY host
+    ){steps}
+    SELECT page_id, v.host, path, rule, coalesce(fixed, CASE WHEN round(distrust, {url_filter.DIGITS}) > round(trust, {url_filter.DIGITS}) THEN 'block' ELSE 'allow' END) AS verdict
+    FROM v LEFT JOIN s{rounds} s ON v.host = s.host
+    """
+
+
+@query(_judge_sql())
+def op8_url_filter(t: Tables) -> DataFrame:
+    """Every page's url judged by the rules, else by the trust of its host."""
+    return url_filter.judge(t.pages, url_filter.rules_of(RULES))
