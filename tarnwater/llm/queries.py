@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwater.llm import chat, exact_dedup, packing, token_files, url_filter
+from tarnwater.llm import chat, exact_dedup, mtree, packing, token_files, url_filter
 from tarnwater.session import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,20 @@ def _judge_sql() -> str:
 def op8_url_filter(t: Tables) -> DataFrame:
     """Every page's url judged by the rules, else by the trust of its host."""
     return url_filter.judge(t.pages, url_filter.rules_of(RULES))
+
+
+@query(
+    """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+    )
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s QUALIFY rank <= 20
+    """
+)
+def op3_top_k_search(t: Tables) -> DataFrame:
+    """The 20 best vectors of every query vector."""
+    vectors = mtree.integer_vectors(t.embeddings, "vec_id", "embedding", 64)
+    return mtree.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0))
