@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwater.llm import chat, exact_dedup, mtree, packing, token_files, url_filter
+from tarnwater.llm import chat, exact_dedup, language, mtree, packing, token_files, url_filter
 from tarnwater.session import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,11 @@ def op3_top_k_search(t: Tables) -> DataFrame:
     """The 20 best vectors of every query vector."""
     vectors = mtree.integer_vectors(t.embeddings, "vec_id", "embedding", 64)
     return mtree.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+@query()
+def op5_language_id(t: Tables) -> DataFrame:
+    """Language of every document, learned from four fifths of them."""
+    held = language.held_out(F.col("doc_id"), 5, 0)
+    model = language.fit_language(t.documents.where(~held))
+    return language.tag_languages(t.documents, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
