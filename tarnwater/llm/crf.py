@@ -190,13 +190,13 @@ class Chain:
 
 @dataclass(frozen=True)
 class Fit:
-    """How a field is fitted: rounds of averaging, shards of the sample, words per step, step size, decay of weights."""
+    """How a field is fitted: rounds of averaging, shards of the sample, words per step, step size, pull of weights to 0 per step."""
 
     rounds: int = 2
     shards: int = 6
     batch: int = 16_384
     rate: float = 0.3
-    decay: float = 1e-5
+    decay: float = 1e-2
 
 
 def _descend(model: Model, words: Sequence[str], codes: np.ndarray, tags: np.ndarray, first: np.ndarray, how: Fit, seed: int) -> None:
@@ -218,16 +218,16 @@ def _descend(model: Model, words: Sequence[str], codes: np.ndarray, tags: np.nda
         error[np.arange(n), truth] -= 1
         per_word = np.stack([np.bincount(own, error[:, j], len(seen)) for j in range(k)], 1)
         used, place = np.unique(slots, return_inverse=True)
-        grad = np.stack([np.bincount(place, per_word[owner, j], len(used)) for j in range(k)], 1) / n + how.decay * model.weights[used]
+        grad = np.stack([np.bincount(place, per_word[owner, j], len(used)) for j in range(k)], 1) + how.decay * model.weights[used]
         spread[used] += grad * grad
         model.weights[used] -= how.rate * grad / np.sqrt(spread[used])
         real = np.zeros((k, k))
         inner = ~begin[1:]
         np.add.at(real, (truth[:-1][inner], truth[1:][inner]), 1)
-        grad_a = (chain.expected_steps() - real) / n + how.decay * model.transitions
+        grad_a = chain.expected_steps() - real + how.decay * model.transitions
         spread_a += grad_a * grad_a
         model.transitions -= how.rate * grad_a / np.sqrt(spread_a)
-        grad_s = error[begin].sum(0) / n
+        grad_s = error[begin].sum(0)
         spread_s += grad_s * grad_s
         model.start -= how.rate * grad_s / np.sqrt(spread_s)
 

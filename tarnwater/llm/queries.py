@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwater.llm import chat, exact_dedup, language, mtree, packing, token_files, url_filter
+from tarnwater.llm import chat, exact_dedup, language, mtree, packing, token_files, toxicity, url_filter
 from tarnwater.session import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +167,11 @@ def op5_language_id(t: Tables) -> DataFrame:
     held = language.held_out(F.col("doc_id"), 5, 0)
     model = language.fit_language(t.documents.where(~held))
     return language.tag_languages(t.documents, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op6_toxicity(t: Tables) -> DataFrame:
+    """Toxicity of every document, learned from three quarters of the labels."""
+    held = language.held_out(F.col("doc_id"), 4, 2)
+    scorer = toxicity.fit_toxicity(t.documents, t.labels.where(~held))
+    return toxicity.score_toxicity(t.documents, scorer).select("doc_id", held.alias("held_out"), "score", "predicted")
