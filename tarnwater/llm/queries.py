@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwater.llm import chat, exact_dedup, language, mtree, packing, token_files, toxicity, url_filter
+from tarnwater.llm import chat, exact_dedup, language, mtree, near_dup, packing, token_files, toxicity, url_filter
 from tarnwater.session import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -175,3 +175,9 @@ def op6_toxicity(t: Tables) -> DataFrame:
     held = language.held_out(F.col("doc_id"), 4, 2)
     scorer = toxicity.fit_toxicity(t.documents, t.labels.where(~held))
     return toxicity.score_toxicity(t.documents, scorer).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+@query()
+def op4_near_duplicates(t: Tables) -> DataFrame:
+    """Class and number of links of every document: five words, similarity of 0.8 or more."""
+    return near_dup.near_duplicates(t.documents).select("doc_id", "class_id", "links")
