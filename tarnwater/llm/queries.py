@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwater.llm import chat, exact_dedup, language, mtree, near_dup, packing, token_files, toxicity, url_filter
+from tarnwater.llm import chat, exact_dedup, language, mixing, mtree, near_dup, packing, token_files, toxicity, url_filter
 from tarnwater.session import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +181,9 @@ def op6_toxicity(t: Tables) -> DataFrame:
 def op4_near_duplicates(t: Tables) -> DataFrame:
     """Class and number of links of every document: five words, similarity of 0.8 or more."""
     return near_dup.near_duplicates(t.documents).select("doc_id", "class_id", "links")
+
+
+@query()
+def op7_mixing(t: Tables) -> DataFrame:
+    """Every document's place in the mixture of its sources, weighted by the root of their sizes."""
+    return mixing.mix(t.documents).select("doc_id", F.col("_source").alias("source"), F.col("_block").alias("block"), F.col("_slot").alias("slot"), F.col("_position").alias("position"))
