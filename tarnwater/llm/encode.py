@@ -16,6 +16,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Pieces kept per Python worker; beyond that the table starts anew. About 200 MB.
 CACHED_PIECES = 1_000_000
@@ -28,6 +30,11 @@ END_ID = 2
 _WORD_END = re.compile("([a-zß-öø-ÿ]+)([.,])", re.ASCII)
 
 
+def whole_rows(table: DataFrame) -> DataFrame:
+    """Each row of a table as one value, ``row``, so that no name of its columns meets one of an operator's own."""
+    return table.select(F.struct(*[F.col(f"`{c}`") for c in table.columns]).alias("row"))
+
+
 def worker_state() -> dict:
     """A dictionary that lives as long as the Python worker and is shared by its tasks."""
     return sys.modules.setdefault("_tarnwater_worker", types.ModuleType("_tarnwater_worker")).__dict__

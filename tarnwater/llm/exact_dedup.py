@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnwater.llm.encode import whole_rows
 from tarnwater.session import materialize
 
 SHORTEST, LONGEST = 768, 8192
@@ -64,8 +65,7 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
 
 def without_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns. Of rows that repeat text and doc_id, one stays."""
-    kept = duplicate_groups(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    rows = docs.withColumn("_sha_of", F.sha2(normalised(F.col("text")), 256))
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_sha_of") == F.col("_sha"))
-    unique = rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_sha_of"])
-    return unique.select(*docs.columns)
+    kept = duplicate_groups(docs).where("kept").select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha"))
+    rows = whole_rows(docs).withColumns({"doc_id": F.col("row.doc_id").cast("bigint"), "text_sha256": F.sha2(normalised(F.col("row.text")), 256)})
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_sha256") == F.col("sha"))
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text_sha256"]).select("row.*")

@@ -11,7 +11,7 @@ buckets, so a source that holds most of the rows is spread like any other.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from fractions import Fraction
 
@@ -92,10 +92,11 @@ def phases(blocks: Mapping[str, int], weights: Mapping[str, float], slots: int =
 
 
 def mix(
-    docs: DataFrame, weights: Mapping[str, float] | None = None, block_rows: int = BLOCK_ROWS, slots: int = SLOTS, temperature: float = TEMPERATURE, bucket_rows: int = BUCKET_ROWS
+    docs: DataFrame, weights: Mapping[str, float] | None = None, block_rows: int = BLOCK_ROWS, slots: int = SLOTS, temperature: float = TEMPERATURE, bucket_rows: int = BUCKET_ROWS,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The rows of ``docs`` with their place in the mixture, _source, _block (number in its source), _slot (number in the mixture), _position (of the row): all
-    rows, once each.
+    """The rows of ``docs``, each as one value ``row``, with their place in the mixture: source, block (number in its source), slot (number in
+    the mixture), position (of the row). All rows, once each; ``columns``: only those of their columns.
 
     weights: target weight of each source, above 0; without, the number of its rows to the power ``temperature``. A null source is the source ``''``. Sources
     without a weight raise an error. The rows of a source stand in the order of a hash of doc_id and text, then doc_id; rows that
@@ -115,31 +116,32 @@ def mix(
     spark = docs.sparkSession
     buckets = max(1, -(-max(counts.values(), default=1) // bucket_rows))
 
-    rows = docs.withColumn("_source", source).withColumn("_hash", hashed).withColumn("_bucket", F.pmod(F.shiftright("_hash", 8), F.lit(buckets)))
-    keys = docs.select(source.alias("_source"), F.pmod(F.shiftright(hashed, 8), F.lit(buckets)).alias("_bucket"))
-    sizes = keys.groupBy("_source", "_bucket").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    bucket = F.pmod(F.shiftright(hashed, 8), F.lit(buckets))
+    row = F.struct(*[F.col(f"`{c}`") for c in columns or docs.columns]).alias("row")
+    rows = docs.select(row, F.col("doc_id").alias("doc_id"), source.alias("source"), hashed.alias("hash"), bucket.alias("bucket"))
+    sizes = docs.select(source.alias("source"), bucket.alias("bucket")).groupBy("source", "bucket").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     # One row per source and bucket, of three numbers.
-    starts = sizes.select("_source", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy("_source", "_bucket").orderBy("_hash", "doc_id")
-    numbered = rows.withColumn("_inside", F.row_number().over(inside) - 1).join(starts, ["_source", "_bucket"])
-    numbered = numbered.withColumn("_number", F.col("_start") + F.col("_inside")).withColumn("_block", F.floor(F.col("_number") / block_rows))
+    starts = sizes.select("source", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    inside = Window.partitionBy("source", "bucket").orderBy("hash", "doc_id")
+    numbered = rows.withColumn("inside", F.row_number().over(inside) - 1).join(starts, ["source", "bucket"])
+    numbered = numbered.withColumn("number", F.col("start") + F.col("inside")).withColumn("block", F.floor(F.col("number") / block_rows))
 
     segments = [(s, p.number, p.start, p.done[s], (plan[p.number + 1].done[s] if p.number + 1 < len(plan) else -(-counts[s] // block_rows)), c) for p in plan for s, c in p.parts.items()]
     slots_of = [(s, number, j, t) for number, at in places.items() for s, ts in at.items() for j, t in enumerate(ts)]
     # At most MOST_SOURCES**2 and MOST_SOURCES * slots rows.
-    segment = F.broadcast(spark.createDataFrame(segments, "_source string, _phase int, _phase_start bigint, _first bigint, _end bigint, _parts int"))
-    slot = F.broadcast(spark.createDataFrame(slots_of, "_source string, _phase int, _in_period bigint, _at bigint"))
-    own = (F.col("_block") >= F.col("_first")) & (F.col("_block") < F.col("_end"))
-    placed = numbered.join(segment, "_source").where(own).withColumn("_in_phase", F.col("_block") - F.col("_first"))
-    placed = placed.withColumn("_in_period", F.col("_in_phase") % F.col("_parts")).join(slot, ["_source", "_phase", "_in_period"])
-    placed = placed.withColumn("_slot", F.col("_phase_start") + F.floor(F.col("_in_phase") / F.col("_parts")) * slots + F.col("_at"))
-    return placed.withColumn("_position", F.col("_slot") * block_rows + F.col("_number") % block_rows).select(*docs.columns, "_source", "_block", "_slot", "_position")
+    segment = F.broadcast(spark.createDataFrame(segments, "source string, phase int, phase_start bigint, first bigint, end bigint, parts int"))
+    slot = F.broadcast(spark.createDataFrame(slots_of, "source string, phase int, in_period bigint, at bigint"))
+    own = (F.col("block") >= F.col("first")) & (F.col("block") < F.col("end"))
+    placed = numbered.join(segment, "source").where(own).withColumn("in_phase", F.col("block") - F.col("first"))
+    placed = placed.withColumn("in_period", F.col("in_phase") % F.col("parts")).join(slot, ["source", "phase", "in_period"])
+    placed = placed.withColumn("slot", F.col("phase_start") + F.floor(F.col("in_phase") / F.col("parts")) * slots + F.col("at"))
+    return placed.select("row", "source", "block", "slot", (F.col("slot") * block_rows + F.col("number") % block_rows).alias("position"))
 
 
 def in_order(mixed: DataFrame) -> DataFrame:
-    """The rows in the mixture's order: ranges of positions, sorted, for a writer that keeps them as they come."""
-    return mixed.repartitionByRange("_position").sortWithinPartitions("_position")
+    """The documents in the mixture's order: ranges of positions, sorted, for a writer that keeps rows as they come."""
+    return mixed.repartitionByRange("position").sortWithinPartitions("position").select("row.*")
 
 
 def largest_deviation(mixed_slots: list[str], parts: Mapping[str, int]) -> Fraction:

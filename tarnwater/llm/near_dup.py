@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnwater.llm.crf import word_table
-from tarnwater.llm.encode import text_slices
+from tarnwater.llm.encode import text_slices, whole_rows
 from tarnwater.session import materialize
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.999
@@ -107,8 +107,8 @@ def signatures(docs: DataFrame, words: int, shape: tuple[int, int]) -> DataFrame
     return materialize(rows.mapInArrow(sign, _ROWS), "signatures")
 
 
-def _text_hash() -> Column:
-    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+def _text_hash(text: str = "text") -> Column:
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -310,7 +310,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: float = THRE
 
 def one_per_class(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of rows that repeat doc_id and text, one stays."""
-    kept = near_duplicates(docs, words, threshold, recall).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    rows = docs.withColumn("_hash_of", _text_hash())
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_hash_of") == F.col("_hash"))
-    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_hash_of"]).select(*docs.columns)
+    kept = near_duplicates(docs, words, threshold, recall).where("kept").select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    rows = whole_rows(docs).withColumns({"doc_id": F.col("row.doc_id").cast("bigint"), "text_hash": _text_hash("row.text")})
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text_hash"]).select("row.*")

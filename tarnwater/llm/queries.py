@@ -186,4 +186,4 @@ def op4_near_duplicates(t: Tables) -> DataFrame:
 @query()
 def op7_mixing(t: Tables) -> DataFrame:
     """Every document's place in the mixture of its sources, weighted by the root of their sizes."""
-    return mixing.mix(t.documents).select("doc_id", F.col("_source").alias("source"), F.col("_block").alias("block"), F.col("_slot").alias("slot"), F.col("_position").alias("position"))
+    return mixing.mix(t.documents, columns=["doc_id"]).select("row.doc_id", "source", "block", "slot", "position")
