@@ -32,14 +32,14 @@ def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in the order of the mixture, which the written files keep: by file name, and by row inside a file."""
-    return mixing.in_order(mixing.mix(docs)).select(*docs.columns)
+    return mixing.in_order(mixing.mix(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of 4096 ids, documents one behind another in the order of the files."""
     name = F.col("_metadata.file_name")
     number = F.lpad(F.regexp_extract(name, r"part-(\d+)", 1), 12, "0")
-    placed = docs.select("*", F.concat(number, name).alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    placed = docs.select("doc_id", "text", F.concat(number, name).alias("_file"), F.col("_metadata.row_index").alias("_row"))
     return packing.pack(placed, order=("_file", "_row"))
 
 
