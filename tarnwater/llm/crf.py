@@ -35,10 +35,14 @@ def word_table(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct words (runs of letters, marks and digits, lower-cased), the number of each word of the texts in them, and the n + 1
     places where texts begin."""
     plain = pc.replace_substring_regex(pc.fill_null(texts, "").cast(pa.large_string()), pattern=_NO_WORD, replacement=" ")
-    lists = pc.list_flatten(words := pc.ascii_split_whitespace(pc.ascii_trim_whitespace(plain)))
-    coded = lists.dictionary_encode()
+    words = pc.ascii_split_whitespace(plain)
+    coded = words.flatten().dictionary_encode()
+    names, codes = coded.dictionary.to_pylist(), np.asarray(coded.indices, np.int64)
     bounds = np.asarray(words.offsets, np.int64)
-    return [w.lower() for w in coded.dictionary.to_pylist()], np.asarray(coded.indices, np.int64), bounds - bounds[0]
+    # Blanks at an end of a text, and texts without words, give empty words.
+    real = codes != names.index("") if "" in names else np.ones(len(codes), bool)
+    upto = np.concatenate([[0], np.cumsum(real)])
+    return [w.lower() for w in names], codes[real], upto[bounds - bounds[0]]
 
 
 def _slot(hashed: np.ndarray, kind: int) -> np.ndarray:
@@ -122,8 +126,8 @@ class Model:
     def marginals(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Probability of each tag at every word of some texts, and the n + 1 places where texts begin."""
         words, codes, bounds = word_table(texts)
-        if not len(codes):
-            return np.zeros((0, len(self.tags))), bounds
+        if not len(codes) or not self.tags:
+            return np.zeros((len(codes), len(self.tags))), bounds
         first = np.zeros(len(codes), bool)
         first[bounds[:-1][np.diff(bounds) > 0]] = True
         chain = Chain(self.emissions(words)[codes], first, self.transitions, self.start)
