@@ -1,6 +1,6 @@
 """Exact duplicates by content-defined chunk recipes, in DataFrame functions only.
 
-A text is cut where its own content says so: after SHORTEST signs at the first place where two signs of a fixed set and a blank, or
+A text is cut where its own content says so: after SHORTEST signs at the first place where four signs of a fixed set and a blank, or
 a mark that ends sentences without blanks, have just been read; after LONGEST at the latest. Equal texts give equal chunks, and long documents that share passages share
 most of theirs. A document's recipe is its ordered list of chunk identifiers. An identifier is the 64-bit hash of the chunk, once it
 is verified: every distinct (hash, chunk) is brought together once, already reduced in the tasks, to find hashes that stand for two
@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from tarnwater.llm.encode import whole_rows
 from tarnwater.session import materialize
 
-SHORTEST, LONGEST = 768, 8192
+SHORTEST, LONGEST = 256, 8192
 
-_CHUNK = rf"(?s).{{{SHORTEST},{LONGEST}}}?(?:(?<=[a-h0-4][a-h0-4.,][ \n])|(?<=[。、！？]))|.{{1,{LONGEST}}}"
+_CHUNK = rf"(?s).{{{SHORTEST},{LONGEST}}}?(?:(?<=[a-h0-4]{{4}}[.,]?[ \n])|(?<=[。、！？]))|.{{1,{LONGEST}}}"
 
 
 def normalised(text: Column) -> Column:
