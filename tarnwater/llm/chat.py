@@ -10,6 +10,8 @@ so no mark can stand there; a newline in a role gets a backslash before it. Remo
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +42,7 @@ def turns_as_tree(turns: DataFrame) -> DataFrame:
 
 def _steps(nodes: DataFrame) -> list[DataFrame]:
     """Tables of steps of 1, 2, 4, ... messages upwards: (tree, node, up, top, score, depth). ``up`` is null beyond the root; score and depth count the
-    message and those stepped over. In the last table all that have a root have arrived there."""
+    message and those stepped over. A message that has arrived at its root is in no later table, so late rounds hold long threads only."""
     ids = nodes.select("tree", F.col("node").alias("parent"))
     known = nodes.join(ids, ["tree", "parent"], "left_semi").select("tree", "node", F.col("parent").alias("up"))
     first = nodes.select("tree", "node", F.coalesce("score", F.lit(0.0)).alias("score")).join(known, ["tree", "node"], "left")
@@ -48,30 +50,35 @@ def _steps(nodes: DataFrame) -> list[DataFrame]:
     tables = [materialize(first, "steps")]
     n = tables[0].count()
     while 1 << (len(tables) - 1) < n and not tables[-1].where(F.col("up").isNotNull()).isEmpty():
-        near = tables[-1]
-        far = near.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("top").alias("top2"), F.col("score").alias("score2"), F.col("depth").alias("depth2"))
-        both = near.join(far, ["tree", "up"], "left")
-        tables.append(materialize(both.select(
-            "tree", "node", F.col("up2").alias("up"), F.coalesce("top2", "top").alias("top"),
-            (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"),
-        ), "steps"))
+        near = tables[-1].where(F.col("up").isNotNull())
+        everyone = _arrived(tables).union(near)
+        far = everyone.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("top").alias("top2"), F.col("score").alias("score2"), F.col("depth").alias("depth2"))
+        stepped = near.join(far, ["tree", "up"]).select("tree", "node", F.col("up2").alias("up"), F.col("top2").alias("top"), (F.col("score") + F.col("score2")).alias("score"), (F.col("depth") + F.col("depth2")).alias("depth"))
+        tables.append(materialize(stepped, "steps"))
     return tables
 
 
+def _arrived(tables: list[DataFrame]) -> DataFrame:
+    """Messages that have reached their root, from all rounds."""
+    return reduce(DataFrame.union, [t.where(F.col("up").isNull()) for t in tables])
+
+
 def best_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     """Messages on the chosen root-to-leaf paths: tree, leaf, rank, node, distance (messages between it and the leaf).
 
-    A path's score is the sum of its messages' scores; of each root the ``branches`` best paths are kept, ties to the smaller leaf.
+    A path's score is the sum of its messages' scores; of each root the ``branches`` best paths are kept, ties to the smaller leaf. Going from the
+    longest step to the shortest, each message found so far adds the one that many above it.
     """
     tables = _steps(nodes)
-    leaves = tables[-1].where(F.col("up").isNull()).join(nodes.select("tree", F.col("parent").alias("node")), ["tree", "node"], "left_anti")
+    leaves = _arrived(tables).join(nodes.select("tree", F.col("parent").alias("node")), ["tree", "node"], "left_anti")
     order = Window.partitionBy("tree", "top").orderBy(F.desc("score"), "node")
     chosen = leaves.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= branches)
     paths = chosen.select("tree", F.col("node").alias("leaf"), "rank", "node", F.lit(0).cast("bigint").alias("distance"))
-    for k, table in enumerate(tables[:-1]):
-        stepped = paths.join(table.select("tree", "node", "up"), ["tree", "node"])
+    for k in range(len(tables) - 1, -1, -1):
+        up = tables[k].where(F.col("up").isNotNull()).select("tree", "node", "up")
         both = F.array(F.struct(F.col("node"), F.col("distance")), F.struct(F.col("up").alias("node"), (F.col("distance") + (1 << k)).alias("distance")))
-        paths = stepped.select("tree", "leaf", "rank", F.explode(both).alias("at")).where("at.node IS NOT NULL").select("tree", "leaf", "rank", "at.node", "at.distance")
+        both = F.filter(both, lambda at: at["node"].isNotNull())
+        paths = paths.join(up, ["tree", "node"], "left").select("tree", "leaf", "rank", F.explode(both).alias("at")).select("tree", "leaf", "rank", "at.node", "at.distance")
     return paths
 
 
