@@ -37,8 +37,9 @@ def outer(left: Column, right: Column) -> Column:
 
 
 def clip_array(values: Column, low: float, high: float) -> Column:
-    """Every element limited to [low, high]."""
-    return F.transform(values, lambda x: F.least(F.greatest(x, F.lit(low)), F.lit(high)))
+    """Every element limited to [low, high]; NULL and NaN stay as they are."""
+    kept = lambda x: x.isNull() | F.isnan(x.cast("double"))
+    return F.transform(values, lambda x: F.when(kept(x), x).otherwise(F.least(F.greatest(x, F.lit(low)), F.lit(high))))
 
 
 def _repeated(value: Column, values: Column) -> Column:

@@ -31,5 +31,6 @@ def nibble_lookup(byte: Column, table: Sequence[int]) -> Column:
 
 
 def binary_text(value: Column, width: int) -> Column:
-    """Binary digits, left padded with zeros to ``width``; longer numbers keep their last ``width`` digits."""
-    return F.right(F.lpad(F.bin(value), 64, "0"), F.lit(width))
+    """Binary digits, left padded with zeros to ``width``; longer numbers keep all their digits."""
+    digits = F.bin(value)
+    return F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,9 +12,10 @@ def log_shift(value: Column, shift: float = 0.5) -> Column:
 
 
 def clip(value: Column, low: Column | float, high: Column | float) -> Column:
-    """Value limited to [low, high]; NULL stays NULL."""
+    """Value limited to [low, high]; NULL stays NULL and NaN stays NaN."""
     as_column = lambda v: v if isinstance(v, Column) else F.lit(v)
-    return F.when(value.isNotNull(), F.least(F.greatest(value, as_column(low)), as_column(high)))
+    limited = F.least(F.greatest(value, as_column(low)), as_column(high))
+    return F.when(value.isNull() | F.isnan(value.cast("double")), value).otherwise(limited)
 
 
 def bucket_label(value: Column, limit: float, below: str, otherwise: str) -> Column:
@@ -50,8 +49,3 @@ def map_values(value: Column, mapping: dict, default: Column | None = None) -> C
     if result is None:
         raise ValueError("the mapping is empty")
     return result.otherwise(default) if default is not None else result
-
-
-def mask_unless(columns: Sequence[str], threshold: float) -> list[Column]:
-    """Each cell where it exceeds the threshold, else NULL."""
-    return [F.when(F.col(c) > threshold, F.col(c)).alias(c) for c in columns]

@@ -12,6 +12,10 @@ from tarnwater.operators.order import exact_quantiles
 from tarnwater.operators.table import numeric_columns
 
 
+# Bound of the columns that a pivot or transpose makes.
+MOST_COLUMNS = 1000
+
+
 def group_count(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
     """Rows per key."""
     return df.groupBy(*keys).agg(F.count("*").alias(name))
@@ -57,9 +61,17 @@ def describe_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return stats.join(wide, "column_name", "left")
 
 
-def pivot(df: DataFrame, keys: Sequence[str], column: str, values: Sequence, value: Column, fill=None) -> DataFrame:
-    """Aggregate per key and per listed pivot value. Listing the values saves a job and bounds the width."""
-    wide = df.groupBy(*keys).pivot(column, list(values)).agg(value)
+def column_values(df: DataFrame, column: str, most: int = MOST_COLUMNS) -> list:
+    """All values of a column in order, NULL first; an error if there are more than ``most``."""
+    found = [r[0] for r in df.select(column).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values")
+    return sorted(found, key=lambda v: (v is not None, v))
+
+
+def pivot(df: DataFrame, keys: Sequence[str], column: str, value: Column, fill=None, most: int = MOST_COLUMNS) -> DataFrame:
+    """Aggregate per key, one column for every value of ``column``; an error if there are more than ``most``."""
+    wide = df.groupBy(*keys).pivot(column, column_values(df, column, most)).agg(value)
     return wide if fill is None else wide.na.fill(fill)
 
 
@@ -68,15 +80,18 @@ def unpivot(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str
     return df.unpivot(list(ids), list(columns), name, value)
 
 
-def transpose(df: DataFrame, key: str, labels: Sequence[str], columns: Sequence[str], name: str = "measure") -> DataFrame:
-    """Swap rows and columns: one row per column, one column per listed row label."""
+def transpose(df: DataFrame, key: str, columns: Sequence[str], name: str = "measure", most: int = MOST_COLUMNS) -> DataFrame:
+    """Swap rows and columns: one row per column, one column per row label; an error if there are more than ``most`` labels."""
+    labels = column_values(df, key, most)
     long = df.select(key, *[F.col(c).cast("double").alias(c) for c in columns])
     long = unpivot(long, [key], columns, name, "_value")
-    return long.groupBy(name).pivot(key, list(labels)).agg(F.first("_value", ignorenulls=True))
+    return long.groupBy(name).pivot(key, labels).agg(F.first("_value", ignorenulls=True))
 
 
 def value_share(counts: DataFrame, keys: Sequence[str], count: str = "n", name: str = "percent") -> DataFrame:
-    """Percent of the group total; ``counts`` holds the already aggregated rows."""
+    """Percent of the group total, of the whole table without keys; ``counts`` holds the already aggregated rows."""
+    if not keys:
+        return counts.withColumn(name, 100.0 * F.col(count) / counts.agg(F.sum(count).alias("_total")).scalar())
     totals = counts.groupBy(*keys).agg(F.sum(count).alias("_total"))
     return join_null_safe(counts, totals, keys).withColumn(name, 100.0 * F.col(count) / F.col("_total")).drop("_total")
 

@@ -31,6 +31,17 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
     return left.join(renamed, reduce(lambda a, b: a & b, same)).drop(*[f"_right_{k}" for k in keys])
 
 
+def except_all(left: DataFrame, right: DataFrame, chunk: int = 10_000) -> DataFrame:
+    """Rows of ``left`` minus rows of ``right``, repeats counted. Rows are counted and subtracted per distinct row; each remaining number is then
+    dealt out in chunks, so a row that occurs very often doesn't come out of one task."""
+    columns = left.columns
+    signed = left.withColumn("_n", F.lit(1)).union(right.toDF(*columns).withColumn("_n", F.lit(-1)))
+    rest = signed.groupBy(*columns).agg(F.sum("_n").alias("_n")).where("_n > 0")
+    chunks = rest.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / chunk)))).repartition(*columns, "_chunk")
+    repeats = F.least(F.lit(chunk), F.col("_n") - F.col("_chunk") * chunk).cast("int")
+    return chunks.select(*columns, F.explode(F.array_repeat(F.lit(0), repeats)).alias("_i")).select(*columns)
+
+
 def sums_by_dimension(facts: DataFrame, dimension: DataFrame, key: str, group: str, value: str, count: str = "n", total: str = "total") -> DataFrame:
     """Rows and value sum of the facts per attribute of a dimension with a unique key. Facts are summed per key before
     the join: a key with a large share of the rows shrinks to one row in the map tasks."""

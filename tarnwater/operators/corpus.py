@@ -14,12 +14,6 @@ from tarnwater.functions.text import STOP_WORDS, VOCABULARY_SIZE, ngrams, tokens
 from tarnwater.operators.order import row_positions
 from tarnwater.session import row_bound
 
-# A vocabulary up to this many words is broadcast and numbered in one task; a larger one is joined by shuffle.
-SMALL_VOCABULARY = 100_000
-# A word list up to this length is written into the plan.
-SHORT_LIST = 10_000
-
-
 def tokenize(docs: DataFrame, text: str = "text", stop_words: Sequence[str] = STOP_WORDS, name: str = "tokens") -> DataFrame:
     """Replace the text column by its token array."""
     return docs.withColumn(name, tokens(F.col(text), stop_words)).drop(text)
@@ -58,71 +52,75 @@ def vocabulary(counts: DataFrame, top_n: int = VOCABULARY_SIZE, min_df: int = 0,
     return kept.orderBy(F.desc("n"), F.asc("word")).limit(top_n) if top_n > 0 else kept
 
 
-def is_small(words: DataFrame) -> bool:
-    """Whether the plan itself proves that the table has few rows, as after a top-N cut."""
-    bound = row_bound(words)
-    return bound is not None and bound <= SMALL_VOCABULARY
+def _bounded(words: DataFrame) -> DataFrame:
+    """The table itself, if its plan proves a bound of its rows, as after a top-N cut."""
+    if row_bound(words) is None:
+        raise ValueError("cut the vocabulary to its top words, or use the variant for vocabularies without a bound")
+    return words
 
 
 def number_words(vocab: DataFrame) -> DataFrame:
-    """Alphabetical, 0-based ids (word, word_id). A vocabulary without a small bound is numbered by distributed ranks."""
-    words = vocab.select("word")
-    if is_small(words):
-        return words.select("word", (F.row_number().over(Window.orderBy("word")) - 1).alias("word_id"))
-    numbered = row_positions(words, ["word"], "word_id")
-    return numbered.withColumn("word_id", F.col("word_id").cast("int")).select("word", "word_id")
+    """Alphabetical, 0-based ids (word, word_id) of a vocabulary cut to its top words."""
+    words = _bounded(vocab).select("word")
+    return words.select("word", (F.row_number().over(Window.orderBy("word")) - 1).alias("word_id"))
 
 
-def keep_known(tokenized: DataFrame, key: str, words: DataFrame, column: str) -> DataFrame:
-    """Keep only the array elements that occur in ``words`` (column ``word``), order and repeats preserved.
+def number_all_words(vocab: DataFrame) -> DataFrame:
+    """The same for a vocabulary without a bound, by ranges of words; ids are bigint."""
+    return row_positions(vocab.select("word"), ["word"], "word_id").select("word", "word_id")
 
-    A word list that is proven short becomes a hashed set inside the row filter: no explode, no shuffle.
-    """
-    bound = row_bound(words)
-    if bound is not None and bound <= SHORT_LIST:
-        kept = [row["word"] for row in words.select("word").collect()]
-        return tokenized.select(key, F.filter(column, lambda w: w.isin(kept)).alias(column))
-    known = words.select("word").withColumn("word_id", F.lit(0))
-    return _lookup(tokenized, key, known, column, "word").withColumnRenamed("found", column)
+
+def keep_known(tokenized: DataFrame, key: str, words: DataFrame, column: str) -> DataFrame:
+    """Keep only the array elements that occur in ``words`` (column ``word``, bounded), order and repeats preserved."""
+    known = _bounded(words).select("word", F.col("word").alias("_same"))
+    return _lookup(tokenized, key, known, column, "_same").withColumnRenamed("found", column)
 
 
 def word_ids(tokenized: DataFrame, key: str, numbered: DataFrame, column: str = "tokens") -> DataFrame:
-    """Document to its list of vocabulary ids, unknown words dropped; (key, ids, n_ids)."""
-    return _lookup(tokenized, key, numbered, column, "word_id").withColumnRenamed("found", "ids")
+    """Document to its list of ids of a bounded vocabulary, unknown words dropped; (key, ids)."""
+    return _lookup(tokenized, key, _bounded(numbered), column, "word_id").withColumnRenamed("found", "ids")
 
 
 def _lookup(tokenized, key, numbered, column, wanted):
-    # Unknown words are dropped before grouping; a document's words meet again in one array no longer than the document.
-    # The outer form keeps the optimizer from adding a size(tokens) > 0 filter at the scan, which would tokenize twice.
-    long = tokenized.select(key, F.posexplode_outer(column).alias("pos", "word"))
-    hits = long.join(F.broadcast(numbered) if is_small(numbered) else numbered, "word").select(key, F.struct("pos", wanted).alias("hit"))
-    grouped = hits.groupBy(key).agg(F.array_sort(F.collect_list("hit")).alias("_hits"))
-    found = grouped.select(key, F.col(f"_hits.{wanted}").alias("found"))
-    nothing = F.array().cast(found.schema["found"].dataType)
-    return tokenized.select(key).join(found, key, "left").withColumn("found", F.coalesce("found", nothing))
+    # Documents are dealt by key once; the bounded vocabulary comes to them, and a document's words meet again where they are.
+    long = tokenized.select(key, column).repartition(key).select(key, F.posexplode_outer(column).alias("pos", "word"))
+    hits = long.join(F.broadcast(numbered), "word", "left")
+    hit = F.when(F.col(wanted).isNotNull(), F.struct("pos", wanted))
+    return hits.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(hit)), lambda h: h[wanted]).alias("found"))
+
+
+def word_ids_by_shuffle(tokenized: DataFrame, key: str, numbered: DataFrame, column: str = "tokens") -> DataFrame:
+    """The same for a vocabulary without a bound: words are joined by shuffle, and unknown ones are gone before documents are put together."""
+    long = tokenized.select(key, F.posexplode(column).alias("pos", "word"))
+    hits = long.join(numbered, "word").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "word_id"))).alias("_hits"))
+    found = hits.select(key, F.transform("_hits", lambda h: h["word_id"]).alias("ids"))
+    nothing = F.array().cast(found.schema["ids"].dataType)
+    return tokenized.select(key).join(found, key, "left").withColumn("ids", F.coalesce("ids", nothing))
 
 
 def known_counts(tokenized: DataFrame, key: str, numbered: DataFrame, column: str = "tokens") -> DataFrame:
     """Known words per document as counts (key, ids, times, n_ids), ids ascending: all that sizes and mean vectors need.
 
-    A vocabulary with a small bound becomes a count vectorizer, which looks words up inside the row: no explode, no
-    shuffle. Any other is joined.
+    The bounded vocabulary becomes a count vectorizer, which looks words up inside the row: no explode, no shuffle.
     """
-    if not is_small(numbered):
-        hits = tokenized.select(key, F.explode_outer(column).alias("word")).join(numbered, "word")
-        pairs = hits.groupBy(key, F.col("word_id").alias("id")).agg(F.count("*").cast("int").alias("times"))
-        grouped = pairs.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("id", "times"))).alias("_c"))
-        found = tokenized.select(key).join(grouped, key, "left")
-        nothing = F.array().cast("array<int>")
-        found = found.select(key, *[F.coalesce(F.col(f"_c.{c}"), nothing).alias(n) for c, n in (("id", "ids"), ("times", "times"))])
-    else:
-        words = [row["word"] for row in numbered.orderBy("word_id").select("word").collect()]
-        if not words:
-            none = F.array().cast("array<int>")
-            return tokenized.select(key, none.alias("ids"), none.alias("times"), F.lit(0).alias("n_ids"))
-        model = CountVectorizerModel.from_vocabulary(words, inputCol=column, outputCol="_counts")
-        sparse = model.transform(tokenized.select(key, column)).select(key, F.unwrap_udt("_counts").alias("_c"))
-        found = sparse.select(key, F.col("_c.indices").alias("ids"), F.col("_c.values").cast("array<int>").alias("times"))
+    words = [row["word"] for row in _bounded(numbered).orderBy("word_id").select("word").collect()]
+    if not words:
+        none = F.array().cast("array<int>")
+        return tokenized.select(key, none.alias("ids"), none.alias("times"), F.lit(0).alias("n_ids"))
+    model = CountVectorizerModel.from_vocabulary(words, inputCol=column, outputCol="_counts")
+    sparse = model.transform(tokenized.select(key, column)).select(key, F.unwrap_udt("_counts").alias("_c"))
+    found = sparse.select(key, F.col("_c.indices").alias("ids"), F.col("_c.values").cast("array<int>").alias("times"))
+    return found.withColumn("n_ids", F.aggregate("times", F.lit(0), lambda a, n: a + n))
+
+
+def known_counts_by_shuffle(tokenized: DataFrame, key: str, numbered: DataFrame, column: str = "tokens") -> DataFrame:
+    """The same for a vocabulary without a bound: words are joined by shuffle."""
+    hits = tokenized.select(key, F.explode_outer(column).alias("word")).join(numbered, "word")
+    pairs = hits.groupBy(key, F.col("word_id").alias("id")).agg(F.count("*").cast("int").alias("times"))
+    grouped = pairs.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("id", "times"))).alias("_c"))
+    found = tokenized.select(key).join(grouped, key, "left")
+    parts = (("id", "ids", numbered.schema["word_id"].dataType.simpleString()), ("times", "times", "int"))
+    found = found.select(key, *[F.coalesce(F.col(f"_c.{c}"), F.array().cast(f"array<{kind}>")).alias(n) for c, n, kind in parts])
     return found.withColumn("n_ids", F.aggregate("times", F.lit(0), lambda a, n: a + n))
 
 
@@ -137,18 +135,18 @@ def words_per_label(counted: DataFrame, labels: DataFrame, key: str, label: str)
     return sized.join(labels.select(key, label), key).groupBy(label).agg(F.sum("_n").alias("n_words"))
 
 
-def document_vectors(counted: DataFrame, key: str, vectors: DataFrame, dedupe: bool = True, n_words: int | None = None) -> DataFrame:
+def document_vectors(counted: DataFrame, key: str, vectors: DataFrame, dedupe: bool = True, numbered: DataFrame | None = None) -> DataFrame:
     """Mean of the word vectors of a document (key, n_ids, vector); NULL for a document without known words.
 
     ``counted`` comes from :func:`known_counts`, ``vectors`` holds (word_id, vector). With ``dedupe`` each distinct word
     is summed once but the sum is divided by the number of words with repeats; without it the result is the plain mean.
     Only one row per document and distinct word is exploded, and the sums are combined in the JVM before the shuffle.
-    With ``n_words`` only the vectors of ids below it are read, which bounds the table that is broadcast.
+    With ``numbered``, the bounded vocabulary, only its vectors are read and broadcast; without, vectors are joined by shuffle.
     """
     long = counted.select(key, "n_ids", F.inline_outer(F.arrays_zip("ids", "times")).alias("word_id", "times"))
     dense = vectors.select("word_id", array_to_vector(F.col("vector").cast("array<double>")).alias("_vector"))
-    if n_words is not None and n_words <= SMALL_VOCABULARY:
-        dense = F.broadcast(dense.where(F.col("word_id") < n_words))
+    if numbered is not None:
+        dense = F.broadcast(dense.join(F.broadcast(_bounded(numbered).select("word_id")), "word_id", "left_semi"))
     matched = long.join(dense, "word_id")
     # the mean weighted by w times the total weight is the sum of w * vector
     weight = F.lit(1.0) if dedupe else F.col("times").cast("double")

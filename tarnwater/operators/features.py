@@ -10,6 +10,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarnwater.operators.aggregate import column_values
+
 
 def string_index(df: DataFrame, columns: Sequence[str], handle_invalid: str = "error") -> DataFrame:
     """Add ``<column>_index``: 0 for the most frequent value, equal counts in order of the value."""
@@ -92,8 +94,14 @@ def component_prefix(df: DataFrame, k: int, column: str = "projected", name: str
     return VectorSlicer(inputCol=column, outputCol=name, indices=list(range(k))).transform(df)
 
 
-def count_value_histogram(df: DataFrame, columns: Sequence[str], values: Sequence[int], name: str = "column_name") -> DataFrame:
-    """Per column and listed cell value, the sum of the cells with that value (value x occurrences), missing as 0."""
+def count_value_histogram(df: DataFrame, columns: Sequence[str], name: str = "column_name") -> DataFrame:
+    """Per column and every cell value, the sum of the cells with that value (value x occurrences): (name, cell, total). NULL cells are left out."""
     cells = df.select(*[F.col(c).cast("bigint").alias(c) for c in columns]).unpivot([], list(columns), name, "cell")
-    wide = cells.groupBy(name).pivot("cell", list(values)).agg(F.sum("cell")).na.fill(0)
-    return wide.select(name, *[F.col(str(v)).alias(f"v{v}") for v in values])
+    return cells.where(F.col("cell").isNotNull()).groupBy(name, "cell").agg(F.sum("cell").alias("total"))
+
+
+def wide_histogram(histogram: DataFrame, name: str = "column_name", most: int = 1000) -> DataFrame:
+    """The same with one column ``v<value>`` for every value that occurs, missing as 0; an error above ``most`` values."""
+    values = column_values(histogram, "cell", most)
+    wide = histogram.groupBy(name).pivot("cell", values).agg(F.sum("total")).na.fill(0)
+    return wide.select(name, *[F.col(f"`{v}`").alias(f"v{v}") for v in values])

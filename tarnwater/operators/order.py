@@ -67,11 +67,6 @@ def top_rows(df: DataFrame, order_by: Sequence[Key], n: int) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
-def rank_small(df: DataFrame, order_by: Sequence[Key], name: str = "rank") -> DataFrame:
-    """Add a 1-based rank to a result that is already small, such as the output of :func:`top_rows`."""
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order_by)))
-
-
 def top_rows_per_group(df: DataFrame, group: Sequence[str], order_by: Sequence[Key], n: int, name: str = "rank") -> DataFrame:
     """First n rows of every group with their rank. The rank filter is applied per task before the shuffle, so a hot
     group sends at most n rows per task."""
@@ -92,19 +87,21 @@ def head_and_tail(df: DataFrame, key: str, n: int) -> DataFrame:
     return head.unionByName(tail)
 
 
-# A final value list up to this length is ranked in one task; above it the bracket is narrowed by another pass.
-RANK_IN_ONE_TASK = 200_000
+# Rank error of a sketch is about one part in this many.
 _SKETCH = 10_000
+# Passes that narrow or widen the brackets before it is an error.
+_MOST_PASSES = 30
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], max_values: int = RANK_IN_ONE_TASK
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], max_values: int = 10_000
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles as rows (column_name, probability, quantile).
 
-    Each pass brackets every wanted rank with a quantile sketch of known rank error, so the next pass only looks at a
-    few ten-thousandths of the rows. Once a bracket holds few distinct values their counts are ranked. Only one pair of
-    numbers per (column, probability) reaches the driver between passes. NULLs are ignored.
+    Each pass brackets every wanted rank with a quantile sketch, so the next pass only looks at a few ten-thousandths of the rows, and
+    counts the rows below and inside each bracket, which proves that the wanted ranks lie in it; a bracket that misses them is widened. Once a
+    bracket holds at most ``max_values`` distinct values their counts are ranked. Only a few numbers per (column, probability) reach
+    the driver between passes. NULLs are ignored.
     """
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     first = numbers.agg(*[F.count(c).alias(c) for c in columns]).first()
@@ -112,18 +109,26 @@ def exact_quantiles(
     brackets: dict[tuple[str, float], tuple[float | None, float | None]] = {key: (None, None) for key in wanted}
     below = {key: 0 for key in wanted}
     inside = {key: int(first[key[0]]) for key in wanted}
-    open_keys = list(wanted)
-    while open_keys:
-        bounds = _sketch_bounds(numbers, open_keys, brackets, below, inside, first)
-        brackets.update(bounds)
-        stats = numbers.agg(*_bracket_stats(open_keys, brackets)).first()
-        shrunk = []
+    open_keys, margins = list(wanted), {key: 2.0 / _SKETCH for key in wanted}
+    for _ in range(_MOST_PASSES):
+        if not open_keys:
+            break
+        bounds = _sketch_bounds(numbers, open_keys, brackets, below, inside, first, margins)
+        stats = numbers.agg(*_bracket_stats(open_keys, bounds)).first()
+        remaining = []
         for i, key in enumerate(open_keys):
-            below[key] = stats[f"below_{i}"]
-            if stats[f"inside_{i}"] < inside[key] and stats[f"distinct_{i}"] > max_values:
-                shrunk.append(key)
-            inside[key] = stats[f"inside_{i}"]
-        open_keys = shrunk
+            low = int(key[1] * (first[key[0]] - 1))
+            high = min(low + 1, first[key[0]] - 1)
+            if not stats[f"below_{i}"] <= low <= high < stats[f"below_{i}"] + stats[f"inside_{i}"]:
+                margins[key] *= 4
+                remaining.append(key)
+                continue
+            brackets[key], below[key], inside[key] = bounds[key], stats[f"below_{i}"], stats[f"inside_{i}"]
+            if stats[f"distinct_{i}"] > max_values:
+                remaining.append(key)
+        open_keys = remaining
+    if open_keys:
+        raise RuntimeError(f"no bracket found for {open_keys}")
     return _rank_brackets(numbers, wanted, brackets, below, first)
 
 
@@ -136,11 +141,11 @@ def _in_bracket(column: str, low: float | None, high: float | None) -> Column:
     return condition
 
 
-def _sketch_bounds(numbers, keys, brackets, below, inside, totals):
-    margin = 2.0 / _SKETCH
+def _sketch_bounds(numbers, keys, brackets, below, inside, totals, margins):
     requests = []
     for i, (column, p) in enumerate(keys):
         share = (p * (totals[column] - 1) - below[(column, p)]) / max(inside[(column, p)], 1)
+        margin = margins[(column, p)]
         pair = [max(share - margin, 0.0), min(share + margin + 1.0 / max(inside[(column, p)], 1), 1.0)]
         value = F.when(_in_bracket(column, *brackets[(column, p)]), F.col(f"`{column}`"))
         requests.append(F.percentile_approx(value, pair, _SKETCH).alias(str(i)))

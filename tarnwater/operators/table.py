@@ -66,9 +66,12 @@ def label_slice(df: DataFrame, key: str, first, last, columns: Sequence[str] | N
     return rows.select(*columns) if columns else rows
 
 
-def one_hot_columns(df: DataFrame, column: str, categories: Sequence[str], prefix: str | None = None) -> DataFrame:
-    """One 0/1 column per category, all categories kept."""
+def one_hot_columns(df: DataFrame, column: str, prefix: str | None = None, most: int = 1000) -> DataFrame:
+    """One 0/1 column for every category of the table, in order; an error if there are more than ``most``. A NULL gives zeros."""
     stem = column if prefix is None else prefix
+    categories = sorted(r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().limit(most + 1).collect())
+    if len(categories) > most:
+        raise ValueError(f"{column} has more than {most} categories")
     return df.withColumns({f"{stem}_{c}": F.when(F.col(column) == c, 1).otherwise(0) for c in categories})
 
 

@@ -11,8 +11,6 @@ from tarnwater.plans.registry import CELLS_SQL, digest_sql, long_vector, query,
 from tarnwater.plans.text import TOKENS_SQL
 from tarnwater.session import Tables
 
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
-
 
 def vectors(t: Tables) -> DataFrame:
     """Embeddings in double precision: (vec_id, label, v)."""
@@ -25,11 +23,9 @@ def as_long(df: DataFrame, array: str = "v", digits: int = 6) -> DataFrame:
 
 
 def user_counts(t: Tables) -> DataFrame:
-    """One map per user from event type to number of events; the types are a fixed list, so the map is bounded."""
-    counts = [F.count_if(F.col("event_type") == e) for e in EVENT_TYPES]
-    types = F.array(*[F.lit(e) for e in EVENT_TYPES])
-    per_user = t.events.groupBy("user_id").agg(F.map_from_arrays(types, F.array(*counts)).alias("m"))
-    return per_user.select("user_id", F.map_filter("m", lambda k, n: n > 0).alias("m"))
+    """One map per user from every event type to its number of events: as many entries as the user has types."""
+    counts = t.events.where(F.col("event_type").isNotNull()).groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
+    return counts.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("event_type", "n"))).alias("m"))
 
 
 USER_SQL = "user_types AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL)"

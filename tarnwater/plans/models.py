@@ -197,7 +197,7 @@ def document_features(t: Tables, learned: bool, dims: int = 16) -> DataFrame:
         vectors_ = t.embeddings.select(F.col("vec_id").alias("word_id"), F.col("embedding").alias("vector"))
         dims = 64
     counted = corpus.known_counts(docs, "doc_id", numbered)
-    means = corpus.document_vectors(counted, "doc_id", vectors_, n_words=text.WORDS)
+    means = corpus.document_vectors(counted, "doc_id", vectors_, numbered=numbered)
     filled = means.withColumn("vector", F.coalesce("vector", F.array_repeat(F.lit(0.0), dims)))
     rows = filled.select("doc_id", array_to_vector(fits.rectify("vector")).alias("features"))
     labelled = rows.join(t.labels.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
@@ -306,8 +306,8 @@ def rf_grid_search(t: Tables) -> DataFrame:
 
 def ratings(t: Tables) -> DataFrame:
     """Customer, part, quantity as rating, and the order time in seconds."""
-    orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").cast("int").alias("customer"), F.unix_timestamp("o_orderdate").alias("time"))
-    lines = t.lineitem.select("l_orderkey", F.col("l_partkey").cast("int").alias("part"), F.col("l_quantity").cast("float").alias("rating"))
+    orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("customer"), F.unix_timestamp("o_orderdate").alias("time"))
+    lines = t.lineitem.select("l_orderkey", F.col("l_partkey").alias("part"), F.col("l_quantity").cast("double").alias("rating"))
     return lines.join(orders, "l_orderkey").drop("l_orderkey")
 
 
@@ -340,7 +340,7 @@ def user_clusters(t: Tables) -> DataFrame:
 @query()
 def cluster_top_categories(t: Tables) -> DataFrame:
     members = recommend.members_of_largest(clusters(t), "cluster").select(F.col("id").alias("customer"))
-    items = t.part.select(F.col("p_partkey").cast("int").alias("part"), "p_type")
+    items = t.part.select(F.col("p_partkey").alias("part"), "p_type")
     return recommend.liked_categories(ratings(t), members, items, "customer", "part", "rating", "p_type", liked=26.0)
 
 
@@ -361,8 +361,8 @@ def kmeans_sizes(t: Tables) -> DataFrame:
     loved AS (SELECT l_partkey FROM mine GROUP BY 1 HAVING avg(l_quantity) >= 30)
     SELECT p_type, count(*) AS n FROM loved JOIN part ON l_partkey = p_partkey GROUP BY p_type ORDER BY n DESC, p_type LIMIT 10""")
 def segment_top_categories(t: Tables) -> DataFrame:
-    members = recommend.members_of_largest(t.customer, "c_mktsegment").select(F.col("c_custkey").cast("int").alias("customer"))
-    items = t.part.select(F.col("p_partkey").cast("int").alias("part"), "p_type")
+    members = recommend.members_of_largest(t.customer, "c_mktsegment").select(F.col("c_custkey").alias("customer"))
+    items = t.part.select(F.col("p_partkey").alias("part"), "p_type")
     return recommend.liked_categories(ratings(t), members, items, "customer", "part", "rating", "p_type", liked=30.0)
 
 

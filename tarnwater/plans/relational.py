@@ -58,9 +58,9 @@ def cast_columns(t: Tables) -> DataFrame:
     return cast.select("event_id", "k", "value", F.isnull("event_type").alias("no_number"))
 
 
-@query("SELECT c_custkey, CASE WHEN c_acctbal < 100 THEN 'Bonus' WHEN c_acctbal >= 100 THEN 'Malus' END AS class FROM customer")
+@query("SELECT c_custkey, CASE WHEN c_acctbal < 100 THEN 'low' WHEN c_acctbal >= 100 THEN 'high' END AS class FROM customer")
 def bucket_when(t: Tables) -> DataFrame:
-    return t.customer.select("c_custkey", bucket_label(F.col("c_acctbal"), 100, "Bonus", "Malus").alias("class"))
+    return t.customer.select("c_custkey", bucket_label(F.col("c_acctbal"), 100, "low", "high").alias("class"))
 
 
 @query("SELECT o_orderkey, CASE WHEN o_totalprice > 150000 THEN 1 ELSE 0 END AS is_large FROM orders")
@@ -258,7 +258,7 @@ def row_mean(t: Tables) -> DataFrame:
         coalesce(sum(l_quantity) FILTER (l_returnflag = 'N'), 0.0) AS "N", coalesce(sum(l_quantity) FILTER (l_returnflag = 'R'), 0.0) AS "R"
     FROM lineitem GROUP BY l_suppkey""")
 def pivot_sum(t: Tables) -> DataFrame:
-    return aggregate.pivot(t.lineitem, ["l_suppkey"], "l_returnflag", ["A", "N", "R"], F.sum("l_quantity"), fill=0)
+    return aggregate.pivot(t.lineitem, ["l_suppkey"], "l_returnflag", F.sum("l_quantity"), fill=0)
 
 
 @query(
@@ -267,8 +267,8 @@ def pivot_sum(t: Tables) -> DataFrame:
     + " FROM customer GROUP BY c_nationkey"
 )
 def pivot_mean(t: Tables) -> DataFrame:
-    wide = aggregate.pivot(t.customer, ["c_nationkey"], "c_mktsegment", SEGMENTS, F.avg("c_acctbal"))
-    return wide.select("c_nationkey", *[rounded(s).alias(s) for s in SEGMENTS])
+    wide = aggregate.pivot(t.customer, ["c_nationkey"], "c_mktsegment", F.avg("c_acctbal"))
+    return wide.select("c_nationkey", *[rounded(f"`{s}`").alias(s) for s in wide.columns[1:]])
 
 
 @query("""
@@ -292,13 +292,12 @@ def transpose_frame(t: Tables) -> DataFrame:
     per_nation = t.customer.groupBy("c_nationkey").agg(F.count("*").alias("n"), F.sum("c_acctbal").alias("s"))
     per_region = per_nation.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("r_name")
     measures = per_region.agg(F.sum("n").alias("n_customers"), rounded(F.sum("s"), 2).alias("balance"))
-    return aggregate.transpose(measures, "r_name", REGIONS, ["n_customers", "balance"])
+    return aggregate.transpose(measures, "r_name", ["n_customers", "balance"])
 
 
 @query("SELECT event_type, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 6) AS percent FROM events GROUP BY event_type")
 def value_counts(t: Tables) -> DataFrame:
-    counts = aggregate.group_count(t.events, "event_type").withColumn("_all", F.lit(1))
-    return aggregate.value_share(counts, ["_all"]).select("event_type", "n", rounded("percent").alias("percent"))
+    return aggregate.value_share(aggregate.group_count(t.events, "event_type"), []).select("event_type", "n", rounded("percent").alias("percent"))
 
 
 @query("SELECT s_suppkey, s_acctbal FROM supplier ORDER BY s_acctbal DESC, s_suppkey LIMIT 1")
@@ -363,11 +362,14 @@ def n_largest(t: Tables) -> DataFrame:
 
 
 @query("""
-    SELECT y || '' AS period, status, n FROM (
-        SELECT year(o_orderdate) AS y, o_orderstatus AS status, count(*) AS n FROM orders WHERE year(o_orderdate) IN (1995, 1996, 1997) GROUP BY 1, 2)""")
+    SELECT CAST(f AS VARCHAR) AS period, status, count(*) AS n
+    FROM (SELECT epoch(CAST(o_orderdate AS TIMESTAMP)) AS s, o_orderstatus AS status, min(epoch(CAST(o_orderdate AS TIMESTAMP))) OVER () AS lo, max(epoch(CAST(o_orderdate AS TIMESTAMP))) OVER () AS hi FROM orders),
+        (SELECT unnest([0.4, 0.6, 0.8]) AS f)
+    WHERE s < lo + (hi - lo) * CAST(f AS DOUBLE) GROUP BY ALL""")
 def union_tagged(t: Tables) -> DataFrame:
-    counts = t.orders.groupBy(F.year("o_orderdate").alias("y"), F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n"))
-    return combine.union_tagged({str(y): counts.where(F.col("y") == y).drop("y") for y in (1995, 1996, 1997)}, "period")
+    rows = t.orders.select(F.unix_timestamp("o_orderdate").cast("double").alias("s"), F.col("o_orderstatus").alias("status"))
+    train = {str(f): splits.time_range_split(rows, F.col("s"), f).where("is_train").groupBy("status").agg(F.count("*").alias("n")) for f in (0.4, 0.6, 0.8)}
+    return combine.union_tagged(train, "period")
 
 
 @query("""
@@ -375,7 +377,7 @@ def union_tagged(t: Tables) -> DataFrame:
     EXCEPT ALL SELECT l_returnflag, l_linestatus FROM lineitem WHERE l_quantity < 25""")
 def except_all(t: Tables) -> DataFrame:
     lineitem = t.lineitem
-    return lineitem.select("l_returnflag", "l_linestatus").exceptAll(lineitem.where("l_quantity < 25").select("l_returnflag", "l_linestatus"))
+    return combine.except_all(lineitem.select("l_returnflag", "l_linestatus"), lineitem.where("l_quantity < 25").select("l_returnflag", "l_linestatus"))
 
 
 @query("SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'")

@@ -29,9 +29,12 @@ def string_basics(t: Tables) -> DataFrame:
     )
 
 
-@query("SELECT o_orderkey, lpad(bin(o_orderkey), 32, '0') AS bits FROM orders")
+@query("""
+    WITH b AS (SELECT o_orderkey, bin(o_orderkey) AS d, bin(o_orderkey + 8589934592) AS w FROM orders)
+    SELECT o_orderkey, CASE WHEN length(d) < 32 THEN lpad(d, 32, '0') ELSE d END AS bits, CASE WHEN length(w) < 32 THEN lpad(w, 32, '0') ELSE w END AS wide FROM b""")
 def binary_text(t: Tables) -> DataFrame:
-    return t.orders.select("o_orderkey", bits.binary_text(F.col("o_orderkey"), 32).alias("bits"))
+    key = F.col("o_orderkey")
+    return t.orders.select("o_orderkey", bits.binary_text(key, 32).alias("bits"), bits.binary_text(key + F.lit(1 << 33), 32).alias("wide"))
 
 
 @query("SELECT l_orderkey, l_quantity, round(ln(l_quantity + 0.5), 6) AS log_quantity FROM lineitem")

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnwater.functions.text import STOP_WORDS
+from tarnwater.functions.text import STOP_WORDS, VOCABULARY_SIZE
 from tarnwater.operators import corpus, splits, table
 from tarnwater.plans.registry import long_vector, query, uniform_sql
 from tarnwater.session import Tables, spread
 
-WORDS = 500
+WORDS = VOCABULARY_SIZE
 
 _STOP_LIST = ", ".join(f"'{w}'" for w in STOP_WORDS)
 TOKENS_SQL = f"""
@@ -134,7 +134,9 @@ def _vector_sql(source: str) -> str:
 
 def _document_vectors(t: Tables, dedupe: bool) -> DataFrame:
     vectors = t.embeddings.select(F.col("vec_id").alias("word_id"), F.col("embedding").alias("vector"))
-    docs = corpus.document_vectors(counted(t), "doc_id", vectors, dedupe=dedupe, n_words=WORDS)
+    tokens = tokenized(t)
+    numbered = numbered_vocabulary(tokens)
+    docs = corpus.document_vectors(corpus.known_counts(tokens, "doc_id", numbered), "doc_id", vectors, dedupe=dedupe, numbered=numbered)
     return long_vector(docs, ["doc_id"], "vector").withColumn("pos", F.col("pos").cast("bigint"))
 
 

@@ -34,8 +34,8 @@ def test_log_fields(spark, line, expected):
 
 def test_bucket_limits_and_flags(spark):
     rows = spark.createDataFrame([(99.0,), (100.0,), (None,)], "v double")
-    labels = rows.select(numeric.bucket_label(F.col("v"), 100, "Bonus", "Malus").alias("b"), numeric.flag_above(F.col("v"), 99).alias("f"))
-    assert [tuple(r) for r in labels.collect()] == [("Bonus", 0), ("Malus", 1), (None, 0)]
+    labels = rows.select(numeric.bucket_label(F.col("v"), 100, "low", "high").alias("b"), numeric.flag_above(F.col("v"), 99).alias("f"))
+    assert [tuple(r) for r in labels.collect()] == [("low", 0), ("high", 1), (None, 0)]
 
 
 def test_tokens_and_ngrams(spark):
@@ -53,11 +53,12 @@ def test_stop_word_list():
 
 
 def test_digits_in_text(spark):
-    assert one(spark, F.regexp_extract_all(F.lit("45 09 dfs 56352 tta& 1"), F.lit("([0-9]+)"), F.lit(1))) == ["45", "09", "56352", "1"]
+    assert one(spark, F.regexp_extract_all(F.lit("on 7 of 0012 days, x31y"), F.lit("([0-9]+)"), F.lit(1))) == ["7", "0012", "31"]
 
 
 def test_bits(spark):
     assert one(spark, bits.binary_text(F.lit(5), 8)) == "00000101"
+    assert one(spark, bits.binary_text(F.lit((1 << 33) + 5), 32)) == "1" + "0" * 30 + "101"
     assert one(spark, bits.parity(F.lit(0b1011), 0b0011)) == 0
     table = [14, 4, 13, 1, 2, 15, 11, 8, 3, 10, 6, 12, 5, 9, 0, 7]
     inverse = bits.inverse_permutation(table)
@@ -78,6 +79,13 @@ def test_arrays(spark):
     assert [tuple(p) for p in one(spark, arrays.zip_shortest(lit_array([1, 2, 3]), lit_array([9, 8])))] == [(1, 9), (2, 8)]
 
 
+def test_clip_keeps_missing_values(spark):
+    values = F.array(F.lit(1.0), F.lit(None).cast("double"), F.lit(float("nan")), F.lit(-5.0))
+    low, missing, nan, high = one(spark, arrays.clip_array(values, -0.1, 0.1))
+    assert (low, missing, high) == (0.1, None, -0.1) and math.isnan(nan)
+    assert math.isnan(one(spark, numeric.clip(F.lit(float("nan")), 0.0, 1.0))) and one(spark, numeric.clip(F.lit(7), 0, 5)) == 5
+
+
 def test_softmax_is_stable(spark):
     got = one(spark, arrays.softmax(lit_array([1000.0, 1001.0])))
     assert got == pytest.approx([1 / (1 + math.e), math.e / (1 + math.e)]) and sum(got) == pytest.approx(1.0)

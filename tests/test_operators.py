@@ -155,17 +155,16 @@ def test_vocabulary_ties_and_document_frequency(spark):
 def test_ids_counts_and_mean_vectors(spark, top_n):
     docs = documents(spark)
     known = spark.createDataFrame([("dog",), ("cat",), ("emu",)], "word string")
-    numbered = corpus.number_words(known.limit(top_n) if top_n else known)
-    assert corpus.is_small(numbered) is bool(top_n)
+    numbered = corpus.number_words(known.limit(top_n)) if top_n else corpus.number_all_words(known)
     assert {r["word"]: r["word_id"] for r in numbered.collect()} == {"cat": 0, "dog": 1, "emu": 2}
-    ids = {r["doc_id"]: r["ids"] for r in corpus.word_ids(docs, "doc_id", numbered).collect()}
+    ids = {r["doc_id"]: r["ids"] for r in (corpus.word_ids if top_n else corpus.word_ids_by_shuffle)(docs, "doc_id", numbered).collect()}
     assert ids == {1: [0, 0, 1], 2: [], 3: [], 4: [1, 2], 5: []}
-    counted = corpus.known_counts(docs, "doc_id", numbered)
+    counted = (corpus.known_counts if top_n else corpus.known_counts_by_shuffle)(docs, "doc_id", numbered)
     assert {r["doc_id"]: (list(r["ids"]), list(r["times"]), r["n_ids"]) for r in counted.collect()} == {
         1: ([0, 1], [2, 1], 3), 2: ([], [], 0), 3: ([], [], 0), 4: ([1, 2], [1, 1], 2), 5: ([], [], 0),
     }
     vectors = spark.createDataFrame([(0, [3.0, 0.0]), (1, [0.0, 6.0]), (2, [2.0, 2.0])], "word_id int, vector array<double>")
-    mean = lambda **kw: {r["doc_id"]: r["vector"] for r in corpus.document_vectors(counted, "doc_id", vectors, n_words=top_n or None, **kw).collect()}
+    mean = lambda **kw: {r["doc_id"]: r["vector"] for r in corpus.document_vectors(counted, "doc_id", vectors, numbered=numbered if top_n else None, **kw).collect()}
     once, plain = mean(dedupe=True), mean(dedupe=False)
     assert once[1] == pytest.approx([1.0, 2.0]) and plain[1] == pytest.approx([2.0, 2.0]) and once[2] is None and once[3] is None
     assert corpus.longest(counted).first()["max_length"] == 3
@@ -174,8 +173,9 @@ def test_ids_counts_and_mean_vectors(spark, top_n):
 def test_known_grams_keep_order_and_repeats(spark):
     docs = spark.createDataFrame([(1, ["b", "a", "x", "b"]), (2, ["x"])], "id int, grams array<string>")
     known = spark.createDataFrame([("a",), ("b",)], "word string")
-    for words in (known, known.limit(5)):
-        assert {r["id"]: r["grams"] for r in corpus.keep_known(docs, "id", words, "grams").collect()} == {1: ["b", "a", "b"], 2: []}
+    assert {r["id"]: r["grams"] for r in corpus.keep_known(docs, "id", known.limit(5), "grams").collect()} == {1: ["b", "a", "b"], 2: []}
+    with pytest.raises(ValueError, match="top words"):
+        corpus.keep_known(docs, "id", known, "grams")
     assert {tuple(r) for r in corpus.gram_frequencies(docs, "grams").collect()} == {("b", 2), ("a", 1), ("x", 2)}
 
 
@@ -275,5 +275,26 @@ def test_feature_scaling(spark):
 
 def test_count_value_histogram(spark):
     df = spark.createDataFrame([(2, 1), (2, 0), (3, 2)], "p int, q int")
-    got = {r["column_name"]: tuple(r)[1:] for r in features.count_value_histogram(df, ["p", "q"], [1, 2, 3]).collect()}
-    assert got == {"p": (0, 4, 3), "q": (1, 2, 0)}
+    long = features.count_value_histogram(df, ["p", "q"])
+    assert {tuple(r) for r in long.collect()} == {("p", 2, 4), ("p", 3, 3), ("q", 0, 0), ("q", 1, 1), ("q", 2, 2)}
+    assert {r["column_name"]: tuple(r)[1:] for r in features.wide_histogram(long).collect()} == {"p": (0, 0, 4, 3), "q": (0, 1, 2, 0)}
+    with pytest.raises(ValueError, match="more than 2"):
+        features.wide_histogram(long, most=2)
+
+
+def test_pivot_finds_every_value(spark):
+    df = spark.createDataFrame([(1, "a", 2.0), (1, "new", 3.0), (2, None, 4.0)], "k int, c string, v double")
+    wide = aggregate.pivot(df, ["k"], "c", F.sum("v"), fill=0)
+    assert sorted(wide.columns) == ["a", "k", "new", "null"]
+    assert {r["k"]: (r["a"], r["new"], r["null"]) for r in wide.collect()} == {1: (2.0, 3.0, 0.0), 2: (0.0, 0.0, 4.0)}
+    with pytest.raises(ValueError, match="more than 2"):
+        aggregate.pivot(df, ["k"], "c", F.sum("v"), most=2)
+    swapped = aggregate.transpose(df.where("c IS NOT NULL"), "c", ["v"]).first()
+    assert (swapped["a"], swapped["new"]) == (2.0, 3.0)
+
+
+def test_except_all_in_chunks(spark):
+    left = spark.createDataFrame([("a",)] * 25 + [("b",)] * 3 + [(None,)] * 4, "x string")
+    right = spark.createDataFrame([("a",)] * 4 + [("b",)] * 5 + [(None,)] + [("c",)], "x string")
+    rows = combine.except_all(left, right, chunk=10).collect()
+    assert sorted((r["x"] or "") for r in rows) == [""] * 3 + ["a"] * 21
