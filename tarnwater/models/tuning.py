@@ -57,6 +57,12 @@ def best_params_json(model: CrossValidatorModel) -> str:
     return json.dumps({p.name: plain(v) for p, v in best.extractParamMap().items()}, sort_keys=True)
 
 
+def best_point(model: CrossValidatorModel) -> dict:
+    """The grid point with the best mean score, to fit again with."""
+    pick = max if model.getEvaluator().isLargerBetter() else min
+    return model.getEstimatorParamMaps()[model.avgMetrics.index(pick(model.avgMetrics))]
+
+
 def combinations(choices: Mapping[str, Sequence]) -> list[dict]:
     """All combinations of named settings that are not parameters of one estimator."""
     return [dict(zip(choices, values)) for values in product(*choices.values())]
