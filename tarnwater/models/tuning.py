@@ -24,7 +24,7 @@ def param_grid(choices: Mapping[Param, Sequence]) -> list[dict]:
 
 
 def cross_validate(
-    df: DataFrame, keys: Sequence[str], estimator: Estimator, grid: list[dict], evaluator: Evaluator, folds: int, seed: int, parallelism: int = 4
+    df: DataFrame, keys: Sequence[str], estimator: Estimator, grid: list[dict], evaluator: Evaluator, folds: int, seed: int, parallelism: int = 8
 ) -> CrossValidatorModel:
     """k-fold search. The fold of a row is the hash of its key, so a recomputed row stays in its fold."""
     folded = random_parts(df, keys, [1.0] * folds, seed, "_fold").cache()
