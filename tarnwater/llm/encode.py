@@ -8,10 +8,12 @@ word of Latin-1 letters.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import re
 import sys
 import types
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,26 @@ def worker_state() -> dict:
     return sys.modules.setdefault("_tarnwater_worker", types.ModuleType("_tarnwater_worker")).__dict__
 
 
+def release_memory(keep_encoders: bool = False) -> None:
+    """Give back what a task of this worker no longer needs, so that workers that wait don't hold it; the encoders' tables too, unless kept."""
+    if not keep_encoders:
+        worker_state().pop("encoders", None)
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(task: Callable[[Iterator], Iterator], keep_encoders: bool = False) -> Callable[[Iterator], Iterator]:
+    """The task over batches, with the worker's memory given back before and after it."""
+
+    def run(batches: Iterator) -> Iterator:
+        release_memory(keep_encoders)
+        yield from task(batches)
+        release_memory(keep_encoders)
+
+    return run
+
+
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     """Place of a public vocabulary file on this machine."""
     import public_tokenizers

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnwater.llm.crf import Fit, Model, _letters, fit, sums_by_text, tag_batches, word_hash, word_table
+from tarnwater.llm.encode import lean
 from tarnwater.session import materialize
 
 #: Bounds of the fit: texts per language, signs of each (at a place drawn by the text's hash), words of each lexicon.
@@ -107,7 +108,7 @@ def tag_languages(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(tag, "doc_id bigint, lang_pred string, score double, n_words bigint, shares array<double>")
+    return rows.mapInArrow(lean(tag), "doc_id bigint, lang_pred string, score double, n_words bigint, shares array<double>")
 
 
 def word_languages(text: str, model: Model) -> list[tuple[str, str]]:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnwater.llm.crf import word_table
-from tarnwater.llm.encode import text_slices, whole_rows
+from tarnwater.llm.encode import lean, text_slices, whole_rows
 from tarnwater.session import materialize
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.999
@@ -104,7 +104,7 @@ def signatures(docs: DataFrame, words: int, shape: tuple[int, int]) -> DataFrame
                 columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "set_id", "n", "bands"])
 
-    return materialize(rows.mapInArrow(sign, _ROWS), "signatures")
+    return materialize(rows.mapInArrow(lean(sign), _ROWS), "signatures")
 
 
 def _text_hash(text: str = "text") -> Column:
@@ -180,7 +180,7 @@ def units_of_work(sets: DataFrame, block: int = BLOCK) -> DataFrame:
             kept = table.filter(pa.array(keep)).select(names).combine_chunks()
             yield from kept.to_batches()
 
-    return materialize(units.mapInArrow(needed, "band int, hash bigint, i int, j int, block int, set_id binary"), "units")
+    return materialize(units.mapInArrow(lean(needed), "band int, hash bigint, i int, j int, block int, set_id binary"), "units")
 
 
 def candidate_sets(docs: DataFrame, sets: DataFrame, units: DataFrame, words: int, shape: tuple[int, int]) -> DataFrame:
@@ -199,7 +199,7 @@ def candidate_sets(docs: DataFrame, sets: DataFrame, units: DataFrame, words: in
                 columns = [pa.array([_name(g) for g in sets_of], pa.binary()), batch.column("copies"), pa.array([signer(g) for g in sets_of], pa.list_(pa.int64())), pa.array([g.tobytes() for g in sets_of], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["set_id", "copies", "bands", "grams"])
 
-    return materialize(chosen.mapInArrow(collect, "set_id binary, copies bigint, bands array<bigint>, grams binary"), "gram-sets").dropDuplicates(["set_id"])
+    return materialize(chosen.mapInArrow(lean(collect), "set_id binary, copies bigint, bands array<bigint>, grams binary"), "gram-sets").dropDuplicates(["set_id"])
 
 
 def _verified(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
@@ -262,7 +262,7 @@ def links(units: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())], ["set_id", "linked", "root"])
 
-    return materialize(members.mapInArrow(verify, "set_id binary, linked bigint, root binary"), "links")
+    return materialize(members.mapInArrow(lean(verify), "set_id binary, linked bigint, root binary"), "links")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarnwater.llm.encode import END_ID, binary_column, encoder, text_slices, vocabulary_path
+from tarnwater.llm.encode import END_ID, binary_column, encoder, lean, text_slices, vocabulary_path
 from tarnwater.session import materialize
 
 WINDOW = 4096
@@ -61,7 +61,7 @@ def token_table(docs: DataFrame, vocabulary: str | None = None, end_id: int = EN
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return materialize(rows.mapInArrow(tokenise, TOKEN_SCHEMA), "tokens")
+    return materialize(rows.mapInArrow(lean(tokenise, keep_encoders=True), TOKEN_SCHEMA), "tokens")
 
 
 def stream_starts(tokens: DataFrame) -> DataFrame:
@@ -82,14 +82,16 @@ def cut(tokens: DataFrame, window: int = WINDOW, with_ids: bool = True) -> DataF
         for batch in batches:
             out: list[list] = [[] for _ in names]
             size = 0
-            for doc, place, n, width, raw in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "place", "n_tokens", "width", "ids")), strict=True):
-                ids = np.frombuffer(raw, f"<u{width}").astype("<u4").tobytes()
+            raw, at = _flat(batch.column("ids"))
+            widths = batch.column("width").to_pylist()
+            for i, (doc, place, n) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "place", "n_tokens")), strict=True)):
+                ids = memoryview(raw[at[i] : at[i + 1]].view(f"<u{widths[i]}").astype("<u4")).cast("B")
                 start = 0
                 while start < n:
                     sequence, offset = divmod(place + start, window)
                     length = min(window - offset, n - start)
                     part = ids[4 * start : 4 * (start + length)]
-                    for column, value in zip(out, (doc, start, length, zlib.crc32(part), n, sequence, offset, part if with_ids else None), strict=True):
+                    for column, value in zip(out, (doc, start, length, zlib.crc32(part), n, sequence, offset, bytes(part) if with_ids else None), strict=True):
                         column.append(value)
                     start += length
                     size += len(part)
@@ -98,7 +100,15 @@ def cut(tokens: DataFrame, window: int = WINDOW, with_ids: bool = True) -> DataF
                         out, size = [[] for _ in names], 0
             yield _batch(out, names)
 
-    return placed.mapInArrow(pieces, PIECE_SCHEMA)
+    return placed.mapInArrow(lean(pieces, keep_encoders=True), PIECE_SCHEMA)
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a binary column one behind another, and the n + 1 places where values begin."""
+    wide = column.cast(pa.large_binary())
+    _, places, data = wide.buffers()
+    at = np.frombuffer(places, np.int64)[wide.offset : wide.offset + len(wide) + 1]
+    return np.frombuffer(data or b"", np.uint8), at
 
 
 def _batch(columns: list[list], names: list[str]) -> pa.RecordBatch:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnwater.llm.crf import Fit, Model, fit, sums_by_text, tag_batches, word_table
+from tarnwater.llm.encode import lean
 from tarnwater.session import materialize
 
 #: Bounds of the fit: labelled documents of each class, drawn by a hash of the id; whole texts are used.
@@ -112,7 +113,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, how: Fit = Fit(rounds=2, ra
         for batch, p, bounds in tag_batches(batches, model):
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(list(text_facts(p[:, 1], bounds)), pa.list_(pa.float64()))], ["toxic", "facts"])
 
-    rows = sample.where("part = 0").select("toxic", "text").mapInArrow(facts, "toxic int, facts array<double>").collect()
+    rows = sample.where("part = 0").select("toxic", "text").mapInArrow(lean(facts), "toxic int, facts array<double>").collect()
     return Scorer(model, _curve(np.array([r["facts"] for r in rows]), np.array([r["toxic"] for r in rows])))
 
 
@@ -160,7 +161,7 @@ def score_toxicity(docs: DataFrame, scorer: Scorer, threshold: float = THRESHOLD
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "score", "predicted", "spans"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(tag, "doc_id bigint, score double, predicted int, spans array<struct<start:int,length:int,marginal:double>>")
+    return rows.mapInArrow(lean(tag), "doc_id bigint, score double, predicted int, spans array<struct<start:int,length:int,marginal:double>>")
 
 
 def _tagged(batches, scorer: Scorer):
@@ -180,4 +181,4 @@ def without_toxic(docs: DataFrame, scorer: Scorer, threshold: float = THRESHOLD)
             scores = scorer.scores(p, bounds) if scorer.model else np.zeros(batch.num_rows)
             yield batch.filter(pa.array(scores < threshold))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(lean(keep), docs.schema)
