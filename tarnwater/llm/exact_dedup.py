@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from tarnwater.llm.encode import whole_rows
 from tarnwater.session import materialize
 
-SHORTEST, LONGEST = 256, 8192
+SHORTEST, LONGEST = 512, 8192
 
-_CHUNK = rf"(?s).{{{SHORTEST},{LONGEST}}}?(?:(?<=[a-h0-4]{{4}}[.,]?[ \n])|(?<=[。、！？]))|.{{1,{LONGEST}}}"
+_CHUNK = rf"(?s).{{{SHORTEST},{LONGEST}}}?(?:[a-h0-4]{{4}}[.,]?[ \n]|[。、！？])|.{{1,{LONGEST}}}"
 
 
 def normalised(text: Column) -> Column:
