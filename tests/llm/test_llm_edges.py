@@ -216,6 +216,26 @@ def test_less_than_one_block_from_the_target(weights):
     assert mixing.largest_deviation(sequence * 2, parts) < 1
 
 
+@pytest.mark.parametrize("weights", [{"a": 5, "b": 3, "c": 1}, {"x": 1}, {f"s{i}": (i + 1) ** 0.5 for i in range(20)}, {"a": 1000, "b": 1e-6}, {"a": 1000, "b": 0.01, "c": 0.03, "d": 0.02}])
+def test_less_than_one_block_from_the_given_weights_over_many_periods(weights):
+    parts, n = mixing.exact_parts(weights), 20 * mixing.SLOTS
+    sequence = list(mixing.dealt(parts, 0, n))
+    assert mixing.largest_deviation([s for s, _ in sequence], parts) < 1
+    for start in (1, 7, 999, 1000, 12_345):
+        assert list(mixing.dealt(parts, start, start + 300)) == sequence[start : start + 300]
+        assert mixing.placed_before(parts, start) == {s: sum(x == s for x, _ in sequence[:start]) for s in parts}
+
+
+def test_mixing_keeps_to_the_given_weights(spark):
+    docs = spark.range(24_000).selectExpr("id AS doc_id", "string(id) AS text", "CASE WHEN id % 3 = 0 THEN 'a' WHEN id % 4 = 1 THEN 'b' ELSE 'c' END AS source")
+    weights = {"a": 0.3337, "b": 0.3332, "c": 0.3331}
+    rows = mixing.mix(docs, weights, block_rows=1).orderBy("position").collect()
+    assert [r.slot for r in rows] == list(range(24_000)) and {(r.source, r.block) for r in rows} == {(s, j) for s, n in (("a", 8000), ("b", 4000), ("c", 12_000)) for j in range(n)}
+    assert mixing.largest_deviation([r.source for r in rows[:12_000]], mixing.exact_parts(weights)) < 1
+    rare = mixing.mix(docs, {"a": 1000, "b": 1e-6, "c": 1e-6}, block_rows=1).where("slot < 8000").groupBy("source").count().collect()
+    assert {(r.source, r["count"]) for r in rare} == {("a", 8000)}
+
+
 def test_mixing_edges(odd, none):
     mixed = mixing.mix(odd, block_rows=2)
     rows = mixed.orderBy("position").collect()
