@@ -16,10 +16,15 @@ from pyspark.sql import functions as F
 
 from tarnwater.session import materialize
 
+#: Rounds at least.
 DAMPING, ROUNDS = 0.85, 12
 #: Rounds between two written tables.
 WRITTEN_EVERY = 4
-#: Digits of a score that count.
+#: The rounds end when no score of a host changes by a larger share of itself.
+SETTLED = 1e-3
+#: Distrust outweighs trust when it is larger by more than this share of it, which sums in another order don't reach.
+MARGIN = 1e-9
+#: Digits of a score that count in the SQL twin.
 DIGITS = 9
 
 _LINK = r"""(?i)\shref\s*=\s*["']?(?:https?:)?//([^/?#"'\s>]+)"""
@@ -97,8 +102,10 @@ def host_seeds(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return counts.select("host", share("allowed").alias("trust"), share("blocked").alias("distrust"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """(host, trust, distrust) after ``rounds`` rounds from the seeds. Mass that reaches a host without further edges ends there."""
+def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING, settled: float = SETTLED) -> DataFrame:
+    """(host, trust, distrust) after ``rounds`` rounds from the seeds and as many more as it takes until no score changes by more than the share ``settled``
+    in a round; a score that is reached first counts as such a change, so that every host that hangs together with a seed has its score, however far away.
+    Mass that reaches a host without further edges ends there."""
     out = edges.groupBy(F.col("src").alias("node")).agg(F.sum("weight").alias("total"))
     into = edges.groupBy(F.col("dst").alias("node")).agg(F.sum("weight").alias("total"))
     forward = edges.join(out, edges["src"] == out["node"]).select(F.col("src").alias("host"), F.col("dst").alias("to"), (F.col("weight") / F.col("total")).alias("f"), F.lit(0.0).alias("b"))
@@ -106,21 +113,34 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
     steps = materialize(forward.union(backward).groupBy("host", "to").agg(F.sum("f").alias("f"), F.sum("b").alias("b")), "steps")
     start = seeds.select("host", ((1 - damping) * F.col("trust")).alias("trust"), ((1 - damping) * F.col("distrust")).alias("distrust"))
     state = seeds.select("host", "trust", "distrust")
-    for n in range(1, rounds + 1):
+    n, change = 0, None
+    while n < rounds or change > settled:
+        n += 1
         moved = state.join(steps, "host").select(F.col("to").alias("host"), (damping * F.col("trust") * F.col("f")).alias("trust"), (damping * F.col("distrust") * F.col("b")).alias("distrust"))
-        state = moved.union(start).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
-        if n % WRITTEN_EVERY == 0 or n == rounds:
-            state = materialize(state, "ranks")
+        if n < rounds and n % WRITTEN_EVERY or n > rounds and (n - rounds) % WRITTEN_EVERY:
+            state = moved.union(start).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
+            continue
+        # The scores of the round before come along, as the part ``old``.
+        zero = F.lit(0.0)
+        both = moved.union(start).select("*", zero.alias("old_trust"), zero.alias("old_distrust")).union(state.select("host", zero, zero, "trust", "distrust"))
+        both = materialize(both.groupBy("host").agg(*[F.sum(c).alias(c) for c in ("trust", "distrust", "old_trust", "old_distrust")]), "ranks")
+        share = lambda c: F.when(F.col(c) != F.col(f"old_{c}"), F.abs(F.col(c) - F.col(f"old_{c}")) / F.greatest(c, f"old_{c}")).otherwise(0.0)
+        change = both.agg(F.max(F.greatest(share("trust"), share("distrust")))).first()[0] or 0.0
+        state = both.select("host", "trust", "distrust")
     return state
 
 
-def host_verdicts(pages: DataFrame, rules: Sequence[Rule], rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """(host, trust, distrust, verdict): block where distrust outweighs trust."""
-    scores = propagate(materialize(host_edges(pages), "edges"), host_seeds(pages, rules), rounds, damping)
-    bad = F.round("distrust", DIGITS) > F.round("trust", DIGITS)
+def verdicts_of(scores: DataFrame) -> DataFrame:
+    """``scores`` with the verdict: block where distrust outweighs trust, however small both are."""
+    bad = F.col("distrust") > F.col("trust") * (1 + MARGIN)
     return scores.withColumn("verdict", F.when(bad, "block").otherwise("allow"))
 
 
+def host_verdicts(pages: DataFrame, rules: Sequence[Rule], rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+    """(host, trust, distrust, verdict)."""
+    return verdicts_of(propagate(materialize(host_edges(pages), "edges"), host_seeds(pages, rules), rounds, damping))
+
+
 def judge(pages: DataFrame, rules: Sequence[Rule], rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
     """One row per row of ``pages`` (page_id, url, html and any more columns): page_id, host, path, rule, verdict.
 

@@ -305,6 +305,16 @@ def test_url_filter_edges(spark):
         url_filter.rules_of(["drop x"])
 
 
+def test_url_filter_of_small_scores_and_far_hosts(spark):
+    """5 million blocked pages, one of them on a host that 60 hosts link to; and a chain of 20 links to that host."""
+    edges = [(f"f{i}.test", "bad.test", 1.0) for i in range(60)] + [("c0.test", "f0.test", 1.0)] + [(f"c{i + 1}.test", f"c{i}.test", 1.0) for i in range(20)]
+    seeds = spark.createDataFrame([("bad.test", 0.0, 2e-7), ("other.test", 0.0, 1 - 2e-7)], "host string, trust double, distrust double")
+    verdicts = url_filter.verdicts_of(url_filter.propagate(spark.createDataFrame(edges, "src string, dst string, weight double"), seeds)).collect()
+    assert {r.host: r.verdict for r in verdicts} == {h: "block" for e in edges for h in e[:2]} | {"other.test": "block"}
+    tie = spark.createDataFrame([("a", 3e-12, 3e-12), ("b", 1e-12, 1e-12 * (1 + 1e-13)), ("c", 1e-12, 2e-12), ("d", 0.0, 0.0)], "host string, trust double, distrust double")
+    assert {r.host: r.verdict for r in url_filter.verdicts_of(tie).collect()} == {"a": "allow", "b": "allow", "c": "block", "d": "allow"}
+
+
 TREE = "tree string, name string, node bigint, parent bigint, role string, text string, score double, leaf string, rank string"
 
 
