@@ -3,7 +3,8 @@
 A text is cut at ASCII blanks, each distinct piece is encoded once by the tokenizers library, and the ids are joined. This gives
 the ids of the whole text for vocabularies that lower-case, drop white space and split letters from other signs (as
 ``word_bpe_49k.json``): normal forms and the split pattern don't look past a blank, nor past a full stop or comma that ends a
-word of Latin-1 letters.
+word of Latin-1 letters. Latin-1 pieces are lower-cased first, so that fewer are encoded; not those that then hold the content of an added
+token, which is matched in the raw text.
 """
 
 from __future__ import annotations
@@ -93,6 +94,8 @@ class Encoder:
         largest = max(self.tokenizer.get_vocab(with_added_tokens=True).values(), default=0)
         self.dtype = np.dtype("<u2" if max(largest, end_id) < 1 << 16 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
+        added = {t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.has_added = re.compile("|".join(map(re.escape, sorted(added)))).search if added else lambda piece: None
         self.known: dict[str, bytes] = {}
 
     def _encoded(self, pieces: list[str]) -> list[bytes]:
@@ -116,7 +119,8 @@ class Encoder:
             piece = pieces[i]
             try:
                 piece.encode("latin-1")
-                piece = piece.lower()
+                lowered = piece.lower()
+                piece = piece if self.has_added(lowered) else lowered
             except UnicodeEncodeError:
                 pass
             split = _WORD_END.fullmatch(piece)

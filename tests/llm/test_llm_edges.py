@@ -36,6 +36,20 @@ def test_encoder_equals_the_library():
     compare(encoder, texts)
 
 
+def test_encoder_keeps_the_case_of_added_tokens():
+    encoder = encode.Encoder(encode.vocabulary_path())
+    texts = ["<|EndOfText|>", "<|endoftext|>", "a <|STARTOFTEXT|>b. x<|StartOfText|>. <|startoftext|>", "É<|Endoftext|>é <|endoftext|>É.", "日<|ENDOFTEXT|> <|EndOfText|", "<|endofText|><|endoftext|>"]
+    compare(encoder, texts)
+    compare(encoder, texts[::-1])
+    assert encoder.tokenizer.encode(texts[0], add_special_tokens=False).ids != encoder.tokenizer.encode(texts[1], add_special_tokens=False).ids
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|EndOfText|>", "<|STARTOFTEXT|>", "É", "a", ".", " ", "日", "B"]), max_size=12).map("".join), max_size=5))
+def test_encoder_on_generated_added_tokens(texts):
+    compare(ENCODER, texts)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from("aZé.,' \n\tß́1日🙂İΣ-"), max_size=40), max_size=5))
 def test_encoder_on_generated_texts(texts):
