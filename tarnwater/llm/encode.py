@@ -1,20 +1,22 @@
-"""Token ids of whole texts with a public tokenizer, at the speed of a table look-up.
+"""Token ids of whole texts with a public tokenizer.
 
-A text is cut at ASCII blanks, each distinct piece is encoded once by the tokenizers library, and the ids are joined. This gives
-the ids of the whole text for vocabularies that lower-case, drop white space and split letters from other signs (as
-``word_bpe_49k.json``): normal forms and the split pattern don't look past a blank, nor past a full stop or comma that ends a
-word of Latin-1 letters. Latin-1 pieces are lower-cased first, so that fewer are encoded; not those that then hold the content of an added
-token, which is matched in the raw text.
+Where the loaded tokenizer's normal forms and split pattern are known not to look past a blank, a slice of texts is cut at ASCII
+blanks, each distinct piece is encoded once by the tokenizers library and the ids are joined. A-Z are lower-cased first and a full
+stop or comma behind a-z taken off, so that fewer pieces are encoded; not in pieces that then hold the content of an added token, which
+is matched in the raw text. The pieces of the last slices stay in two flat arrays of bounded size. For any other tokenizer whole texts are encoded.
 """
 
 from __future__ import annotations
 
 import contextlib
 import ctypes
+import json
+import os
 import re
 import sys
 import types
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,15 +24,40 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pieces kept per Python worker; beyond that the table starts anew. About 200 MB.
-CACHED_PIECES = 1_000_000
-#: Longer pieces are encoded each time.
-LONGEST_CACHED = 64
-#: Bytes of text encoded at a time; a longer text goes alone.
-TEXT_BYTES = 8_000_000
+#: Pieces that an encoder keeps, of at most LONGEST_KEPT bytes: some megabytes of flat arrays. Beyond, it keeps those of the last slice.
+KEPT_PIECES, LONGEST_KEPT = 300_000, 64
+#: Bytes of text encoded at a time; a longer text is cut at a blank.
+TEXT_BYTES = 2_000_000
+#: Signs of joined pieces given to the library at a time.
+RUN_SIGNS = 32_000
 END_ID = 2
 
-_WORD_END = re.compile("([a-zß-öø-ÿ]+)([.,])", re.ASCII)
+_BLANK = re.compile(r"[ \t\n\r\f\v]")
+_WORD_AND_MARK = "^[a-z]+[.,]$"
+
+# The parts of a tokenizer that are known not to look past an ASCII blank, nor past a full stop or comma behind a word
+# of the letters a-z that ends there, and to drop the difference of A-Z and a-z. A tokenizer has to have these steps and no others.
+_STEPS_BEFORE = (
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+)
+_SPLITS = (
+    {
+        "type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+        "behavior": "Removed", "invert": True,
+    },
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+)
+
+
+def splits_at_blanks(spec: dict) -> bool:
+    """Whether a tokenizer, as its library describes it, gives a text the ids of its pieces between blanks."""
+    normal, split = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
+    added = spec.get("added_tokens") or ()
+    plain = not any(t.get(k) for t in added for k in ("lstrip", "rstrip", "single_word", "normalized")) and not any(_BLANK.search(t["content"]) for t in added)
+    whole = not any(spec.get(k) for k in ("truncation", "padding")) and not (spec.get("model") or {}).get("dropout")
+    return plain and whole and tuple(normal.get("normalizers", ())) == _STEPS_BEFORE and tuple(split.get("pretokenizers", ())) == _SPLITS
 
 
 def whole_rows(table: DataFrame) -> DataFrame:
@@ -43,22 +70,21 @@ def worker_state() -> dict:
     return sys.modules.setdefault("_tarnwater_worker", types.ModuleType("_tarnwater_worker")).__dict__
 
 
-def release_memory(keep_encoders: bool = False) -> None:
-    """Give back what a task of this worker no longer needs, so that workers that wait don't hold it; the encoders' tables too, unless kept."""
-    if not keep_encoders:
-        worker_state().pop("encoders", None)
+def release_memory() -> None:
+    """Drop the encoders of this worker and give back what its last task no longer needs, so that workers that wait don't hold it."""
+    worker_state().pop("encoders", None)
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def lean(task: Callable[[Iterator], Iterator], keep_encoders: bool = False) -> Callable[[Iterator], Iterator]:
+def lean(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """The task over batches, with the worker's memory given back before and after it."""
 
     def run(batches: Iterator) -> Iterator:
-        release_memory(keep_encoders)
+        release_memory()
         yield from task(batches)
-        release_memory(keep_encoders)
+        release_memory()
 
     return run
 
@@ -81,74 +107,127 @@ def text_slices(texts: pa.Array, most: int = TEXT_BYTES) -> Iterator[tuple[int,
         start = stop
 
 
+def gathered(flat: np.ndarray, first: np.ndarray, each: np.ndarray) -> np.ndarray:
+    """``each[i]`` elements of ``flat`` from place ``first[i]`` on, for every i, one behind another."""
+    index = np.repeat((first - (np.cumsum(each, dtype=np.int64) - each)).astype(np.int32), each)
+    index += np.arange(len(index), dtype=np.int32)
+    return flat[index]
+
+
 class Encoder:
     """Texts to unsigned ids: 16 bit where every id of the vocabulary fits, else 32."""
 
     def __init__(self, path: str, end_id: int = END_ID):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_pieces = splits_at_blanks(json.loads(self.tokenizer.to_str()))
         largest = max(self.tokenizer.get_vocab(with_added_tokens=True).values(), default=0)
         self.dtype = np.dtype("<u2" if max(largest, end_id) < 1 << 16 else "<u4")
-        self.end = np.array([end_id], self.dtype).tobytes()
-        added = {t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()}
-        self.has_added = re.compile("|".join(map(re.escape, sorted(added)))).search if added else lambda piece: None
-        self.known: dict[str, bytes] = {}
-
-    def _encoded(self, pieces: list[str]) -> list[bytes]:
-        """Encode pieces as one text with blanks between them; each id belongs to the piece in which it starts."""
+        self.end = np.array([end_id], self.dtype)
+        added = sorted({t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()})
+        self.added = "|".join(map(re.escape, added))
+        self._keep(pa.array([], pa.large_string()), np.empty(0, self.dtype), np.empty(0, np.int32))
+
+    def _keep(self, pieces: pa.Array, flat: np.ndarray, length: np.ndarray) -> None:
+        """Keep these pieces, of those within LONGEST_KEPT, and their ids."""
+        short = np.asarray(pc.binary_length(pieces)) <= LONGEST_KEPT
+        if not short.all():
+            first = np.cumsum(length) - length
+            pieces, flat, length = pieces.filter(pa.array(short)), gathered(flat, first[short], length[short]), length[short]
+        self.kept, self.kept_flat, self.kept_length = pieces, flat, length
+
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Encode pieces as one text with blanks between them: ids, and their number for each piece. An id belongs to the piece in which it starts."""
         found = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
         ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1)
-        starts = np.fromiter((start for start, _ in found.offsets), np.int64, len(found.ids))
-        last = np.searchsorted(starts, ends) * self.dtype.itemsize
-        ids = np.array(found.ids, self.dtype).tobytes()
-        return [ids[a:b] for a, b in zip([0, *last[:-1].tolist()], last.tolist(), strict=True)]
-
-    def _look_up(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each of some distinct pieces; the new ones are learned."""
-        known = self.known
-        found = [known.get(p) for p in pieces]
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        if not missing:
-            return found
-        parts = {}
-        for i in missing:
-            piece = pieces[i]
-            try:
-                piece.encode("latin-1")
-                lowered = piece.lower()
-                piece = piece if self.has_added(lowered) else lowered
-            except UnicodeEncodeError:
-                pass
-            split = _WORD_END.fullmatch(piece)
-            parts[i] = split.groups() if split else (piece,)
-        new = list({p for ps in parts.values() for p in ps if p not in known})
-        ids = dict(zip(new, self._encoded(new), strict=True)) if new else {}
-        for i, ps in parts.items():
-            found[i] = ids[pieces[i]] = b"".join([ids[p] if p in ids else known[p] for p in ps])
-        if len(known) + len(ids) > CACHED_PIECES:
-            self.known = {}
-        self.known.update((p, x) for p, x in ids.items() if len(p) <= LONGEST_CACHED)
-        return found
+        starts = np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(found.ids))[::2]
+        return np.array(found.ids, self.dtype), np.diff(np.searchsorted(starts, ends), prepend=0).astype(np.int32)
+
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces that aren't kept, in runs of bounded length."""
+        flat, length, run, signs = [np.empty(0, self.dtype)], [np.empty(0, np.int32)], [], 0
+        for i, piece in enumerate(pieces):
+            run.append(piece)
+            signs += len(piece)
+            if signs > RUN_SIGNS or i == len(pieces) - 1:
+                for out, x in zip((flat, length), self._joined(run), strict=True):
+                    out.append(x)
+                run, signs = [], 0
+        return np.concatenate(flat), np.concatenate(length)
+
+    def _ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct pieces: a flat array, and each piece's place and number there."""
+        at = pc.index_in(pieces, self.kept)
+        missing = at.is_null()
+        new = pieces.filter(missing)
+        new_flat, new_length = self._encoded(new.to_pylist())
+        all_length = np.concatenate([self.kept_length, new_length])
+        flat = np.concatenate([self.kept_flat, new_flat])
+        first = np.cumsum(all_length, dtype=np.int64) - all_length
+        place = np.asarray(at.fill_null(0), np.int64)
+        place[np.asarray(missing)] = len(self.kept) + np.arange(len(new))
+        first, length = first[place], all_length[place]
+        if len(self.kept) + len(new) <= KEPT_PIECES:
+            self._keep(pa.concat_arrays([self.kept, new]), flat, all_length)
+        else:
+            self._keep(pieces, gathered(flat, first, length), length)
+        return flat, first, length
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some texts, each with the end id, and the n + 1 places where texts begin. Null counts as empty."""
-        words = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        if not self.by_pieces:
+            return self._whole(texts.to_pylist())
+        if len(texts) == 1 and pc.binary_length(texts)[0].as_py() > TEXT_BYTES:
+            parts = [self._slice(pa.array([part], pa.large_string()))[0][:-1] for part in _cut(texts[0].as_py())]
+            ids = np.concatenate([*parts, self.end])
+            return ids, np.array([0, len(ids)])
+        return self._slice(texts)
+
+    def _slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for some texts without nulls, piece by piece."""
+        words = pc.ascii_split_whitespace(texts)
         bounds = np.asarray(words.offsets, np.int64)
         coded = words.flatten().dictionary_encode()
-        pieces = self._look_up(coded.dictionary.to_pylist()) + [self.end]
-        codes = np.insert(np.asarray(coded.indices, np.int64), bounds[1:] - bounds[0], len(pieces) - 1)
-        length = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.dtype.itemsize
-        first = np.cumsum(length) - length
-        each = length[codes]
-        upto = np.concatenate([[0], np.cumsum(each)])
-        index = np.repeat(first[codes] - upto[:-1], each)
-        index += np.arange(len(index))
-        ids = np.frombuffer(b"".join(pieces), self.dtype)[index]
-        return ids, upto[bounds - bounds[0] + np.arange(len(bounds))]
+        pieces = coded.dictionary
+        lowered = pc.ascii_lower(pieces)
+        if self.added:
+            lowered = pc.if_else(pc.match_substring_regex(lowered, self.added), pieces, lowered)
+        marked = pc.match_substring_regex(lowered, _WORD_AND_MARK)
+        stems = pc.if_else(marked, pc.utf8_slice_codeunits(lowered, 0, -1), lowered)
+        parts = pa.concat_arrays([stems, pa.array([".", ","], pa.large_string())]).dictionary_encode()
+        flat, first, length = self._ids(parts.dictionary)
+        codes = np.asarray(parts.indices, np.int64)
+        stem, dot, comma = codes[:-2], codes[-2], codes[-1]
+        # A piece is its stem and, in some, the mark behind it.
+        mark = np.where(np.asarray(pc.ends_with(lowered, ".")), dot, comma)
+        both = np.stack([stem, mark], 1).ravel()
+        each = length[both]
+        each[1::2] *= np.asarray(marked)
+        flat = np.append(gathered(flat, first[both], each), self.end)
+        length = np.append(each[::2] + each[1::2], 1).astype(np.int32)
+        first = np.cumsum(length, dtype=np.int64) - length
+        sequence = np.insert(np.asarray(coded.indices, np.int32), bounds[1:] - bounds[0], len(length) - 1)
+        each = length[sequence]
+        upto = np.concatenate([[0], np.cumsum(each, dtype=np.int64)])
+        return gathered(flat, first[sequence], each), upto[bounds - bounds[0] + np.arange(len(bounds))]
+
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for a tokenizer about which nothing is known: texts are encoded whole, one by one."""
+        parts = [np.append(np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, self.dtype), self.end) for t in texts]
+        return np.concatenate([np.empty(0, self.dtype), *parts]), np.cumsum([0, *map(len, parts)])
+
+
+def _cut(text: str) -> Iterator[str]:
+    """A long text in parts of about TEXT_BYTES / 2 signs that end before a blank; longer where there is no blank."""
+    start = 0
+    while start < len(text):
+        blank = _BLANK.search(text, start + TEXT_BYTES // 2)
+        stop = blank.start() if blank else len(text)
+        yield text[start:stop]
+        start = stop
 
 
 def encoder(path: str, end_id: int = END_ID) -> Encoder:

@@ -61,7 +61,7 @@ def token_table(docs: DataFrame, vocabulary: str | None = None, end_id: int = EN
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return materialize(rows.mapInArrow(lean(tokenise, keep_encoders=True), TOKEN_SCHEMA), "tokens")
+    return materialize(rows.mapInArrow(lean(tokenise), TOKEN_SCHEMA), "tokens")
 
 
 def stream_starts(tokens: DataFrame) -> DataFrame:
@@ -100,7 +100,7 @@ def cut(tokens: DataFrame, window: int = WINDOW, with_ids: bool = True) -> DataF
                         out, size = [[] for _ in names], 0
             yield _batch(out, names)
 
-    return placed.mapInArrow(lean(pieces, keep_encoders=True), PIECE_SCHEMA)
+    return placed.mapInArrow(lean(pieces), PIECE_SCHEMA)
 
 
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -106,7 +106,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str | None = Non
         columns = [[part], [len(doc_ids)], [int(offsets[-1])], [encode.dtype.itemsize]]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.int64(), pa.int64(), pa.int32()), strict=True)], PART_SCHEMA.replace(",", "").split()[::2])
 
-    parts = materialize(ordered.select("doc_id", "text").mapInArrow(lean(write, keep_encoders=True), PART_SCHEMA), "parts")
+    parts = materialize(ordered.select("doc_id", "text").mapInArrow(lean(write), PART_SCHEMA), "parts")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = parts.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).cast("bigint"))
 
@@ -144,7 +144,7 @@ def read_token_files(spark: SparkSession, folder: str, parts: DataFrame) -> Data
                 columns = [pa.array(doc_ids, mask=missing), pa.array(offsets[:-1]), pa.array(np.diff(local)), pa.array(crcs, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, DOC_SCHEMA.replace(",", "").split()[::2])
 
-    return _dealt(parts).mapInArrow(lean(read, keep_encoders=True), DOC_SCHEMA)
+    return _dealt(parts).mapInArrow(lean(read), DOC_SCHEMA)
 
 
 def token_files(docs: DataFrame, folder: str | None = None, vocabulary: str | None = None) -> DataFrame:

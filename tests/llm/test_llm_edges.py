@@ -44,6 +44,32 @@ def test_encoder_keeps_the_case_of_added_tokens():
     assert encoder.tokenizer.encode(texts[0], add_special_tokens=False).ids != encoder.tokenizer.encode(texts[1], add_special_tokens=False).ids
 
 
+def vocabularies():
+    import glob
+    import os
+
+    return sorted(glob.glob(os.path.join(os.path.dirname(encode.vocabulary_path()), "*.json")))
+
+
+@pytest.mark.parametrize("path", vocabularies())
+def test_encoder_with_every_public_vocabulary(path):
+    encoder = encode.Encoder(path)
+    assert encoder.by_pieces == path.endswith("word_bpe_49k.json")
+    compare(encoder, ["Hello World", "  two  blanks\n\nand lines ", "", None, "I'll say <|endoftext|> A.B. c, É.", RED, "日本語 テキスト", "x" * 300 + "."])
+
+
+def test_encoder_with_little_room(monkeypatch):
+    monkeypatch.setattr(encode, "KEPT_PIECES", 5)
+    monkeypatch.setattr(encode, "RUN_SIGNS", 7)
+    monkeypatch.setattr(encode, "TEXT_BYTES", 40)
+    encoder = encode.Encoder(encode.vocabulary_path())
+    for _ in range(2):
+        for text in (RED.title() + ". No, yes.", RED * 20, "x" * 200 + " it's. " + "y" * 90, "a <|endoftext|> b " * 9):
+            compare(encoder, [text])
+        compare(encoder, [RED, None, "Yes. yes, YES", RED + ",", ""])
+    assert len(encoder.kept) < 60
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|EndOfText|>", "<|STARTOFTEXT|>", "É", "a", ".", " ", "日", "B"]), max_size=12).map("".join), max_size=5))
 def test_encoder_on_generated_added_tokens(texts):
