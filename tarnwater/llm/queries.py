@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwater.llm import chat, exact_dedup, language, mixing, mtree, near_dup, packing, token_files, toxicity, url_filter
+from tarnwater.llm import bisectors, chat, exact_dedup, infilling, language, mixing, mtree, near_dup, packing, token_files, toxicity, url_filter, winnowing
 from tarnwater.session import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,3 +187,84 @@ def op4_near_duplicates(t: Tables) -> DataFrame:
 def op7_mixing(t: Tables) -> DataFrame:
     """Every document's place in the mixture of its sources, weighted by the root of their sizes."""
     return mixing.mix(t.documents, columns=["doc_id"]).select("row.doc_id", "source", "block", "slot", "position")
+
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(f"""
+    WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+    i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+    windows AS (
+        SELECT DISTINCT item, least(len(w), {winnowing.SPAN}) AS n, array_to_string(w[s:s + least(len(w), {winnowing.SPAN}) - 1], ' ') AS words
+        FROM (SELECT item, w, unnest(range(1, greatest(len(w) - {winnowing.SPAN - 1}, 1) + 1)) AS s FROM i WHERE len(w) > 0)
+    ), spots AS (
+        SELECT doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') AS words
+        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM windows))
+    ), hits AS (SELECT DISTINCT doc_id, s, n, item FROM spots JOIN windows USING (n, words)),
+    counted AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id),
+    named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+    FROM d LEFT JOIN counted USING (doc_id) LEFT JOIN named USING (doc_id)""")
+def op11_decontamination(t: Tables) -> DataFrame:
+    """Every document's words that stand inside a window of a benchmark item, and the items."""
+    found = winnowing.contamination(t.documents, t.benchmark)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def _cluster_sql() -> str:
+    """Each assignment by all distances, the rounds one common table behind another."""
+    k, scale = bisectors.CENTROIDS, bisectors.SCALE
+    nearest = """
+        SELECT vec_id, v, c, d FROM (
+            SELECT r, vec_id, v, c, list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM kept, {0}
+        ) QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1"""
+    rounds = "".join(
+        f""", a{n} AS MATERIALIZED ({nearest.format(f"c{n}")}
+        ), m{n} AS (
+            SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS m
+            FROM (SELECT c, i, sum(x) AS s, count(*) AS n FROM (SELECT c, unnest(v) AS x, unnest(range(1, {bisectors.DIM + 1})) AS i FROM a{n}) GROUP BY c, i) GROUP BY c
+        ), c{n + 1} AS MATERIALIZED (SELECT c{n}.c, coalesce(m{n}.m, c{n}.m) AS m FROM c{n} LEFT JOIN m{n} USING (c))"""
+        for n in range(bisectors.ROUNDS)
+    )
+    last = bisectors.ROUNDS
+    return f"""
+    WITH kept AS MATERIALIZED (
+        SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+        WHERE len(embedding) = {bisectors.DIM} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), c0 AS MATERIALIZED (
+        SELECT CAST(row_number() OVER (ORDER BY h, v) AS INTEGER) - 1 AS c, v AS m FROM (SELECT sha256('1:' || vec_id) AS h, v FROM kept ORDER BY h, v LIMIT {k})
+    ){rounds}, f AS MATERIALIZED ({nearest.format(f"c{last}")})
+    SELECT vec_id, c AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+        sha256(array_to_string(m, ',')) AS centroid_sha256
+    FROM f JOIN c{last} USING (c)"""
+
+
+@query(_cluster_sql())
+def op12_centroid_clustering(t: Tables) -> DataFrame:
+    """Every vector with its cluster after three rounds."""
+    return bisectors.cluster_report(*bisectors.cluster(t.embeddings))
+
+
+_UNIT = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+"
+
+
+@query(f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_UNIT}') AS u, sha256('{infilling.SEED}:' || doc_id) AS h FROM documents),
+    g AS (
+        SELECT *, CAST(len(u) AS BIGINT) AS n, list_transform(range(4), lambda i: CAST('0x' || h[8 * i + 1:8 * i + 8] AS BIGINT)) AS g FROM d
+    ), c AS (
+        SELECT *, least(g[1] % (n + 1), g[2] % (n + 1)) AS a, greatest(g[1] % (n + 1), g[2] % (n + 1)) AS b,
+            CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR g[3] % 100 >= {infilling.FIM_PERCENT} THEN 'plain' WHEN g[4] % 100 < {infilling.SPM_PERCENT} THEN 'spm' ELSE 'psm' END AS form
+        FROM g
+    ), p AS (SELECT *, array_to_string(u[:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix FROM c)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+        sha256(t) AS restored_sha256
+    FROM p""")
+def op13_fill_in_middle(t: Tables) -> DataFrame:
+    """Every document's fill-in-middle form and the digests of its output and of the text restored from it."""
+    return infilling.digests(t.documents)
