@@ -26,8 +26,8 @@ TOXIC_TEXTS, CLEAN_TEXTS = 3000, 5000
 CURVE_PART = 4
 THRESHOLD = 0.3
 PREFIXES = (4, 5, 6)
-#: A mark of toxic documents: the share of toxic ones among those that have it.
-MARK_SHARE = 0.75
+#: A mark of toxic documents: how far the odds of being toxic rise, at least, where it occurs.
+MARK_ODDS = 3.0
 
 _WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 
@@ -73,8 +73,10 @@ def toxic_sample(docs: DataFrame, labels: DataFrame, shards: int) -> DataFrame:
 
 
 def toxic_marks(sample: DataFrame) -> list[str]:
-    """Words (``=word``) and beginnings of words that mark toxic documents: at least MARK_SHARE of those that have it are toxic, and the
-    log-likelihood ratio exceeds the log of the number of candidates, so that chance gives about one."""
+    """Words (``=word``) and beginnings of words that mark toxic documents: the odds of being toxic are at least MARK_ODDS times the sample's (with one
+    document of either class added), and the log-likelihood ratio exceeds the log of the number of candidates, so that chance gives
+    about one. Where none does, as in a small sample, those with the highest ratio count. None only without both classes, or without
+    a word that two toxic documents share and that is commoner in them."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{M}\p{N}]+"), F.lit(0)))
     longer = lambda k: F.transform(F.filter("words", lambda w: F.length(w) >= k), lambda w: F.substring(w, 1, k))
     marks = F.array_distinct(F.concat(F.transform("words", lambda w: F.concat(F.lit("="), w)), *[longer(k) for k in PREFIXES]))
@@ -86,8 +88,12 @@ def toxic_marks(sample: DataFrame) -> list[str]:
     counts = materialize(counts.where("t >= 2"), "marks")
     base, share = F.lit(facts["base"]), F.col("t") / F.col("n")
     ratio = F.col("t") * F.log(share / base) + F.when(share < 1, (F.col("n") - F.col("t")) * F.log((1 - share) / (1 - base))).otherwise(0.0)
-    limit = float(np.log(max(counts.count(), 1)) + 1)
-    return [r["mark"] for r in counts.where((F.col("t") / (F.col("n") + 1) >= MARK_SHARE) & (ratio >= limit)).select("mark").collect()]
+    odds = (F.col("t") + base) / (F.col("n") - F.col("t") + 1 - base) / (base / (1 - base))
+    raised = counts.select("mark", ratio.alias("ratio"), odds.alias("odds")).where(share > base)
+    limit = float(np.log(max(counts.count(), 1)))
+    found = [r["mark"] for r in raised.where((F.col("odds") >= MARK_ODDS) & (F.col("ratio") >= limit)).select("mark").collect()]
+    best = raised.agg(F.max("ratio").alias("ratio"))
+    return found or [r["mark"] for r in raised.join(F.broadcast(best), "ratio").select("mark").collect()]
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, how: Fit = Fit(rounds=2, rate=0.3)) -> Scorer:

@@ -147,3 +147,11 @@ def test_pipeline(spark, small_dir, documents, token_ids):
     assert {r.doc_id for r in rows} == set(kept)
     assert sum(r.length for r in rows) == sum(len(token_ids[k]) for k in kept)
     assert all(r.ids == token_ids[r.doc_id][r.start : r.start + r.length].tobytes() for r in rows)
+
+
+@pytest.mark.parametrize(("folder", "least", "most_false"), [("sf0.001", 0.5, 0.05), ("sf0.1", 0.9, 0.01)])
+def test_toxicity_on_held_out_documents(spark, folder, least, most_false):
+    path = f"/root/testdata/{folder}"
+    found = QUERIES["op6_toxicity"](spark, path).where("held_out").join(spark.read.parquet(f"{path}/labels.parquet"), "doc_id").collect()
+    share = lambda toxic: np.mean([r.predicted for r in found if r.toxic == toxic])
+    assert share(1) >= least and share(0) <= most_false
