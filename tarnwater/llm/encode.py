@@ -3,7 +3,7 @@
 Where the loaded tokenizer's normal forms and split pattern are known not to look past a blank, a slice of texts is cut at ASCII
 blanks, each distinct piece is encoded once by the tokenizers library and the ids are joined. A-Z are lower-cased first and a full
 stop or comma behind a-z taken off, so that fewer pieces are encoded; not in pieces that then hold the content of an added token, which
-is matched in the raw text. The pieces of the last slices stay in two flat arrays of bounded size. For any other tokenizer whole texts are encoded.
+is matched in the raw text. Units of plain pieces go to the library's model, other pieces through all its steps. The pieces of the last slices stay in two flat arrays of bounded size. For any other tokenizer whole texts are encoded.
 """
 
 from __future__ import annotations
@@ -34,6 +34,12 @@ END_ID = 2
 
 _BLANK = re.compile(r"[ \t\n\r\f\v]")
 _WORD_AND_MARK = "^[a-z]+[.,]$"
+#: A piece of ASCII signs but the apostrophe and of Latin-1 letters, and the units into which the split below cuts it once it is lower-cased.
+_PLAIN = re.compile("[!-&(-~À-ÖØ-öø-ÿß]+")
+_UNITS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+#: Signs that stand for the bytes without a printable sign of their own, in order: 256 and following.
+_OWN_SIGN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _OWN_SIGN)}
 
 # The parts of a tokenizer that are known not to look past an ASCII blank, nor past a full stop or comma behind a word
 # of the letters a-z that ends there, and to drop the difference of A-Z and a-z. A tokenizer has to have these steps and no others.
@@ -70,21 +76,22 @@ def worker_state() -> dict:
     return sys.modules.setdefault("_tarnwater_worker", types.ModuleType("_tarnwater_worker")).__dict__
 
 
-def release_memory() -> None:
-    """Drop the encoders of this worker and give back what its last task no longer needs, so that workers that wait don't hold it."""
-    worker_state().pop("encoders", None)
+def release_memory(keep_encoders: bool = False) -> None:
+    """Give back what a task of this worker no longer needs, so that workers that wait don't hold it; the encoders (some tens of MB) too, unless kept."""
+    if not keep_encoders:
+        worker_state().pop("encoders", None)
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def lean(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+def lean(task: Callable[[Iterator], Iterator], keep_encoders: bool = False) -> Callable[[Iterator], Iterator]:
     """The task over batches, with the worker's memory given back before and after it."""
 
     def run(batches: Iterator) -> Iterator:
-        release_memory()
+        release_memory(keep_encoders)
         yield from task(batches)
-        release_memory()
+        release_memory(keep_encoders)
 
     return run
 
@@ -126,8 +133,10 @@ class Encoder:
         largest = max(self.tokenizer.get_vocab(with_added_tokens=True).values(), default=0)
         self.dtype = np.dtype("<u2" if max(largest, end_id) < 1 << 16 else "<u4")
         self.end = np.array([end_id], self.dtype)
+        self.model = self.tokenizer.model
         added = sorted({t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()})
         self.added = "|".join(map(re.escape, added))
+        self.has_added = re.compile(self.added).search if added else lambda piece: None
         self._keep(pa.array([], pa.large_string()), np.empty(0, self.dtype), np.empty(0, np.int32))
 
     def _keep(self, pieces: pa.Array, flat: np.ndarray, length: np.ndarray) -> None:
@@ -145,17 +154,39 @@ class Encoder:
         starts = np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(found.ids))[::2]
         return np.array(found.ids, self.dtype), np.diff(np.searchsorted(starts, ends), prepend=0).astype(np.int32)
 
+    def _units(self, piece: str, seen: dict[str, list[int]]) -> list[int] | None:
+        """Ids of a plain piece, unit by unit from the tokenizer's model; None for other pieces."""
+        if not _PLAIN.fullmatch(piece):
+            return None
+        lowered = piece.lower()
+        if self.has_added(lowered):
+            return None
+        ids: list[int] = []
+        for unit in _UNITS.findall(lowered):
+            found = seen.get(unit)
+            if found is None:
+                signs = unit if unit.isascii() else unit.encode().decode("latin-1").translate(_BYTE_SIGNS)
+                found = seen[unit] = [token.id for token in self.model.tokenize(signs)]
+            ids += found
+        return ids
+
     def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of pieces that aren't kept, in runs of bounded length."""
-        flat, length, run, signs = [np.empty(0, self.dtype)], [np.empty(0, np.int32)], [], 0
-        for i, piece in enumerate(pieces):
-            run.append(piece)
-            signs += len(piece)
-            if signs > RUN_SIGNS or i == len(pieces) - 1:
-                for out, x in zip((flat, length), self._joined(run), strict=True):
-                    out.append(x)
+        """Ids of pieces that aren't kept: plain ones by the model, the others joined, in runs of bounded length."""
+        seen: dict[str, list[int]] = {}
+        out = [self._units(piece, seen) for piece in pieces]
+        run, signs = [], 0
+        others = [i for i, ids in enumerate(out) if ids is None]
+        for i in others:
+            run.append(i)
+            signs += len(pieces[i])
+            if signs > RUN_SIGNS or i == others[-1]:
+                flat, length = self._joined([pieces[j] for j in run])
+                stop = np.cumsum(length).tolist()
+                for j, n, end in zip(run, length.tolist(), stop, strict=True):
+                    out[j] = flat[end - n : end].tolist()
                 run, signs = [], 0
-        return np.concatenate(flat), np.concatenate(length)
+        length = np.fromiter(map(len, out), np.int32, len(out))
+        return np.fromiter(chain.from_iterable(out), self.dtype, int(length.sum())), length
 
     def _ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of distinct pieces: a flat array, and each piece's place and number there."""

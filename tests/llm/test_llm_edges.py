@@ -76,6 +76,12 @@ def test_encoder_on_generated_added_tokens(texts):
     compare(ENCODER, texts)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet=st.characters(max_codepoint=0x17F), max_size=30), max_size=4))
+def test_encoder_on_latin_texts(texts):
+    compare(ENCODER, texts)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from("aZé.,' \n\tß́1日🙂İΣ-"), max_size=40), max_size=5))
 def test_encoder_on_generated_texts(texts):
