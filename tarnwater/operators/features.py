@@ -4,20 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import PCA, OneHotEncoder, PCAModel, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
+from pyspark.ml.feature import PCA, OneHotEncoder, PCAModel, StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnwater.operators.aggregate import column_values
+from tarnwater.operators.order import row_positions
+
+
+#: A value that more than one in so many rows have is hot: at most as many values are. Its rows are dealt out over SALTS tasks.
+HOT, SALTS = 64, 32
+
+
+def value_positions(df: DataFrame, column: str) -> DataFrame:
+    """The column's values with (n, position): 0 for the most frequent one, equal counts in order of the value. NULL has none. Written once, by
+    ranges of (count, value); no value reaches the driver."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    return row_positions(counts, [F.desc("n"), column], "position")
 
 
 def string_index(df: DataFrame, columns: Sequence[str], handle_invalid: str = "error") -> DataFrame:
-    """Add ``<column>_index``: 0 for the most frequent value, equal counts in order of the value."""
-    outputs = [f"{c}_index" for c in columns]
-    indexer = StringIndexer(inputCols=list(columns), outputCols=outputs, stringOrderType="frequencyDesc", handleInvalid=handle_invalid)
-    return indexer.fit(df).transform(df)
+    """Add ``<column>_index``: 0 for the most frequent value, equal counts in order of the value.
+
+    The dictionary is a table and meets the rows in a shuffle join; the rows of a hot value are dealt out over several tasks. A NULL is an
+    error, or with ``handle_invalid`` ``skip`` its row goes, with ``keep`` it gets the number after the last value's.
+    """
+    for c in columns:
+        known = value_positions(df, c)
+        # Fewer than HOT values can have more than one in HOT rows each.
+        facts = known.agg(F.struct(F.sum("n").alias("total"), F.count("*").alias("values")).alias("f"))
+        hot = known.where(F.col("n") * HOT > facts.scalar()["total"]).agg(F.collect_list(c).alias("hot")).scalar()
+        is_hot = F.coalesce(F.array_contains("_hot", F.col(c)), F.lit(False))
+        dealt = df.withColumn("_hot", hot).withColumn("_salt", F.when(is_hot, F.monotonically_increasing_id() % SALTS).otherwise(0)).drop("_hot")
+        salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+        salted = known.withColumn("_hot", hot).select(F.col(c).alias("_value"), F.col("position").cast("double").alias(f"{c}_index"), F.explode(salts).alias("_code"))
+        same = (F.col("_salt") == F.col("_code")) & (F.col(c) == F.col("_value"))
+        joined = dealt.join(salted, same, "inner" if handle_invalid == "skip" else "left").drop("_salt", "_value", "_code")
+        if handle_invalid == "error":
+            joined = joined.withColumn(f"{c}_index", F.coalesce(f"{c}_index", F.raise_error(F.lit(f"{c} holds NULL")).cast("double")))
+        elif handle_invalid == "keep":
+            joined = joined.withColumn(f"{c}_index", F.coalesce(f"{c}_index", facts.scalar()["values"].cast("double")))
+        df = joined
+    return df
 
 
 def one_hot(df: DataFrame, columns: Sequence[str], drop_last: bool = True) -> DataFrame:

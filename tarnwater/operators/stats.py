@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -37,6 +38,21 @@ def student_p_value(t: float, freedom: int, steps: int = 20_000) -> float:
     return max(0.0, 1.0 - 2.0 * scale * area)
 
 
+def p_value(t: Column, freedom: Column, steps: int = 2000) -> Column:
+    """Two-sided p-value of a Student t, as a column: the share of the density's integral beyond |t|, by Simpson's rule after the substitution
+    x = sqrt(df) tan(u). Both integrals use a fixed number of steps within 40 standard deviations, so no gamma function is needed."""
+    width = 40 / F.sqrt(freedom)
+    whole = F.least(F.lit(math.pi / 2), width)
+    inner = F.least(F.atan(F.abs(t) / F.sqrt(freedom)), whole)
+
+    def area(limit: Column) -> Column:
+        weight = lambda i: F.when((i == 0) | (i == steps), 1.0).when(i % 2 == 1, 4.0).otherwise(2.0)
+        total = F.aggregate(F.sequence(F.lit(0), F.lit(steps)), F.lit(0.0), lambda s, i: s + weight(i) * F.pow(F.cos(limit * i / steps), freedom - 1))
+        return limit * total / (3 * steps)
+
+    return F.greatest(1 - area(inner) / area(whole), F.lit(0.0))
+
+
 def covariance_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Sample covariance of every column pair as rows (i, j, covariance); the symmetric half is computed once."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
@@ -92,6 +108,40 @@ def singular_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "component int, singular_value double")
 
 
+@dataclass(frozen=True)
+class Factors:
+    """A thin singular value decomposition: singular values, largest first, and one right vector per value over the columns."""
+
+    columns: tuple[str, ...]
+    values: tuple[float, ...]
+    right: tuple[tuple[float, ...], ...]
+
+    def left(self, df: DataFrame, prefix: str = "u") -> DataFrame:
+        """``df`` with one column per value, ``u1``, ``u2``, ...: the rows of U = X V / s, computed where the rows are. NULL for a value that is zero."""
+        limit = max(self.values, default=0.0) * 1e-12
+        parts = [linear_prediction(self.columns, [v / s for v in vector]) if s > limit else F.lit(None).cast("double") for s, vector in zip(self.values, self.right, strict=True)]
+        return df.withColumns({f"{prefix}{i + 1}": part for i, part in enumerate(parts)})
+
+    def right_table(self, df: DataFrame) -> DataFrame:
+        """(component, singular_value, column_name, value)."""
+        rows = [(i + 1, s, c, x) for i, (s, vector) in enumerate(zip(self.values, self.right, strict=True)) for c, x in zip(self.columns, vector, strict=True)]
+        return df.sparkSession.createDataFrame(rows, "component int, singular_value double, column_name string, value double")
+
+
+def singular_vectors(df: DataFrame, columns: Sequence[str]) -> Factors:
+    """Thin factorisation X = U S V' of tall data: one aggregate for the d x d Gram matrix, whose eigenvectors are V; U stays distributed.
+    The largest component of a right vector (the first of equal ones) is positive, which fixes the signs of both sides."""
+    names = [F.col(c).cast("double") for c in columns]
+    values, vectors = np.linalg.eigh(np.array(_product_sums(df, names, names)))
+    order = np.argsort(-values, kind="stable")
+    right = []
+    for i in order:
+        vector = vectors[:, i]
+        size = np.abs(vector)
+        right.append(tuple(map(float, vector * np.sign(vector[int(np.flatnonzero(size >= size.max() * (1 - 1e-9))[0])]))))
+    return Factors(tuple(columns), tuple(float(math.sqrt(max(values[i], 0.0))) for i in order), tuple(right))
+
+
 def linear_prediction(features: Sequence[str], weights: Sequence[float], intercept: float = 0.0) -> Column:
     """Xw + intercept for one row."""
     terms = [F.col(c) * F.lit(float(w)) for c, w in zip(features, weights, strict=True)]
@@ -112,6 +162,31 @@ def squared_error_gradient(df: DataFrame, features: Sequence[str], label: str, w
     return row.select(F.inline(F.array(*cells)))
 
 
+@dataclass(frozen=True)
+class Descent:
+    """Weights found, steps taken, and the gradient's length."""
+
+    weights: tuple[float, ...]
+    steps: int
+    length: float
+
+
+def gradient_descent(df: DataFrame, features: Sequence[str], label: str, tolerance: float = 1e-6, most: int = 1000) -> Descent:
+    """Least squares without intercept from zero weights: each step is one aggregate over the rows, the gradient 2X'Xw - 2X'y, times
+    1 / (2 sum of X squared), which never overshoots. Ends when the gradient is ``tolerance`` times as long as the first one."""
+    size = float(df.agg(F.sum(sum(F.col(c).cast("double") * F.col(c) for c in features))).first()[0] or 0.0)
+    weights, steps, first = np.zeros(len(features)), 0, None
+    while True:
+        found = {r["feature"]: r["gradient"] for r in squared_error_gradient(df, features, label, weights).collect()}
+        gradient = np.array([found[c] or 0.0 for c in features])
+        length = float(np.sqrt((gradient * gradient).sum()))
+        first = length if first is None else first
+        if length <= tolerance * first or steps == most:
+            return Descent(tuple(map(float, weights)), steps, length)
+        weights = weights - gradient / (2 * size)
+        steps += 1
+
+
 def lasso_objective(df: DataFrame, features: Sequence[str], label: str, weights: Sequence[float], alpha: float) -> DataFrame:
     """Half the mean squared error plus alpha times the sum of absolute weights."""
     error = F.col(label) - linear_prediction(features, weights)

@@ -50,7 +50,7 @@ def stratified_sample(t: Tables) -> DataFrame:
 
 @query(f"SELECT o_orderkey, o_orderpriority FROM orders WHERE NOT ({_SAMPLE_SQL})")
 def sample_complement(t: Tables) -> DataFrame:
-    return splits.complement(_sampled(t), _sampled(t).where("in_sample"), ["o_orderkey"]).drop("in_sample")
+    return _sampled(t).where("not in_sample").drop("in_sample")
 
 
 @query(f"""

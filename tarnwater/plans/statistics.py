@@ -26,14 +26,22 @@ MEASURES_SQL = "m AS (SELECT l_quantity AS q, l_discount AS d, l_tax AS x, l_ext
 _ERROR_SQL = "(q * 0.5::DOUBLE + d * -3.0::DOUBLE + x * 2.0::DOUBLE - y)"
 
 
-@query("""
+def _area_sql(limit: str, steps: int = 2000) -> str:
+    """Simpson's rule for the integral of cos(u)^(df - 1) from 0."""
+    return f"(SELECT {limit} / {3 * steps} * sum(CASE WHEN i = 0 OR i = {steps} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * pow(cos({limit} * i / {steps}), df - 1)) FROM range(0, {steps + 1}) AS k(i))"
+
+
+@query(f"""
     WITH s AS (
         SELECT count(*) FILTER (o_orderstatus = 'F') AS n1, avg(o_totalprice) FILTER (o_orderstatus = 'F') AS m1, var_samp(o_totalprice) FILTER (o_orderstatus = 'F') AS v1,
             count(*) FILTER (o_orderstatus = 'O') AS n2, avg(o_totalprice) FILTER (o_orderstatus = 'O') AS m2, var_samp(o_totalprice) FILTER (o_orderstatus = 'O') AS v2
-        FROM orders)
-    SELECT round((m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2) * (1.0 / n1 + 1.0 / n2)), 6) AS t, n1 + n2 - 2 AS df FROM s""")
+        FROM orders
+    ), f AS (SELECT (m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2) * (1.0 / n1 + 1.0 / n2)) AS t, n1 + n2 - 2 AS df FROM s),
+    a AS (SELECT *, least(pi() / 2, 40 / sqrt(df)) AS whole, least(atan(abs(t) / sqrt(df)), least(pi() / 2, 40 / sqrt(df))) AS inside FROM f)
+    SELECT round(t, 6) AS t, df, round(greatest(1 - {_area_sql("inside")} / {_area_sql("whole")}, 0), 6) AS p_value FROM a""")
 def t_test(t: Tables) -> DataFrame:
-    return stats.t_test(t.orders, "o_orderstatus", "o_totalprice", "F", "O").select(rounded("t").alias("t"), "df")
+    found = stats.t_test(t.orders, "o_orderstatus", "o_totalprice", "F", "O")
+    return found.select(rounded("t").alias("t"), "df", rounded(stats.p_value(F.col("t"), F.col("df"))).alias("p_value"))
 
 
 @query(
@@ -132,3 +140,57 @@ def lasso_objective(t: Tables) -> DataFrame:
 )
 def lasso_gradient(t: Tables) -> DataFrame:
     return stats.lasso_gradient(measures(t), FEATURES, "y", WEIGHTS, ALPHA).withColumn("gradient", rounded("gradient"))
+
+
+_VECTORS_SQL = f"""
+    {MEASURES_SQL}, s AS (SELECT sum(q * q) AS a, sum(q * y) AS b, sum(y * y) AS c FROM m), {_EIGEN_SQL},
+    v AS (
+        SELECT 1 AS component, sqrt(e1) AS singular_value, b / sqrt(b * b + (e1 - a) * (e1 - a)) AS q, (e1 - a) / sqrt(b * b + (e1 - a) * (e1 - a)) AS y FROM s, e
+        UNION ALL SELECT 2, sqrt(e2), b / sqrt(b * b + (e2 - a) * (e2 - a)), (e2 - a) / sqrt(b * b + (e2 - a) * (e2 - a)) FROM s, e
+    ), w AS (SELECT component, singular_value, q * g AS q, y * g AS y FROM (SELECT *, CASE WHEN abs(q) >= abs(y) THEN sign(q) ELSE sign(y) END AS g FROM v))"""
+
+
+@query(f"""
+    WITH {_VECTORS_SQL}
+    SELECT component, round(singular_value, 4) AS singular_value, 'q' AS column_name, round(q, 6) + 0.0 AS value FROM w
+    UNION ALL SELECT component, round(singular_value, 4), 'y', round(y, 6) + 0.0 FROM w""")
+def svd_right_vectors(t: Tables) -> DataFrame:
+    """Singular values with the right vectors."""
+    rows = measures(t)
+    table = stats.singular_vectors(rows, ["q", "y"]).right_table(rows)
+    return table.select("component", rounded("singular_value", 4).alias("singular_value"), "column_name", rounded("value").alias("value"))
+
+
+@query(f"""
+    WITH {_VECTORS_SQL}
+    SELECT l_orderkey, l_linenumber, l_partkey,
+        round((l_quantity * w1.q + l_extendedprice / 1000.0::DOUBLE * w1.y) / w1.singular_value, 9) + 0.0 AS u1, round((l_quantity * w2.q + l_extendedprice / 1000.0::DOUBLE * w2.y) / w2.singular_value, 9) + 0.0 AS u2
+    FROM lineitem, w w1, w w2 WHERE w1.component = 1 AND w2.component = 2""")
+def svd_left_vectors(t: Tables) -> DataFrame:
+    """The row of U of every row."""
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").alias("q"), (F.col("l_extendedprice") / 1000.0).alias("y"))
+    return stats.singular_vectors(rows, ["q", "y"]).left(rows).select("l_orderkey", "l_linenumber", "l_partkey", rounded("u1", 9).alias("u1"), rounded("u2", 9).alias("u2"))
+
+
+_CENTRED_SQL = "z AS (SELECT l_quantity / 50 - 0.5 AS a, l_discount * 10 - 0.5 AS b, l_tax * 12 - 0.5 AS c, l_extendedprice / 1000.0::DOUBLE AS y FROM lineitem)"
+
+
+@query(f"""
+    WITH RECURSIVE {_CENTRED_SQL}, s AS (
+        SELECT sum(a * a) AS aa, sum(a * b) AS ab, sum(a * c) AS ac, sum(b * b) AS bb, sum(b * c) AS bc, sum(c * c) AS cc, sum(a * y) AS ay, sum(b * y) AS b_y, sum(c * y) AS cy FROM z
+    ), d AS (
+        SELECT 0 AS step, 0.0::DOUBLE AS wa, 0.0::DOUBLE AS wb, 0.0::DOUBLE AS wc
+        UNION ALL SELECT step + 1, wa - ga / (aa + bb + cc), wb - gb / (aa + bb + cc), wc - gc / (aa + bb + cc) FROM (
+            SELECT *, aa * wa + ab * wb + ac * wc - ay AS ga, ab * wa + bb * wb + bc * wc - b_y AS gb, ac * wa + bc * wb + cc * wc - cy AS gc FROM d, s
+        ) WHERE step < 1000 AND sqrt(ga * ga + gb * gb + gc * gc) > 1e-6 * sqrt(ay * ay + b_y * b_y + cy * cy)
+    ), last AS (SELECT * FROM d ORDER BY step DESC LIMIT 1)
+    SELECT term, round(w, 4) + 0.0 AS coefficient, step AS steps FROM last UNPIVOT (w FOR term IN (wa, wb, wc))""")
+def ols_descent(t: Tables) -> DataFrame:
+    """Least squares by own gradient descent."""
+    rows = t.lineitem.select(
+        (F.col("l_quantity") / 50 - 0.5).alias("wa"), (F.col("l_discount") * 10 - 0.5).alias("wb"), (F.col("l_tax") * 12 - 0.5).alias("wc"), (F.col("l_extendedprice") / 1000.0).alias("y")
+    ).cache()
+    found = stats.gradient_descent(rows, ["wa", "wb", "wc"], "y")
+    rows.unpersist()
+    table = t.spark.createDataFrame(list(zip(["wa", "wb", "wc"], found.weights, strict=True)), "term string, coefficient double")
+    return table.select("term", rounded("coefficient", 4).alias("coefficient"), F.lit(found.steps).alias("steps"))
