@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnwater.functions.random import keyed_uniform
-from tarnwater.models import fits, metrics, recommend, tuning
+from tarnwater.models import fits, metrics, recommend, staged, tuning
 from tarnwater.operators import corpus, features, splits
 from tarnwater.operators.combine import union_tagged
 from tarnwater.plans import text
@@ -231,19 +232,28 @@ def document_features(t: Tables, learned: bool, dims: int = 16) -> DataFrame:
     return materialize(splits.random_parts(labelled, ["doc_id"], [0.75, 0.25], 6), "features")
 
 
+TEXT_CHOICES, CHOICE_FOLDS = (0.003, 0.01, 0.03, 0.1), 3
+
+
 def text_scores(t: Tables, learned: bool, name: str) -> DataFrame:
-    """Train the output layer on document vectors and score the held-out part, log loss included."""
+    """Train the output layer on document vectors, its penalty chosen by folds, and score the held-out part; the log loss is held against the
+    entropy of the classes, which a model that learned nothing reaches."""
     rows = document_features(t, learned)
-    model = fits.logistic_regression("label", penalty=0.001, family="multinomial", maxIter=50).fit(rows.where("part = 0"))
-    scored = materialize(model.transform(rows.where("part = 1")).select("label", "prediction", "probability"), "scored")
+    estimator = fits.logistic_regression("label", family="multinomial", maxIter=50)
+    grid = tuning.param_grid({estimator.regParam: TEXT_CHOICES})
+    chosen = tuning.cross_validate(rows.where("part = 0").drop("part"), ["doc_id"], estimator, grid, MulticlassClassificationEvaluator(metricName="logLoss"), CHOICE_FOLDS, fits.SEED)
+    scored = materialize(chosen.bestModel.transform(rows.where("part = 1")).select("label", "prediction", "probability"), "scored")
     loss = metrics.log_loss(scored, F.get(vector_to_array("probability"), F.col("label").cast("int")))
-    return against_majority(t, scored, "label", name).withColumn("loss_small", loss.scalar() < 0.69)
+    share = F.avg("label")
+    entropy = scored.agg((-(share * F.log(share) + (1 - share) * F.log(1 - share))).alias("e")).scalar()
+    return against_majority(t, scored, "label", name).withColumns({"entropy": rounded(entropy), "loss_small": loss.scalar() < entropy})
 
 
 def _text_sql(name: str) -> str:
     return f"""
     WITH d AS (SELECT CASE WHEN lang = 'en' THEN 1.0::DOUBLE ELSE 0.0 END AS label, {uniform_sql(6, "doc_id")} AS u FROM documents)
-    SELECT '{name}' AS model, count(*) AS n_test, round(greatest(avg(label), 1 - avg(label)), 6) AS majority, true AS beats_majority, true AS loss_small FROM d WHERE u >= 0.75"""
+    SELECT '{name}' AS model, count(*) AS n_test, round(greatest(avg(label), 1 - avg(label)), 6) AS majority, round(-(avg(label) * ln(avg(label)) + (1 - avg(label)) * ln(1 - avg(label))), 6) AS entropy,
+        true AS beats_majority, true AS loss_small FROM d WHERE u >= 0.75"""
 
 
 @query(_text_sql("learned vectors"))
@@ -350,26 +360,33 @@ def rf_regressor(t: Tables) -> DataFrame:
     return result
 
 
-# The grid of the search; the sampled share of the training rows is a parameter of it.
-SEARCH_TREES, SEARCH_SHARES, SEARCH_FEATURES, SEARCH_FOLDS, SEARCH_SAMPLE = (5, 10), (0.3, 0.9), ("2", "4"), 3, 0.1
+# The grid of the documented search, four values each, its folds, and the sampled share of the training rows, which is a parameter of it.
+SEARCH_TREES, SEARCH_SHARES, SEARCH_FEATURES, SEARCH_FOLDS, SEARCH_SAMPLE = (10, 40, 70, 100), (0.1, 0.367, 0.633, 0.9), (1, 2, 3, 4), 5, 0.1
+
+
+def cost_search(rows: DataFrame) -> staged.Search:
+    """Search over forests on a sample of the training rows: 16 fits a fold for 64 points."""
+    sample = splits.random_parts(rows.where("part = 0").drop("part"), _LINE_KEYS, [SEARCH_SAMPLE, 1 - SEARCH_SAMPLE], 42).where("part = 0").drop("part")
+    settings = [{"features": f, "sample": s} for f in SEARCH_FEATURES for s in SEARCH_SHARES]
+    fit = lambda part, p: fits.forest_regressor("y", trees=max(SEARCH_TREES), max_features=p["features"], sample=p["sample"]).fit(part)
+    score = lambda model, part: staged.value_scores(staged.forest_stages(model, part, SEARCH_TREES, classes=False), SEARCH_TREES, "y")
+    return staged.search(sample, _LINE_KEYS, settings, "trees", SEARCH_TREES, fit, score, SEARCH_FOLDS, fits.SEED)
 
 
 @query(f"""
     WITH r AS (SELECT {_COST_SQL} AS y, {_PART_SQL} AS u FROM lineitem)
     SELECT CAST({len(SEARCH_TREES) * len(SEARCH_SHARES) * len(SEARCH_FEATURES)} AS BIGINT) AS n_points, true AS best_explains, count(*) FILTER (u >= 0.85) AS n_test, true AS refit_good FROM r""")
 def rf_grid_search(t: Tables) -> DataFrame:
-    """Search on a sample of the training rows, then a fit with the best point on all of them."""
+    """The search, then a fit with the best point on all training rows."""
     rows = costed_lines(t).cache()
-    sample = splits.random_parts(rows.where("part = 0").drop("part"), _LINE_KEYS, [SEARCH_SAMPLE, 1 - SEARCH_SAMPLE], 42).where("part = 0").drop("part")
-    estimator = fits.forest_regressor("y")
-    grid = tuning.param_grid({estimator.numTrees: SEARCH_TREES, estimator.subsamplingRate: SEARCH_SHARES, estimator.featureSubsetStrategy: SEARCH_FEATURES})
-    model = tuning.cross_validate(sample, _LINE_KEYS, estimator, grid, RegressionEvaluator(labelCol="y", metricName="r2"), SEARCH_FOLDS, fits.SEED)
-    best = tuning.best_point(model)
-    scored = estimator.copy(best).fit(rows.where("part = 0")).transform(rows.where("part = 1"))
+    found = cost_search(rows)
+    best = found.best("r2")
+    model = fits.forest_regressor("y", trees=best["trees"], max_features=best["features"], sample=best["sample"]).fit(rows.where("part = 0"))
+    scored = model.transform(rows.where("part = 1"))
     error = (F.col("y") - F.col("prediction")) * (F.col("y") - F.col("prediction"))
     test = scored.agg(F.count("*").alias("n_test"), (F.sqrt(F.avg(error)) < 0.5 * F.stddev_pop("y")).alias("refit_good")).first()
     rows.unpersist()
-    return table_of(t, [(len(grid), bool(max(model.avgMetrics) > 0.7), test["n_test"], test["refit_good"])], "n_points bigint, best_explains boolean, n_test bigint, refit_good boolean")
+    return table_of(t, [(len(found.points), bool(max(s["r2"] for s in found.scores) > 0.7), test["n_test"], test["refit_good"])], "n_points bigint, best_explains boolean, n_test bigint, refit_good boolean")
 
 
 # Recommender.
@@ -527,21 +544,149 @@ def best_params_json(t: Tables) -> DataFrame:
     return rows.agg(F.count("*").alias("n_rows")).select("n_rows", F.lit(found == best).alias("equals_grid_best"), F.lit(found <= 0.1).alias("small_penalty"))
 
 
-TUNED_DEPTHS, TUNED_BINS, TUNED_TREES, TUNED_FOLDS = (2, 4, 6), (5, 10, 20), (3, 5, 10), 3
+# The grids of the documented searches over forests and boosted trees, three values each, and their folds.
+FOREST_GRID = {"depth": (4, 8, 12), "bins": (10, 20, 30), "trees": (15, 25, 30)}
+BOOSTED_GRID = {"depth": (4, 8, 12), "bins": (7, 15, 20), "rounds": (5, 10, 15)}
+TUNED_FOLDS = 3
 
 
-@query(f"""
+def class_search(rows: DataFrame, boosted: bool) -> staged.Search:
+    """Search over the training rows: 9 fits a fold for 27 points."""
+    grid, stage = (BOOSTED_GRID, "rounds") if boosted else (FOREST_GRID, "trees")
+    settings = [{"depth": d, "bins": b} for d in grid["depth"] for b in grid["bins"]]
+    stages = grid[stage]
+
+    def fit(part: DataFrame, p: dict):
+        make = fits.boosted_trees if boosted else fits.forest_classifier
+        return make("label", depth=p["depth"], bins=p["bins"], **{stage: max(stages)}).fit(part)
+
+    def score(model, part: DataFrame) -> dict:
+        scored = staged.boosted_stages(model, part, stages) if boosted else staged.forest_stages(model, part, stages, classes=True)
+        return staged.class_scores(scored, stages)
+
+    return staged.search(rows.where("part = 0").drop("part"), _LINE_KEYS, settings, stage, stages, fit, score, TUNED_FOLDS, fits.SEED)
+
+
+def _tuned_sql(name: str, grid: dict) -> str:
+    points = len(grid["depth"]) * len(grid["bins"]) * len(grid.get("trees", grid.get("rounds")))
+    return f"""
     WITH r AS (SELECT {_HEAVY_SQL} AS y, {_PART_SQL} AS u FROM lineitem)
-    SELECT 'best forest' AS model, CAST({len(TUNED_DEPTHS) * len(TUNED_BINS) * len(TUNED_TREES)} AS BIGINT) AS n_points, count(*) AS n_test, round(greatest(avg(y), 1 - avg(y)), 6) AS majority,
-        true AS beats_majority, true AS best_score_high FROM r WHERE u >= 0.7""")
+    SELECT '{name}' AS model, CAST({points} AS BIGINT) AS n_points, count(*) AS n_test, round(greatest(avg(y), 1 - avg(y)), 6) AS majority,
+        true AS beats_majority, true AS best_score_high FROM r WHERE u >= 0.7"""
+
+
+def tuned(t: Tables, boosted: bool, name: str) -> DataFrame:
+    """The search, then a fit with the best point on all training rows, scored on the others."""
+    rows = heavy_lines(t).cache()
+    found = class_search(rows, boosted)
+    make = fits.boosted_trees if boosted else fits.forest_classifier
+    scored = make("label", **found.best("auc")).fit(rows.where("part = 0")).transform(rows.where("part = 1"))
+    result = against_majority(t, scored, "label", name)
+    rows.unpersist()
+    return result.withColumns({"n_points": F.lit(len(found.points)).cast("bigint"), "best_score_high": F.lit(bool(max(s["auc"] for s in found.scores) > 0.9))})
+
+
+@query(_tuned_sql("best forest", FOREST_GRID))
 def classifier_tuning(t: Tables) -> DataFrame:
-    """Search on the training rows, then a fit with the best point, scored on the others."""
+    return tuned(t, False, "best forest")
+
+
+@query(_tuned_sql("best boosted trees", BOOSTED_GRID))
+def boosted_tuning(t: Tables) -> DataFrame:
+    return tuned(t, True, "best boosted trees")
+
+
+# Results as such. The fits' random draws have no SQL, so these queries have no twin; tests hold them against bounds that a bad fit breaks.
+
+
+@query()
+def forest_search_table(t: Tables) -> DataFrame:
+    """Every point of the search over forests with its mean scores, and the refit's scores on the held-out rows beside the best point."""
     rows = heavy_lines(t).cache()
-    estimator = fits.forest_classifier("label")
-    grid = tuning.param_grid({estimator.maxDepth: TUNED_DEPTHS, estimator.maxBins: TUNED_BINS, estimator.numTrees: TUNED_TREES})
-    evaluator = BinaryClassificationEvaluator(labelCol="label")
-    model = tuning.cross_validate(rows.where("part = 0").drop("part"), _LINE_KEYS, estimator, grid, evaluator, TUNED_FOLDS, fits.SEED)
-    scored = estimator.copy(tuning.best_point(model)).fit(rows.where("part = 0")).transform(rows.where("part = 1"))
-    result = against_majority(t, scored, "label", "best forest")
+    found = class_search(rows, False)
+    best = found.best("auc")
+    model = fits.forest_classifier("label", **best).fit(rows.where("part = 0"))
+    test = staged.class_scores(staged.forest_stages(model, rows.where("part = 1"), [best["trees"]], classes=True), [best["trees"]])[best["trees"]]
+    rows.unpersist()
+    is_best = F.col("params") == json.dumps(best, sort_keys=True)
+    table = found.table(t.lineitem, "accuracy", "auc").withColumn("is_best", is_best)
+    return table.withColumns({f"test_{m}": F.when(F.col("is_best"), F.lit(test[m])) for m in ("accuracy", "auc")})
+
+
+@query()
+def cost_search_table(t: Tables) -> DataFrame:
+    """Every point of the search over cost forests with its mean scores."""
+    rows = costed_lines(t).cache()
+    found = cost_search(rows)
     rows.unpersist()
-    return result.withColumns({"n_points": F.lit(len(grid)).cast("bigint"), "best_score_high": F.lit(bool(max(model.avgMetrics) > 0.9))})
+    return found.table(t.lineitem, "r2", "rmse").withColumn("is_best", F.col("params") == json.dumps(found.best("r2"), sort_keys=True))
+
+
+@query()
+def penalty_search_table(t: Tables) -> DataFrame:
+    """The curve over the penalties: value, mean score and deviation over the folds, and all parameters of the best model as JSON beside its row."""
+    estimator, model, rows = search(t)
+    curve = tuning.score_table(model, rows).drop("params").withColumn("value", F.element_at(F.array(*[F.lit(v) for v in SEARCH_PENALTIES]), F.col("point") + 1))
+    best = F.col("value") == float(tuning.best_point(model)[estimator.regParam])
+    return curve.select("value", "mean_score", "std_score", best.alias("is_best"), F.when(best, F.lit(tuning.best_params_json(model))).alias("best_params"))
+
+
+def scores_of(scored: DataFrame, name: str) -> DataFrame:
+    """Rows, accuracy, and macro precision, recall and F1 of scored rows."""
+    counts = scored.agg(F.count("*").alias("n_test"))
+    return counts.crossJoin(metrics.accuracy(scored)).crossJoin(metrics.macro_scores(scored, "label")).select(F.lit(name).alias("model"), "n_test", "accuracy", "precision", "recall", "f1")
+
+
+@query()
+def classifier_scores(t: Tables) -> DataFrame:
+    """Scores of the network, of both tree ensembles and of the text classifier on their held-out rows."""
+    parts = materialize(sign_classes(t), "parts")
+    network = fits.perceptron("label", [WIDTH, 32, 4]).fit(parts.where("part = 0")).transform(parts.where("part = 1"))
+    lines = heavy_lines(t).cache()
+    trees = {name: make.fit(lines.where("part = 0")).transform(lines.where("part = 1")) for name, make in (("boosted trees", fits.boosted_trees("label", **BOOSTED)), ("random forest", fits.forest_classifier("label", **FOREST)))}
+    docs = document_features(t, False)
+    text_model = fits.logistic_regression("label", penalty=0.03, family="multinomial", maxIter=50).fit(docs.where("part = 0")).transform(docs.where("part = 1"))
+    scored = {"perceptron 64-32-4": network, **trees, "given vectors": text_model}
+    tables = [scores_of(materialize(rows.select("label", "prediction"), "scored"), name) for name, rows in scored.items()]
+    lines.unpersist()
+    return reduce(DataFrame.unionByName, tables)
+
+
+@query()
+def pca_sweep_accuracy(t: Tables) -> DataFrame:
+    """Training and test accuracy of logistic regression on the first k components."""
+    parts = sign_classes(t).cache()
+    projected = features.fit_pca(parts.where("part = 0"), max(PCA_SIZES)).transform(parts).cache()
+    rows = []
+    for k in PCA_SIZES:
+        sized = features.component_prefix(projected, k)
+        model = fits.logistic_regression("label", "features_k", penalty=0.0, family="multinomial", maxIter=50).fit(sized.where("part = 0"))
+        right = model.transform(sized).groupBy("part").agg(F.avg((F.col("prediction") == F.col("label")).cast("int")).alias("a")).collect()
+        share = {r["part"]: r["a"] for r in right}
+        rows.append((k, share.get(0), share.get(1)))
+    projected.unpersist()
+    parts.unpersist()
+    return table_of(t, rows, "k int, train_accuracy double, test_accuracy double")
+
+
+@query()
+def experiment_scores(t: Tables) -> DataFrame:
+    """The results table: model x split x metric with its score."""
+    rows = numbered_ratings(t)
+    return recommend.score_by_time_split(rows, F.col("time"), FRACTIONS, _recommenders(ITERATIONS), "rating").select("model", "split", "metric", "score")
+
+
+#: Fixed value: the mean rating from which an item counts as liked.
+LIKED = 4.0
+
+
+@query()
+def cluster_table(t: Tables) -> DataFrame:
+    """The largest clusters of customers with their sizes, and the categories that the largest one likes."""
+    found = clusters(t)
+    sizes = recommend.largest_groups(found, "cluster")
+    members = recommend.members_of_largest(found, "cluster").select("customer")
+    items = t.part.select(F.col("p_partkey").alias("part"), "p_type")
+    liked = recommend.liked_categories(ratings(t), members, items, "customer", "part", "rating", "p_type", liked=LIKED)
+    top = sizes.select(F.lit("cluster").alias("kind"), F.col("cluster").cast("string").alias("name"), F.col("size").alias("n"))
+    return top.unionByName(liked.select(F.lit("category").alias("kind"), F.col("p_type").alias("name"), "n"))
