@@ -6,8 +6,6 @@ is less than one block away from its share. Weights are exact fractions, never r
 follow from the weights alone (``placed_before``), so tasks work out separate pieces of the schedule. When a source runs out, the next phase
 shares its weight among those left, so all rows are placed. Rows are numbered by counts per hash bucket and prefix sums over the
 buckets, so a source that holds most of the rows is spread like any other.
-
-``whole_parts``, ``period`` and ``phases`` give the periodic schedule of weights rounded to whole parts of a period; ``mix`` does not use them.
 """
 
 from __future__ import annotations
@@ -22,45 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Slots in a period, and of a piece of the schedule; rows of a block; rows of a hash bucket, about; bound of the number of sources.
+#: Slots of a piece of the schedule; rows of a block; rows of a hash bucket, about; bound of the number of sources.
 SLOTS, BLOCK_ROWS, BUCKET_ROWS, MOST_SOURCES = 1000, 8, 500, 200
 #: Exponent of the default weights: 1 keeps the sources' shares, 0 makes them equal.
 TEMPERATURE = 0.5
 
 
-def whole_parts(weights: Mapping[str, float], slots: int = SLOTS) -> dict[str, int]:
-    """Weights as whole parts of ``slots`` by largest remainders, at least one each."""
-    total = sum(weights.values())
-    exact = {s: w / total * slots for s, w in weights.items()}
-    parts = {s: max(1, int(x)) for s, x in exact.items()}
-    order = sorted(parts, key=lambda s: (parts[s] - exact[s], s))
-    i = 0
-    while sum(parts.values()) != slots:
-        source = order[i % len(order)] if sum(parts.values()) < slots else order[-1 - i % len(order)]
-        parts[source] += 1 if sum(parts.values()) < slots else -1 if parts[source] > 1 else 0
-        i += 1
-    return parts
-
-
-def period(parts: Mapping[str, int]) -> list[tuple[str, int]]:
-    """(source, number of its block from 0) for each slot of one period, earliest deadline first; ties by source."""
-    slots = sum(parts.values())
-    release = {s: [(j * slots) // c for j in range(c)] for s, c in parts.items()}
-    due = {s: [-((-(j + 1) * slots) // c) for j in range(c)] for s, c in parts.items()}
-    waiting: list[tuple[int, str, int]] = []
-    by_slot: dict[int, list[tuple[str, int]]] = {}
-    for s, times in release.items():
-        for j, t in enumerate(times):
-            by_slot.setdefault(t, []).append((s, j))
-    out = []
-    for t in range(slots):
-        for s, j in by_slot.get(t, ()):
-            heapq.heappush(waiting, (due[s][j], s, j))
-        _, s, j = heapq.heappop(waiting)
-        out.append((s, j))
-    return out
-
-
 @dataclass(frozen=True)
 class Phase:
     """Slots from ``start`` on, until a source runs out; ``done``: blocks of each source before it."""
@@ -71,30 +36,6 @@ class Phase:
     done: dict[str, int]
 
 
-def phases(blocks: Mapping[str, int], weights: Mapping[str, float], slots: int = SLOTS) -> tuple[list[Phase], dict[int, dict[str, list[int]]]]:
-    """Phases of the schedule and, for each, the slots of every source's blocks in a period. At most one phase per source."""
-    left, done, start, out, places = {s: n for s, n in blocks.items() if n}, dict.fromkeys(blocks, 0), 0, [], {}
-    while left:
-        number, parts = len(out), whole_parts({s: weights[s] for s in left}, slots)
-        at: dict[str, list[int]] = {s: [] for s in parts}
-        for t, (s, _) in enumerate(period(parts)):
-            at[s].append(t)
-        out.append(Phase(number, start, parts, dict(done)))
-        places[number] = at
-        # Slots until the first source has placed its last block, and what each source places in them.
-        last = {s: ((n - 1) // parts[s]) * slots + at[s][(n - 1) % parts[s]] + 1 for s, n in left.items()}
-        length = min(last.values())
-        for s in list(left):
-            whole, rest = divmod(length, slots)
-            placed = whole * parts[s] + sum(t < rest for t in at[s])
-            done[s] += placed
-            left[s] -= placed
-            if not left[s]:
-                del left[s]
-        start += length
-    return out, places
-
-
 def exact_parts(weights: Mapping[str, float]) -> dict[str, int]:
     """Weights as whole numbers in exactly the same proportions."""
     exact = {s: Fraction(w) for s, w in weights.items()}

@@ -1,6 +1,7 @@
 """Edge rows of the operators: nulls in any column, empty and long texts, ties, repeated rows, empty tables, clashing names."""
 
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -254,14 +255,6 @@ def test_toxicity_edges(spark, odd, none):
     assert {r.score for r in toxicity.score_toxicity(odd, unlearned).collect()} == {0.0}
 
 
-@pytest.mark.parametrize("weights", [{"a": 5, "b": 3, "c": 1}, {"x": 1}, {f"s{i}": (i + 1) ** 0.5 for i in range(20)}, {"a": 1000, "b": 1e-6}])
-def test_less_than_one_block_from_the_target(weights):
-    parts = mixing.whole_parts(weights)
-    sequence = [s for s, _ in mixing.period(parts)]
-    assert sum(parts.values()) == mixing.SLOTS and len(sequence) == mixing.SLOTS
-    assert mixing.largest_deviation(sequence * 2, parts) < 1
-
-
 @pytest.mark.parametrize("weights", [{"a": 5, "b": 3, "c": 1}, {"x": 1}, {f"s{i}": (i + 1) ** 0.5 for i in range(20)}, {"a": 1000, "b": 1e-6}, {"a": 1000, "b": 0.01, "c": 0.03, "d": 0.02}])
 def test_less_than_one_block_from_the_given_weights_over_many_periods(weights):
     parts, n = mixing.exact_parts(weights), 20 * mixing.SLOTS
@@ -292,30 +285,33 @@ def test_mixing_edges(odd, none):
         mixing.mix(odd, weights={"s": 1})
 
 
-def test_mixing_follows_a_step_by_step_schedule():
-    blocks, weights = {"a": 40, "b": 7, "c": 3}, {"a": 0.5, "b": 0.3, "c": 0.2}
-    plan, places = mixing.phases(blocks, weights, 10)
-    placed = {}
-    for i, p in enumerate(plan):
-        end = plan[i + 1].done if i + 1 < len(plan) else blocks
-        for s, c in p.parts.items():
-            for j in range(p.done[s], end[s]):
-                k = j - p.done[s]
-                placed[p.start + k // c * 10 + places[p.number][s][k % c]] = (s, j)
-    assert sorted(placed) == list(range(50))
-    # slot by slot: among the sources left, the released block that is due first
-    left, slot = dict(blocks), 0
+def step_by_step(blocks, weights):
+    """Source and block of every slot: among the sources left, the released block that is due first; a new phase when a source ends."""
+    left, out = dict(blocks), []
     while any(left.values()):
-        parts = mixing.whole_parts({s: weights[s] for s, n in left.items() if n}, 10)
-        begin, given = slot, dict.fromkeys(parts, 0)
-        while all(left[s] for s in parts):
-            t = slot - begin
-            ready = [(-(-(given[s] + 1) * 10 // c), s) for s, c in parts.items() if given[s] * 10 // c <= t]
+        share = {s: Fraction(weights[s]) for s, n in left.items() if n}
+        share = {s: w / sum(share.values()) for s, w in share.items()}
+        begin, given = len(out), dict.fromkeys(share, 0)
+        while all(left[s] for s in share):
+            ready = [(-(-(given[s] + 1) // w), s) for s, w in share.items() if given[s] // w <= len(out) - begin]
             s = min(ready)[1]
-            assert placed[slot] == (s, blocks[s] - left[s])
+            out.append((s, blocks[s] - left[s]))
             given[s] += 1
             left[s] -= 1
-            slot += 1
+    return out
+
+
+@pytest.mark.parametrize(("sizes", "weights", "block_rows"), [
+    ({"a": 40, "b": 7, "c": 3}, {"a": 0.5, "b": 0.3, "c": 0.2}, 1), ({"a": 100, "b": 100, "c": 1}, {"a": 3, "b": 1, "c": 50}, 4), ({"a": 61, "b": 33, "c": 20, "d": 9}, None, 3),
+    ({"a": 5}, {"a": 1e-9}, 2), ({"a": 300, "b": 10}, {"a": 0.0001, "b": 0.9999}, 1),
+])
+def test_mixing_follows_a_step_by_step_schedule(spark, sizes, weights, block_rows):
+    docs = spark.createDataFrame([(i, f"t{i}", s) for s, n in sizes.items() for i in range(n)], "doc_id bigint, text string, source string").repartition(3)
+    rows = mixing.mix(docs, weights, block_rows=block_rows, slots=7, bucket_rows=13).collect()
+    blocks = {s: -(-n // block_rows) for s, n in sizes.items()}
+    wanted = step_by_step(blocks, weights or {s: float(n) ** mixing.TEMPERATURE for s, n in sizes.items()})
+    assert {(r.source, r.block, r.slot) for r in rows} == {(s, j, t) for t, (s, j) in enumerate(wanted)}
+    assert len(rows) == sum(sizes.values()) == len({r.position for r in rows})
 
 
 def test_search_edges(spark):
