@@ -56,7 +56,8 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
         hit = recipes.select("text_sha256", F.explode("recipe").alias("hash")).join(doubtful, "hash", "left_semi").select("text_sha256").distinct()
         contents = docs.select(F.sha2(text, 256).alias("text_sha256"), text.alias("full")).join(hit, "text_sha256", "left_semi").distinct()
         recipes = recipes.join(contents, "text_sha256", "left").withColumn("content", F.coalesce("full", F.lit(""))).drop("full")
-    key = ["text_sha256", "recipe", "content"]
+    # The verified recipe decides; the digest is an output.
+    key = ["recipe", "content"]
     best = F.max(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "row"))
     groups = recipes.groupBy(*key).agg(best.alias("best"), F.count("*").alias("group_size"))
     joined = recipes.join(groups, key)
