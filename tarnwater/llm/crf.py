@@ -25,7 +25,7 @@ AFFIXES, GRAM = 6, 3
 TABLE = 1 << 18
 BLOCK = 128
 #: Bytes of text tagged at a time.
-TAG_BYTES = 4_000_000
+TAG_BYTES = 2_000_000
 
 _NO_WORD = r"[^\pL\pM\pN]+"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
