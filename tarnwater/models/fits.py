@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.ml.classification import (
     GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier,
 )
-from pyspark.ml.feature import Word2Vec
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -81,13 +79,6 @@ def coefficient_table(model, features: Sequence[str], df: DataFrame) -> DataFram
     return df.sparkSession.createDataFrame(rows, "term string, coefficient double")
 
 
-def learn_word_vectors(tokenized: DataFrame, dims: int, min_count: int = 1, partitions: int = 1, rounds: int = 1, column: str = "tokens") -> DataFrame:
-    """Word vectors from the corpus itself as (word, vector array<double>). The model holds one vector per word on the
-    driver, so keep only the words of a vocabulary in the token arrays first."""
-    fitted = Word2Vec(vectorSize=dims, minCount=min_count, numPartitions=partitions, maxIter=rounds, seed=SEED, inputCol=column, outputCol="_v").fit(tokenized)
-    return fitted.getVectors().select("word", vector_to_array("vector").alias("vector"))
-
-
 def rectify(column: str) -> "F.Column":
     """max(x, 0) per array position."""
     return F.transform(column, lambda x: F.greatest(x, F.lit(0.0)))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnwater.functions.random import keyed_uniform
-from tarnwater.models import fits, metrics, recommend, staged, tuning
+from tarnwater.models import fits, metrics, recommend, staged, tuning, word_vectors
 from tarnwater.operators import corpus, features, splits
 from tarnwater.operators.combine import union_tagged
 from tarnwater.plans import text
@@ -219,8 +219,8 @@ def document_features(t: Tables, learned: bool, dims: int = 16) -> DataFrame:
     docs = materialize(text.tokenized(t), "tokens")
     numbered = text.numbered_vocabulary(docs)
     if learned:
-        known = materialize(corpus.keep_known(docs, "doc_id", numbered, "tokens"), "known")
-        vectors_ = fits.learn_word_vectors(known, dims, partitions=4).join(numbered, "word").select("word_id", "vector")
+        known = materialize(corpus.word_ids(docs, "doc_id", numbered), "known")
+        vectors_ = word_vectors.learn(known, "ids", dims).withColumnRenamed("word", "word_id")
     else:
         vectors_ = t.embeddings.select(F.col("vec_id").alias("word_id"), F.col("embedding").alias("vector"))
         dims = WIDTH
@@ -256,6 +256,20 @@ def _text_sql(name: str) -> str:
         true AS beats_majority, true AS loss_small FROM d WHERE u >= 0.75"""
 
 
+@query(f"""
+    WITH {text.INDEX_SQL}, kept AS (SELECT doc_id, word_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM hits),
+    pairs AS (
+        SELECT least(x.word_id, y.word_id) AS a, greatest(x.word_id, y.word_id) AS b, count(*) AS n
+        FROM kept x JOIN kept y ON x.doc_id = y.doc_id AND y.k - x.k BETWEEN 1 AND 5 GROUP BY ALL
+    )
+    SELECT a AS word_id, count(*) AS partners, CAST(sum(n) AS BIGINT) AS pairs, max(n) AS most FROM pairs GROUP BY a""")
+def cooccurrence_counts(t: Tables) -> DataFrame:
+    """Per word of the vocabulary: words within five places that aren't before it in the vocabulary, their pairs, and the most frequent pair."""
+    counts = word_vectors.cooccurrences(text.indexed(t), "ids")
+    found = counts.groupBy(F.col("a").cast("bigint").alias("word_id"))
+    return found.agg(F.count("*").alias("partners"), F.sum("n").alias("pairs"), F.max("n").alias("most"))
+
+
 @query(_text_sql("learned vectors"))
 def text_classifier(t: Tables) -> DataFrame:
     return text_scores(t, True, "learned vectors")
