@@ -13,13 +13,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tarnwater.llm.crf import Fit, Model, _letters, fit, sums_by_text, tag_batches, word_hash, word_table
 from tarnwater.llm.encode import lean
 from tarnwater.session import materialize
 
-#: Bounds of the fit: texts per language, signs of each (at a place drawn by the text's hash), words of each lexicon.
-TEXTS_PER_LANGUAGE, SIGNS, LEXICON = 1200, 3000, 2000
+#: Bounds of the fit: whole texts per language, their signs together, words of each lexicon.
+TEXTS_PER_LANGUAGE, SIGNS, LEXICON = 1200, 4_000_000, 2000
+#: Texts that alone take more than this part of the signs come last.
+LONG = 20
 MOST_LANGUAGES = 500
 RUN = 12
 
@@ -29,20 +32,32 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(parts)) == part, F.lit(False))
 
 
-def language_sample(docs: DataFrame, shards: int, per_language: int = TEXTS_PER_LANGUAGE) -> DataFrame:
-    """About ``per_language`` labelled texts of each language, drawn by a hash of the text: (shard, lang, text), written once."""
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
+def language_sample(docs: DataFrame, shards: int, per_language: int = TEXTS_PER_LANGUAGE, signs: int = SIGNS) -> DataFrame:
+    """Whole labelled texts of each language, drawn by a hash of the text: (shard, lang, text), written once.
+
+    Of a language's different texts the first by hash are taken, up to ``per_language`` of them and about ``signs`` signs together; texts of
+    more than a twentieth of that come after the others. A language has at least one text in the sample. Copies count as often as they occur
+    while both bounds allow it, dealt over the shards.
+    """
+    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.xxhash64("text", F.lit(17)).alias("drawn"))
+    different = labelled.groupBy("lang", "drawn").agg(F.count("*").alias("copies"))
+    counts = {r["lang"]: r["n"] for r in different.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
     if len(counts) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     share = F.lit(1.0)
     for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, per_language / n))).otherwise(share)
-    drawn = F.pmod(F.xxhash64("text", F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
-    length = F.length("text")
-    place = F.pmod(F.xxhash64("text", F.lit(23)), F.greatest(length - SIGNS, F.lit(0)) + 1).cast("int") + 1
-    rows = labelled.where(drawn < share).select(F.pmod(F.xxhash64("text", F.lit(29)), F.lit(shards)).cast("int").alias("shard"), "lang", F.substring("text", place, F.lit(SIGNS)).alias("text"))
-    return materialize(rows, "language-sample")
+        share = F.when(F.col("lang") == lang, F.lit(min(1.0, 2 * per_language / n))).otherwise(share)
+    # About twice the bound of texts is left per language, so the windows are bounded.
+    some = labelled.where(F.pmod("drawn", F.lit(1 << 30)) / float(1 << 30) < share).groupBy("lang", "drawn", "text").agg(F.count("*").alias("copies"))
+    order = Window.partitionBy("lang").orderBy(F.col("length") > signs // LONG, "drawn", "text")
+    some = some.withColumn("length", F.length("text").cast("bigint"))
+    some = some.withColumns({"place": F.row_number().over(order), "upto": F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, 0))})
+    kept = some.where((F.col("place") == 1) | ((F.col("place") <= per_language) & (F.col("upto") <= signs)))
+    whole = Window.partitionBy("lang")
+    room = F.least(F.lit(per_language) / F.count("*").over(whole), F.lit(signs) / F.greatest(F.sum("length").over(whole), F.lit(1)))
+    kept = kept.withColumn("times", F.greatest(F.least("copies", F.floor(room)), F.lit(1)).cast("int"))
+    rows = kept.select("lang", "text", "drawn", F.explode(F.sequence(F.lit(1), "times")).alias("copy"))
+    return materialize(rows.select(F.pmod(F.xxhash64("drawn", "copy"), F.lit(shards)).cast("int").alias("shard"), "lang", "text"), "language-sample")
 
 
 def lexicons(sample: DataFrame, languages: list[str], most: int = LEXICON) -> list[np.ndarray]:
@@ -58,10 +73,11 @@ def lexicons(sample: DataFrame, languages: list[str], most: int = LEXICON) -> li
 
     counts = sample.groupBy("shard", "lang").applyInArrow(count, "lang string, word string, n bigint").groupBy("word", "lang").agg(F.sum("n").alias("n"))
     both = counts.groupBy("word").agg(F.max(F.struct("n", "lang")).alias("top"), F.sum("n").alias("total")).where("total >= 5 AND top.n >= 0.9 * total")
-    rows = both.select("word", "top.lang", "top.n").orderBy(F.desc("n"), "word").limit(most * len(languages)).collect()
+    frequent = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+    rows = both.select("word", "top.lang", "top.n").withColumn("place", F.row_number().over(frequent)).where(F.col("place") <= most).collect()
     out = []
     for lang in languages:
-        words = [r["word"] for r in rows if r["lang"] == lang][:most]
+        words = [r["word"] for r in rows if r["lang"] == lang]
         out.append(np.sort(np.unique(word_hash(_letters(words)[0]))) if words else np.zeros(0, np.uint64))
     return out
 

@@ -4,7 +4,7 @@ Vectors get one more component that gives all of them the same length (M, the lo
 is then |q|^2 + M^2 - 2 <q, x>, so the nearest vectors have the highest inner products and the triangle inequality holds.
 
 * Roots: at most MOST_ROOTS pivots, picked farthest-first on a bounded sample; every row is routed to its nearest one.
-* Pages: a root's rows are cut by a hash of their id into pages of about PAGE rows, so no group grows with the data, however many vectors are equal.
+* Pages: a root's rows are cut by a hash of their number into pages of about PAGE rows, so no group grows with the data, however many vectors are equal.
 * Nodes: inside a page rows hang at the nearest of about sqrt(n) node pivots. A node is one row of the index table: pivot, covering radius,
   distance to its root, its vectors and their distances to the pivot.
 
@@ -28,18 +28,18 @@ from tarnwater.session import materialize
 
 PAGE, MOST_ROOTS, SAMPLE, QUERY_BLOCK = 1024, 256, 4096, 4096
 
-NODE_SCHEMA = "page bigint, node int, pivot array<double>, radius double, parent_distance double, ids array<bigint>, rows binary, distances array<double>"
-HIT_SCHEMA = "query_id bigint, vec_id bigint, score bigint"
+NODE_SCHEMA = "page bigint, node int, pivot array<double>, radius double, parent_distance double, ids array<bigint>, numbers array<bigint>, rows binary, distances array<double>"
+HIT_SCHEMA = "query bigint, query_id bigint, vec_id bigint, score bigint"
 
 
 def integer_vectors(table: DataFrame, id_column: str, vector: str, scale: int) -> DataFrame:
-    """(vec_id, v): floor(scale * x) of every component as bigint. Rows with a null id, a null vector or null or
-    non-finite components take no part; of rows that repeat an id the one with the smallest vector stays."""
+    """(row, vec_id, v): floor(scale * x) of every component as bigint, and a number that tells rows apart that repeat an id. Rows with
+    a null id, a null vector or null or non-finite components take no part. Written once, which fixes the numbers."""
     x = F.col(vector).cast("array<double>")
     finite = ~F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     rows = table.where(F.col(id_column).isNotNull() & F.col(vector).isNotNull()).where(finite)
     rows = rows.select(F.col(id_column).cast("bigint").alias("vec_id"), F.transform(x, lambda c: F.floor(scale * c)).alias("v"))
-    return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
+    return materialize(rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", "v"), "vectors")
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
@@ -77,7 +77,7 @@ class Index:
         length = F.aggregate("v", F.lit(0.0), lambda s, c: s + c.cast("double") * c.cast("double"))
         facts = vectors.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dim"), F.max(length).alias("longest")).first()
         self.n, self.dim, self.longest, self.page = facts["n"], max(facts["dim"] or 0, 1), facts["longest"] or 0.0, page
-        some = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("v").collect()
+        some = vectors.orderBy(F.xxhash64("row"), "row").limit(sample).select("v").collect()
         rows = np.zeros((len(some), self.dim))
         for i, r in enumerate(some):
             rows[i, : len(r["v"])] = r["v"]
@@ -90,7 +90,7 @@ class Index:
         self.pages = np.array([-(-sizes.get(i, (0, 0.0))[0] // page) for i in range(len(self.pivots))], np.int64)
         self.radius = np.array([sizes.get(i, (0, 0.0))[1] for i in range(len(self.pivots))])
         self.first = np.cumsum(self.pages) - self.pages
-        at = F.element_at(_literal(self.first), F.col("root") + 1) + F.pmod(F.xxhash64("vec_id"), F.element_at(_literal(self.pages), F.col("root") + 1))
+        at = F.element_at(_literal(self.first), F.col("root") + 1) + F.pmod(F.xxhash64("row"), F.element_at(_literal(self.pages), F.col("root") + 1))
         self.nodes = materialize(self._built(routed.withColumn("page", at.cast("bigint"))), "nodes")
 
     def _routed(self, vectors: DataFrame) -> DataFrame:
@@ -99,18 +99,18 @@ class Index:
         def route(batches):
             for batch in batches:
                 d = _distances(_lifted(_matrix(batch.column("v"), dim), longest), pivots)
-                columns = [batch.column("vec_id"), batch.column("v"), pa.array(d.argmin(1), pa.int32()), pa.array(d.min(1))]
-                yield pa.RecordBatch.from_arrays(columns, ["vec_id", "v", "root", "distance"])
+                columns = [*batch.columns, pa.array(d.argmin(1), pa.int32()), pa.array(d.min(1))]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "vec_id", "v", "root", "distance"])
 
-        return vectors.select("vec_id", "v").mapInArrow(route, "vec_id bigint, v array<bigint>, root int, distance double")
+        return vectors.select("row", "vec_id", "v").mapInArrow(route, "row bigint, vec_id bigint, v array<bigint>, root int, distance double")
 
     def _built(self, rows: DataFrame) -> DataFrame:
         dim, longest, roots = self.dim, self.longest, self.pivots
 
         def build(table: pa.Table) -> pa.Table:
-            table = table.sort_by("vec_id")
+            table = table.sort_by("row")
             x = _matrix(table.column("v"), dim)
-            lifted, ids = _lifted(x, longest), table.column("vec_id").to_numpy()
+            lifted, ids, numbers = _lifted(x, longest), table.column("vec_id").to_numpy(), table.column("row").to_numpy()
             root = roots[table.column("root")[0].as_py()][None]
             pivots = lifted[farthest_first(lifted, int(np.ceil(np.sqrt(len(x)))))]
             d = _distances(lifted, pivots)
@@ -120,7 +120,7 @@ class Index:
                 own = np.flatnonzero(nearest == k)
                 out.append({
                     "page": table.column("page")[0].as_py(), "node": int(k), "pivot": pivots[k], "radius": d[own, k].max(), "parent_distance": _distances(pivots[k][None], root)[0, 0],
-                    "ids": ids[own], "rows": x[own].tobytes(), "distances": d[own, k],
+                    "ids": ids[own], "numbers": numbers[own], "rows": x[own].tobytes(), "distances": d[own, k],
                 })
             return pa.Table.from_pylist(out, _NODE_TYPE)
 
@@ -129,7 +129,7 @@ class Index:
 
 _NODE_TYPE = pa.schema([
     ("page", pa.int64()), ("node", pa.int32()), ("pivot", pa.list_(pa.float64())), ("radius", pa.float64()), ("parent_distance", pa.float64()),
-    ("ids", pa.list_(pa.int64())), ("rows", pa.binary()), ("distances", pa.list_(pa.float64())),
+    ("ids", pa.list_(pa.int64())), ("numbers", pa.list_(pa.int64())), ("rows", pa.binary()), ("distances", pa.list_(pa.float64())),
 ])
 
 
@@ -140,7 +140,7 @@ def _literal(values: Sequence[int]) -> Column:
 def _search_page(nodes: pa.Table, queries: pa.Table, dim: int, longest: float, roots: np.ndarray, k: int) -> pa.Table:
     """Best-first search of one page by a block of queries: each one's k best rows that reach its limit, its own row left out."""
     q = _matrix(queries.column("v"), dim)
-    own = queries.column("vec_id").to_numpy()
+    own, query_ids = queries.column("row").to_numpy(), queries.column("vec_id").to_numpy()
     limit = np.array([-np.inf if x is None else x for x in queries.column("limit").to_pylist()], np.float64)
     lifted = np.hstack([q, np.zeros((len(q), 1))])
     both = (q * q).sum(1) + longest
@@ -160,7 +160,7 @@ def _search_page(nodes: pa.Table, queries: pa.Table, dim: int, longest: float, r
     to_node[:, near] = _distances(lifted, pivots[near])
     best = np.where(best >= limit[:, None], reach(to_node - radius, everyone), -np.inf)
     rows = [np.frombuffer(r, np.float64).reshape(-1, dim) for r in nodes.column("rows").to_pylist()]
-    ids, spread = nodes.column("ids").to_pylist(), nodes.column("distances").to_pylist()
+    ids, numbers, spread = (nodes.column(c).to_pylist() for c in ("ids", "numbers", "distances"))
     top_score, top_id = np.full((len(q), k), -np.inf), np.full((len(q), k), np.iinfo(np.int64).max)
     order = np.argsort(-best, axis=1, kind="stable")
     for turn in range(order.shape[1]):
@@ -175,52 +175,54 @@ def _search_page(nodes: pa.Table, queries: pa.Table, dim: int, longest: float, r
             some = np.flatnonzero(possible.any(0))
             if not len(some):
                 continue
-            own_ids = np.array(ids[j])[some]
+            there = np.array(ids[j])[some]
             score = q[who] @ rows[j][some].T
-            score[own_ids[None] == own[who][:, None]] = -np.inf
+            score[np.array(numbers[j])[some][None] == own[who][:, None]] = -np.inf
             score[score < floor[:, None]] = -np.inf
             better = np.flatnonzero(np.isfinite(score).any(1))
             if not len(better):
                 continue
             who, score = who[better], score[better]
             all_score = np.hstack([top_score[who], score])
-            all_id = np.hstack([top_id[who], np.broadcast_to(own_ids, score.shape)])
+            all_id = np.hstack([top_id[who], np.broadcast_to(there, score.shape)])
             first = np.lexsort((all_id, -all_score), axis=1)[:, :k]
             top_score[who], top_id[who] = np.take_along_axis(all_score, first, 1), np.take_along_axis(all_id, first, 1)
     found = np.isfinite(top_score)
     return pa.table({
-        "query_id": pa.array(np.repeat(own, found.sum(1)), pa.int64()), "vec_id": pa.array(top_id[found], pa.int64()), "score": pa.array(np.rint(top_score[found]).astype(np.int64)),
+        "query": pa.array(np.repeat(own, found.sum(1)), pa.int64()), "query_id": pa.array(np.repeat(query_ids, found.sum(1)), pa.int64()), "vec_id": pa.array(top_id[found], pa.int64()), "score": pa.array(np.rint(top_score[found]).astype(np.int64)),
     })
 
 
 def _visit(index: Index, visits: DataFrame, blocks: int, k: int) -> DataFrame:
-    """Search the pages of the visited roots: visits (vec_id, v, limit, root) to hits."""
+    """Search the pages of the visited roots: visits (row, vec_id, v, limit, root) to hits."""
     dim, longest, roots = index.dim, index.longest, index.pivots
     first, pages = (F.element_at(_literal(x), F.col("root") + 1) for x in (index.first, index.pages))
-    visits = visits.where(pages > 0).withColumn("page", F.explode(F.sequence(first, first + pages - 1))).withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)))
+    visits = visits.where(pages > 0).withColumn("page", F.explode(F.sequence(first, first + pages - 1))).withColumn("block", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)))
     pairs = visits.select(F.col("page").alias("at"), F.col("block").alias("of")).distinct()
     met = index.nodes.join(pairs, F.col("page") == F.col("at")).drop("at")
 
     def search(nodes: pa.Table, queries: pa.Table) -> pa.Table:
         if not nodes.num_rows or not queries.num_rows:
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.int64())})
+            return pa.table({c: pa.array([], pa.int64()) for c in ("query", "query_id", "vec_id", "score")})
         return _search_page(nodes, queries, dim, longest, roots, k)
 
     return met.groupBy("page", "of").cogroup(visits.groupBy("page", "block")).applyInArrow(search, HIT_SCHEMA)
 
 
 def _best(hits: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, page: int = PAGE, query_block: int = QUERY_BLOCK) -> DataFrame:
-    """The k highest inner products of every query with ``vectors`` (vec_id, v), other than the row of its own id; ties to the smaller vec_id.
+    """The k highest inner products of every query with ``vectors`` other than its own row; ties to the smaller vec_id. Both tables
+    come from :func:`integer_vectors` (row, vec_id, v); a query is left out of its own hits by its row number.
 
-    One row per hit: query_id, rank (from 1), vec_id, score; all rows if there are fewer than k. Vectors of different
+    One row per hit: query_id, rank (from 1), vec_id, score; all rows if there are fewer than k. Rows that repeat an id are candidates and
+    queries each, with ranks of their own, and the other rows of a query's id are candidates too. Vectors of different
     lengths meet as if filled up with zeros. Scores have to stay below 2**53. Equal vectors tie. Empty tables give no rows.
     """
-    vectors, queries = materialize(vectors, "vectors"), materialize(queries, "queries")
+    queries = materialize(queries, "queries")
     index = Index(vectors, page)
     blocks = max(1, -(-queries.count() // query_block))
     pivots, radius, dim, longest = index.pivots, index.radius, index.dim, index.longest
@@ -229,7 +231,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, page: int = PAGE,
         for batch in batches:
             q = _matrix(batch.column("v"), dim)
             d = _distances(np.hstack([q, np.zeros((len(q), 1))]), pivots) if len(pivots) else np.zeros((len(q), 1))
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), pa.array(d.argmin(1), pa.int32())], ["vec_id", "v", "root"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(d.argmin(1), pa.int32())], ["row", "vec_id", "v", "root"])
 
     def others(batches):
         for batch in batches:
@@ -239,12 +241,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, page: int = PAGE,
             both = (q * q).sum(1) + longest
             reach = (both[:, None] - low * low) / 2 + (1e-9 * (both + longest) + 0.25)[:, None]
             row, root = np.nonzero((reach >= limit[:, None]) & (np.arange(len(pivots))[None] != home[:, None]))
-            chosen = batch.take(pa.array(row))
-            yield pa.RecordBatch.from_arrays([chosen.column("vec_id"), chosen.column("v"), chosen.column("limit"), pa.array(root, pa.int32())], ["vec_id", "v", "limit", "root"])
+            chosen = batch.take(pa.array(row)).select(["row", "vec_id", "v", "limit"])
+            yield pa.RecordBatch.from_arrays([*chosen.columns, pa.array(root, pa.int32())], ["row", "vec_id", "v", "limit", "root"])
 
-    home = materialize(queries.select("vec_id", "v").mapInArrow(nearest, "vec_id bigint, v array<bigint>, root int"), "home")
+    home = materialize(queries.select("row", "vec_id", "v").mapInArrow(nearest, "row bigint, vec_id bigint, v array<bigint>, root int"), "home")
     first = materialize(_visit(index, home.withColumn("limit", F.lit(None).cast("bigint")), blocks, k), "hits")
-    limits = _best(first, k).where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("limit"))
-    rest = home.join(limits, "vec_id", "left").select("vec_id", "v", "limit", "root").mapInArrow(others, "vec_id bigint, v array<bigint>, limit bigint, root int")
+    limits = _best(first, k).where(F.col("rank") == k).select(F.col("query").alias("row"), F.col("score").alias("limit"))
+    rest = home.join(limits, "row", "left").select("row", "vec_id", "v", "limit", "root").mapInArrow(others, "row bigint, vec_id bigint, v array<bigint>, limit bigint, root int")
     second = _visit(index, materialize(rest, "visits"), blocks, k)
     return _best(first.union(second), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -237,6 +237,27 @@ def test_language_edges(spark, odd, none):
     assert {(r.lang_pred, r.score) for r in language.tag_languages(odd, unlearned).collect()} == {("und", 0.0)}
 
 
+def test_language_sample_bounds(spark):
+    rows = [(f"word{i} " * 5, "en") for i in range(300)] + [("hot text", "en")] * 5000 + [("selten hier", "de")] * 40 + [("long " * 3000, "fr"), ("court", "fr")]
+    rows += [(None, "en"), ("kein", None), ("", "la")]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    sample = language.language_sample(docs, 6, per_language=100, signs=10_000).collect()
+    by = {lang: [r.text for r in sample if r.lang == lang] for lang in ("en", "de", "fr", "la")}
+    assert 90 <= len(set(by["en"])) <= len(by["en"]) <= 100 and by["de"] == ["selten hier"] * 40 and by["la"] == [""]
+    assert by["fr"] == ["court"] and len({r.shard for r in sample if r.lang == "de"}) > 1
+    whole = {t for t, _ in rows}
+    assert all(r.text in whole for r in sample) and len(sample) == sum(map(len, by.values()))
+    only = docs.where("length(text) > 9000")
+    assert [r.text for r in language.language_sample(only, 6, per_language=100, signs=10_000).collect()] == ["long " * 3000]
+
+
+def test_lexicon_of_a_rare_language(spark):
+    rows = [(f"common{i % 400} common{i % 399}", "en") for i in range(4000)] + [("selten wort hier", "de")] * 6
+    sample = spark.createDataFrame([(0, lang, text) for text, lang in rows], "shard int, lang string, text string")
+    de, en = language.lexicons(sample, ["de", "en"], most=3)
+    assert len(de) == 3 and len(en) == 3
+
+
 def test_toxicity_edges(spark, odd, none):
     clean = [f"the {a} house stood near you and the {b} river" for a in ("red", "old", "tall", "dry") for b in ("wide", "blue", "slow", "deep")]
     docs = [(i, t) for i, t in enumerate(clean * 8)] + [(1000 + i, f"{t} you grubwort and") for i, t in enumerate(clean * 4)]
@@ -317,15 +338,20 @@ def test_mixing_follows_a_step_by_step_schedule(spark, sizes, weights, block_row
 def test_search_edges(spark):
     rows = [(i, [float((i * j) % 7 - 3) / 4 for j in range(1, 6)]) for i in range(120)] + [(200 + i, [0.5, -0.5, 0.25, 0.0, 1.0]) for i in range(90)]
     rows += [(0, [9.0] * 5), (None, [1.0] * 5), (301, None), (302, [1.0, None]), (303, [float("nan")]), (304, [float("inf")]), (320, [1.0]), (340, [])]
+    rows += [(20, [float(i % 3) / 2, 1.0]) for i in range(60)] + [(40, [0.5]), (40, [0.5])]
     table = spark.createDataFrame(rows, "id bigint, e array<double>")
     vectors = mtree.integer_vectors(table, "id", "e", 64)
     assert not {301, 302, 303, 304} & {r.vec_id for r in vectors.collect()}
     found = mtree.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=7, page=16, query_block=3).collect()
-    known = {r.vec_id: r.v + [0] * (5 - len(r.v)) for r in vectors.collect()}
-    for q in (k for k in known if k % 20 == 0):
-        want = sorted((-sum(a * b for a, b in zip(known[q], v)), k) for k, v in known.items() if k != q)[:7]
-        assert [(r.rank, -r.score, r.vec_id) for r in sorted(found, key=lambda r: r.rank) if r.query_id == q] == [(i + 1, s, k) for i, (s, k) in enumerate(want)]
-    few = vectors.where("vec_id IN (0, 20)")
+    known = {r.row: (r.vec_id, r.v + [0] * (5 - len(r.v))) for r in vectors.collect()}
+    assert len(known) == sum(1 for i, e in rows if i is not None and i not in (301, 302, 303, 304))
+    want = []
+    for q, (of, x) in known.items():
+        if of % 20 == 0:
+            best = sorted((-sum(a * b for a, b in zip(x, v)), k) for other, (k, v) in known.items() if other != q)[:7]
+            want += [(of, i + 1, k, -s) for i, (s, k) in enumerate(best)]
+    assert sorted(map(tuple, found)) == sorted(want)
+    few = vectors.where("vec_id IN (60, 80)")
     assert mtree.top_k(few, few, k=20).count() == 2
     assert mtree.top_k(vectors.where("false"), vectors.where("false")).count() == 0
 
