@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarnwater.operators.combine import join_null_safe
 from tarnwater.session import materialize
 
 Key = Column | str
@@ -46,20 +45,16 @@ def running_sum(
 
     ``bucket`` is a coarse, never decreasing function of the order (a day for a timestamp): the sum runs inside each
     (key, bucket), and the totals of the earlier buckets are added. A key that holds a large part of all rows is thus
-    spread over as many tasks as it has buckets.
+    spread over as many tasks as it has buckets. Key and bucket are one struct, which is never NULL and equals one with NULLs in the same
+    places, so the window's shuffle serves the join too and raw rows move once.
     """
-    keys = list(partition_by)
-    rows = df.withColumn("_bucket", bucket)
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        rows.groupBy(*keys, "_bucket")
-        .agg(F.sum(value).alias("_total"))
-        .select(*keys, "_bucket", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start"))
-    )
-    partial = rows.withColumn("_inside", F.sum(value).over(inside))
-    joined = join_null_safe(partial, starts, [*keys, "_bucket"])
-    return joined.withColumn(name, F.col("_inside") + F.col("_start")).drop("_inside", "_start", "_bucket")
+    rows = df.withColumn("_cell", F.struct(F.struct(F.lit(0).alias("all"), *partition_by).alias("key"), bucket.alias("bucket")))
+    inside = Window.partitionBy("_cell").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("_cell.key").orderBy("_cell.bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy("_cell").agg(F.sum(value).alias("_total"))
+    starts = totals.select("_cell", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start"))
+    joined = rows.withColumn("_inside", F.sum(value).over(inside)).join(starts, "_cell")
+    return joined.withColumn(name, F.col("_inside") + F.col("_start")).drop("_inside", "_start", "_cell")
 
 
 def top_rows(df: DataFrame, order_by: Sequence[Key], n: int) -> DataFrame:
@@ -87,109 +82,49 @@ def head_and_tail(df: DataFrame, key: str, n: int) -> DataFrame:
     return head.unionByName(tail)
 
 
-# Rank error of a sketch is about one part in this many.
-_SKETCH = 10_000
-# Passes that narrow or widen the brackets before it is an error.
-_MOST_PASSES = 30
+def _ordered_bits(value: Column) -> Column:
+    """The 64 bits of a double as a bigint in the order of the doubles, NaN last; 0.0 and -0.0 are one."""
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value + F.lit(0.0)).cast("bigint")
+    return bits.bitwiseXOR(F.shiftright(bits, 63).bitwiseAND(F.lit((1 << 63) - 1)))
 
 
-def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], max_values: int = 10_000
-) -> DataFrame:
-    """Exact, linearly interpolated quantiles as rows (column_name, probability, quantile).
+def _from_ordered_bits(key: Column) -> Column:
+    bits = key.bitwiseXOR(F.shiftright(key, 63).bitwiseAND(F.lit((1 << 63) - 1)))
+    return F.java_method(F.lit("java.lang.Double"), F.lit("longBitsToDouble"), bits).cast("double")
+
 
-    Each pass brackets every wanted rank with a quantile sketch, so the next pass only looks at a few ten-thousandths of the rows, and
-    counts the rows below and inside each bracket, which proves that the wanted ranks lie in it; a bracket that misses them is widened. Once a
-    bracket holds at most ``max_values`` distinct values their counts are ranked. Only a few numbers per (column, probability) reach
-    the driver between passes. NULLs are ignored.
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], bits: int = 16) -> DataFrame:
+    """Exact, linearly interpolated quantiles as rows (column_name, probability, quantile). NULLs are ignored; a column of NULLs has no rows.
+
+    Radix selection: values become 64 bits in the order of the numbers. The first pass counts rows by the highest ``bits`` of them and finds the
+    digit in which each wanted rank lies; each further pass counts only rows that begin like a wanted one by one more digit. That makes
+    64 / bits scans for all columns and probabilities together, whatever the data, and runs no job until the result is used.
+    Counts are combined before the shuffle, to at most 2^bits rows a column and wanted beginning; the wanted beginnings, at most two for
+    each column and probability, are broadcast.
     """
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    first = numbers.agg(*[F.count(c).alias(c) for c in columns]).first()
-    wanted = [(c, float(p)) for c in columns for p in probabilities if first[c]]
-    brackets: dict[tuple[str, float], tuple[float | None, float | None]] = {key: (None, None) for key in wanted}
-    below = {key: 0 for key in wanted}
-    inside = {key: int(first[key[0]]) for key in wanted}
-    open_keys, margins = list(wanted), {key: 2.0 / _SKETCH for key in wanted}
-    for _ in range(_MOST_PASSES):
-        if not open_keys:
-            break
-        bounds = _sketch_bounds(numbers, open_keys, brackets, below, inside, first, margins)
-        stats = numbers.agg(*_bracket_stats(open_keys, bounds)).first()
-        remaining = []
-        for i, key in enumerate(open_keys):
-            low = int(key[1] * (first[key[0]] - 1))
-            high = min(low + 1, first[key[0]] - 1)
-            if not stats[f"below_{i}"] <= low <= high < stats[f"below_{i}"] + stats[f"inside_{i}"]:
-                margins[key] *= 4
-                remaining.append(key)
-                continue
-            brackets[key], below[key], inside[key] = bounds[key], stats[f"below_{i}"], stats[f"inside_{i}"]
-            if stats[f"distinct_{i}"] > max_values:
-                remaining.append(key)
-        open_keys = remaining
-    if open_keys:
-        raise RuntimeError(f"no bracket found for {open_keys}")
-    return _rank_brackets(numbers, wanted, brackets, below, first)
-
-
-def _in_bracket(column: str, low: float | None, high: float | None) -> Column:
-    condition = F.col(f"`{column}`").isNotNull()
-    if low is not None:
-        condition = condition & (F.col(f"`{column}`") >= F.lit(low))
-    if high is not None:
-        condition = condition & (F.col(f"`{column}`") <= F.lit(high))
-    return condition
-
-
-def _sketch_bounds(numbers, keys, brackets, below, inside, totals, margins):
-    requests = []
-    for i, (column, p) in enumerate(keys):
-        share = (p * (totals[column] - 1) - below[(column, p)]) / max(inside[(column, p)], 1)
-        margin = margins[(column, p)]
-        pair = [max(share - margin, 0.0), min(share + margin + 1.0 / max(inside[(column, p)], 1), 1.0)]
-        value = F.when(_in_bracket(column, *brackets[(column, p)]), F.col(f"`{column}`"))
-        requests.append(F.percentile_approx(value, pair, _SKETCH).alias(str(i)))
-    row = numbers.agg(*requests).first()
-    return {key: (row[str(i)][0], row[str(i)][1]) for i, key in enumerate(keys)}
-
-
-def _bracket_stats(keys, brackets):
-    stats = []
-    for i, key in enumerate(keys):
-        column, (low, high) = F.col(f"`{key[0]}`"), brackets[key]
-        within = _in_bracket(key[0], low, high)
-        stats.append(F.count_if(column < F.lit(low)).alias(f"below_{i}"))
-        stats.append(F.count_if(within).alias(f"inside_{i}"))
-        stats.append(F.approx_count_distinct(F.when(within, column)).alias(f"distinct_{i}"))
-    return stats
-
-
-def _rank_brackets(numbers, wanted, brackets, below, totals):
-    spark = numbers.sparkSession
-    schema = "column_name string, probability double, low_rank bigint, high_rank bigint, weight double, skip bigint"
-    targets = []
-    for column, p in wanted:
-        place = p * (totals[column] - 1)
-        low = int(place)
-        targets.append((column, p, low, min(low + 1, totals[column] - 1), place - low, below[(column, p)]))
-    target = spark.createDataFrame(targets, schema)
-    candidates = [
-        F.when(_in_bracket(column, *brackets[(column, p)]), F.struct(F.lit(column).alias("column_name"), F.lit(p).alias("probability"), F.col(f"`{column}`").alias("value")))
-        for column, p in wanted
-    ]
-    if not candidates:
-        return target.select("column_name", "probability", F.lit(None).cast("double").alias("quantile"))
-    hits = numbers.select(F.explode(F.array_compact(F.array(*candidates))).alias("hit")).select("hit.*")
-    counts = hits.groupBy("column_name", "probability", "value").agg(F.count("*").alias("n"))
-    upto = Window.partitionBy("column_name", "probability").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("_last", F.sum("n").over(upto)).join(F.broadcast(target), ["column_name", "probability"])
-    covers = lambda rank: (F.col(rank) < F.col("skip") + F.col("_last")) & (F.col(rank) >= F.col("skip") + F.col("_last") - F.col("n"))
-    at = lambda rank: F.max(F.when(covers(rank), F.col("value")))
-    return (
-        ranked.groupBy("column_name", "probability")
-        .agg(at("low_rank").alias("_low"), at("high_rank").alias("_high"), F.max("weight").alias("_weight"))
-        .select("column_name", "probability", (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_weight")).alias("quantile"))
-    )
+    if bits not in (4, 8, 16):
+        raise ValueError("bits: 4, 8 or 16")
+    long = F.explode(F.array_compact(F.array(*[F.when(F.col(f"`{c}`").isNotNull(), F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("value"))) for c in columns])))
+    keys = df.select(long.alias("cell")).select("cell.column_name", _ordered_bits(F.col("cell.value")).alias("key"))
+    whole = Window.partitionBy("column_name")
+    counts = keys.groupBy("column_name", F.shiftright("key", 64 - bits).alias("digits")).agg(F.count("*").alias("n"))
+    place = lambda p: F.lit(float(p)) * (F.col("total") - 1)
+    side = lambda p, rank, high: F.struct(F.lit(float(p)).alias("probability"), F.lit(high).alias("high"), (place(p) - F.floor(place(p))).alias("weight"), rank.cast("bigint").alias("rank"))
+    ranks = [side(p, r, high) for p in probabilities for r, high in ((F.floor(place(p)), False), (F.least(F.floor(place(p)) + 1, F.col("total") - 1), True))]
+    counts = counts.withColumn("total", F.sum("n").over(whole)).withColumn("wants", F.array(*ranks)).withColumn("start", F.lit(0).cast("bigint"))
+    for shift in range(64 - bits, -1, -bits):
+        upto = Window.partitionBy("column_name", "start").orderBy("digits").rowsBetween(Window.unboundedPreceding, 0)
+        counted = counts.withColumn("below", F.sum("n").over(upto) - F.col("n"))
+        inside = F.filter("wants", lambda w: (w["rank"] >= F.col("below")) & (w["rank"] < F.col("below") + F.col("n")))
+        less = F.transform(inside, lambda w: w.withField("rank", w["rank"] - F.col("below")))
+        found = counted.select("column_name", F.col("digits").alias("start"), less.alias("wants")).where(F.size("wants") > 0)
+        if shift:
+            at = keys.withColumn("start", F.shiftright("key", shift)).withColumn("digits", F.shiftright("key", shift - bits))
+            counts = at.join(F.broadcast(found), ["column_name", "start"]).groupBy("column_name", "start", "wants", "digits").agg(F.count("*").alias("n"))
+    values = found.select("column_name", _from_ordered_bits(F.col("start")).alias("value"), F.explode("wants").alias("w"))
+    end = lambda high: F.max(F.when(F.col("w.high") == high, F.col("value")))
+    ends = values.groupBy("column_name", F.col("w.probability").alias("probability")).agg(end(False).alias("low"), end(True).alias("high"), F.max("w.weight").alias("weight"))
+    return ends.select("column_name", "probability", (F.col("low") + (F.col("high") - F.col("low")) * F.col("weight")).alias("quantile"))
 
 
 def global_running_sum(df: DataFrame, values: Sequence[str], order_by: Sequence[Key], suffix: str = "_running") -> DataFrame:

@@ -64,14 +64,14 @@ def test_top_rows_per_group_break_ties_by_name(spark):
     assert {(r["h"], r["rank"]) for r in top.collect()} == {("c", 1), ("a", 2)}
 
 
-@pytest.mark.parametrize("max_values", [200_000, 5])
-def test_exact_quantiles(spark, max_values):
+@pytest.mark.parametrize("bits", [16, 8])
+def test_exact_quantiles(spark, bits):
     rng = random.Random(3)
     a = [rng.gauss(0, 1) for _ in range(30_000)]
     b = [1.0 if i % 3 == 0 else rng.random() for i in range(30_000)]
     df = spark.createDataFrame(list(zip(a, b)), "a double, b double")
     probabilities = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
-    got = {(r["column_name"], r["probability"]): r["quantile"] for r in order.exact_quantiles(df, ["a", "b"], probabilities, max_values).collect()}
+    got = {(r["column_name"], r["probability"]): r["quantile"] for r in order.exact_quantiles(df, ["a", "b"], probabilities, bits).collect()}
     for name, values in (("a", a), ("b", b)):
         for p in probabilities:
             assert got[name, p] == pytest.approx(float(np.quantile(values, p)), abs=1e-12)
@@ -84,6 +84,38 @@ def test_exact_quantiles_of_nulls_and_single_values(spark):
     assert order.exact_quantiles(df, ["a"], [0.5]).collect() == []
 
 
+def test_exact_quantiles_of_extreme_numbers(spark):
+    values = [-0.0, 0.0, 5e-324, -5e-324, 1.7e308, -1.7e308, -1.5, 2.0**53, 1e-300]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "`a.b` double, c int")
+    probabilities = [i / 8 for i in range(9)]
+    found = order.exact_quantiles(df, ["a.b", "c"], probabilities).collect()
+    assert {r["probability"]: r["quantile"] for r in found if r["column_name"] == "a.b"} == dict(zip(probabilities, sorted(values)))
+    assert {r["probability"]: r["quantile"] for r in found if r["column_name"] == "c"} == {p: i for i, p in enumerate(probabilities)}
+
+
+def test_exact_quantiles_take_a_fixed_number_of_scans(spark, tmp_path):
+    spark.range(1000).select((F.col("id") * 0.5).alias("a"), F.col("id").alias("b")).write.parquet(f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    plan = order.exact_quantiles(table, ["a", "b"], [0.1, 0.5, 0.9])._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 4
+
+
+def test_running_sum_moves_raw_rows_once(spark, tmp_path):
+    rows = spark.range(5000).select("id", F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 7).alias("k"), (F.col("id") % 40).alias("t"), F.lit(1).alias("v"))
+    rows.write.parquet(f"{tmp_path}/t")
+    summed = order.running_sum(spark.read.parquet(f"{tmp_path}/t"), "v", ["t", "id"], F.col("t"), ["k"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert summed.where("running < 1").count() == 0
+        plan = summed._jdf.queryExecution().executedPlan().toString()
+        # raw rows once, the partial totals twice (per cell, then per key), the totals once more to the join
+        assert plan.count("Exchange hashpartitioning") <= 4
+        raw = [line for line in plan.splitlines() if "Exchange hashpartitioning(_cell" in line]
+        assert len(raw) == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_describe_and_arg_max(spark):
     df = spark.createDataFrame([(2, 5.0), (1, 5.0), (3, 1.0), (4, None)], "k int, v double")
     row = aggregate.describe_table(df, ["v"]).first()
