@@ -72,21 +72,47 @@ def number_all_words(vocab: DataFrame) -> DataFrame:
 
 def keep_known(tokenized: DataFrame, key: str, words: DataFrame, column: str) -> DataFrame:
     """Keep only the array elements that occur in ``words`` (column ``word``, bounded), order and repeats preserved."""
-    known = _bounded(words).select("word", F.col("word").alias("_same"))
-    return _lookup(tokenized, key, known, column, "_same").withColumnRenamed("found", column)
+    listed = _hash_table(_bounded(words), "word")
+    same = lambda word, bucket: F.exists(bucket, lambda entry: entry["word"] == word)
+    return _with_scalar(tokenized.select(key, column), listed, lambda table: F.filter(_words(column), lambda w: same(w, _bucket(table, w))).alias(column), [key])
 
 
 def word_ids(tokenized: DataFrame, key: str, numbered: DataFrame, column: str = "tokens") -> DataFrame:
     """Document to its list of ids of a bounded vocabulary, unknown words dropped; (key, ids)."""
-    return _lookup(tokenized, key, _bounded(numbered), column, "word_id").withColumnRenamed("found", "ids")
+    listed = _hash_table(_bounded(numbered), "word", "word_id")
+    entry = lambda table, word: F.get(F.filter(_bucket(table, word), lambda e: e["word"] == word), F.lit(0))["word_id"]
+    found = lambda table: F.array_compact(F.transform(_words(column), lambda w: entry(table, w)))
+    return _with_scalar(tokenized.select(key, column), listed, lambda table: found(table).alias("ids"), [key])
 
 
-def _lookup(tokenized, key, numbered, column, wanted):
-    # Documents are dealt by key once; the bounded vocabulary comes to them, and a document's words meet again where they are.
-    long = tokenized.select(key, column).repartition(key).select(key, F.posexplode_outer(column).alias("pos", "word"))
-    hits = long.join(F.broadcast(numbered), "word", "left")
-    hit = F.when(F.col(wanted).isNotNull(), F.struct("pos", wanted))
-    return hits.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(hit)), lambda h: h[wanted]).alias("found"))
+# Places of the look-up table; a vocabulary of the usual size has at most a few words at each.
+_PLACES = 8192
+
+
+def _place(word):
+    return F.pmod(F.hash(word), F.lit(_PLACES))
+
+
+def _bucket(table, word):
+    return F.get(table, _place(word))
+
+
+def _words(column):
+    return F.coalesce(column, F.array().cast("array<string>"))
+
+
+def _hash_table(words: DataFrame, *columns: str) -> DataFrame:
+    """A bounded vocabulary as a single value: an array of places, each with the entries whose word hashes to it."""
+    entries = words.where(F.col("word").isNotNull()).groupBy(_place(F.col("word")).alias("place")).agg(F.collect_list(F.struct(*columns)).alias("entries"))
+    places = words.sparkSession.range(_PLACES).select(F.col("id").cast("int").alias("place")).join(entries, "place", "left")
+    empty = F.array().cast(entries.schema["entries"].dataType)
+    rows = places.agg(F.array_sort(F.collect_list(F.struct("place", F.coalesce("entries", empty).alias("entries")))).alias("all"))
+    return rows.select(F.transform("all", lambda p: p["entries"]).alias("table"))
+
+
+def _with_scalar(df, one_value, build, keep):
+    # The one value meets the rows as a scalar subquery: no join, and no row carries it across a shuffle.
+    return df.withColumn("_table", one_value.scalar()).select(*keep, build(F.col("_table")))
 
 
 def word_ids_by_shuffle(tokenized: DataFrame, key: str, numbered: DataFrame, column: str = "tokens") -> DataFrame:
@@ -108,7 +134,7 @@ def known_counts(tokenized: DataFrame, key: str, numbered: DataFrame, column: st
         none = F.array().cast("array<int>")
         return tokenized.select(key, none.alias("ids"), none.alias("times"), F.lit(0).alias("n_ids"))
     model = CountVectorizerModel.from_vocabulary(words, inputCol=column, outputCol="_counts")
-    sparse = model.transform(tokenized.select(key, column)).select(key, F.unwrap_udt("_counts").alias("_c"))
+    sparse = model.transform(tokenized.select(key, _words(column).alias(column))).select(key, F.unwrap_udt("_counts").alias("_c"))
     found = sparse.select(key, F.col("_c.indices").alias("ids"), F.col("_c.values").cast("array<int>").alias("times"))
     return found.withColumn("n_ids", F.aggregate("times", F.lit(0), lambda a, n: a + n))
 
@@ -140,13 +166,13 @@ def document_vectors(counted: DataFrame, key: str, vectors: DataFrame, dedupe: b
 
     ``counted`` comes from :func:`known_counts`, ``vectors`` holds (word_id, vector). With ``dedupe`` each distinct word
     is summed once but the sum is divided by the number of words with repeats; without it the result is the plain mean.
-    Only one row per document and distinct word is exploded, and the sums are combined in the JVM before the shuffle.
-    With ``numbered``, the bounded vocabulary, only its vectors are read and broadcast; without, vectors are joined by shuffle.
+    With ``numbered``, the bounded vocabulary, its vectors become one array, looked up by id and summed inside the row: nothing is exploded
+    or shuffled. Without, vectors are joined by shuffle: one row per document and distinct word, combined before the shuffle.
     """
+    if numbered is not None:
+        return _vectors_in_row(counted, key, vectors, dedupe, _bounded(numbered).select("word_id"))
     long = counted.select(key, "n_ids", F.inline_outer(F.arrays_zip("ids", "times")).alias("word_id", "times"))
     dense = vectors.select("word_id", array_to_vector(F.col("vector").cast("array<double>")).alias("_vector"))
-    if numbered is not None:
-        dense = F.broadcast(dense.join(F.broadcast(_bounded(numbered).select("word_id")), "word_id", "left_semi"))
     matched = long.join(dense, "word_id")
     # the mean weighted by w times the total weight is the sum of w * vector
     weight = F.lit(1.0) if dedupe else F.col("times").cast("double")
@@ -156,3 +182,19 @@ def document_vectors(counted: DataFrame, key: str, vectors: DataFrame, dedupe: b
     means = known.select(key, "n_ids", "_w", vector_to_array("_s.mean").alias("_mean"))
     found = means.select(key, F.zip_with("_mean", scale, lambda m, k: m * k).alias("vector"))
     return counted.select(key, "n_ids").join(found, key, "left")
+
+
+def _vectors_in_row(counted, key, vectors, dedupe, ids):
+    known = vectors.select("word_id", F.col("vector").cast("array<double>").alias("vector"))
+    placed = ids.join(known, "word_id", "left").agg(F.array_sort(F.collect_list(F.struct("word_id", "vector"))).alias("all"))
+    table = placed.select(F.transform("all", lambda e: e["vector"]).alias("table"))
+    times = lambda pair: F.lit(1.0) if dedupe else pair["times"].cast("double")
+
+    def mean(table):
+        pairs = F.transform(F.arrays_zip("ids", "times"), lambda p: F.struct(F.get(table, p["ids"]).alias("v"), times(p).alias("w")))
+        found = F.filter(pairs, lambda p: p["v"].isNotNull())
+        add = lambda total, p: F.when(total.isNull(), F.transform(p["v"], lambda x: x * p["w"])).otherwise(F.zip_with(total, p["v"], lambda a, x: a + x * p["w"]))
+        scaled = lambda total: F.transform(total, lambda x: x / F.col("n_ids"))
+        return F.aggregate(found, F.lit(None).cast("array<double>"), add, scaled).alias("vector")
+
+    return _with_scalar(counted.select(key, "ids", "times", "n_ids"), table, mean, [key, "n_ids"])

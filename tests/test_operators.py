@@ -202,6 +202,29 @@ def test_ids_counts_and_mean_vectors(spark, top_n):
     assert corpus.longest(counted).first()["max_length"] == 3
 
 
+def test_look_ups_inside_the_row(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(3000)] + ["", "ß", "a b"]
+    rows = [(i, [rng.choice(words + ["unknown", None]) for _ in range(rng.randrange(40))]) for i in range(200)] + [(200, None), (7, ["w1"])]
+    docs = spark.createDataFrame(rows, "id int, tokens array<string>")
+    vocab = spark.createDataFrame([(w,) for w in words], "word string").limit(5000)
+    numbered = corpus.number_words(vocab)
+    number = {w: i for i, w in enumerate(sorted(words, key=lambda w: w.encode()))}
+    want = sorted((i, [number[w] for w in t or [] if w in number]) for i, t in rows)
+    found = corpus.word_ids(docs, "id", numbered)
+    assert sorted((r["id"], r["ids"]) for r in found.collect()) == want
+    assert sorted((r["id"], r["tokens"]) for r in corpus.keep_known(docs, "id", vocab, "tokens").collect()) == sorted((i, [w for w in t or [] if w in number]) for i, t in rows)
+    counted = corpus.known_counts(docs, "id", numbered)
+    vectors = spark.range(2500).select(F.col("id").cast("int").alias("word_id"), F.array(F.col("id") * 1.0, F.col("id") * -0.5).alias("vector"))
+    for how in (True, False):
+        got = sorted((r["id"], r["vector"]) for r in corpus.document_vectors(counted, "id", vectors, how, numbered).collect() if r["vector"])
+        sums = [(i, len(ids), [x for x in (set(ids) if how else ids) if x < 2500]) for i, ids in want]
+        expected = sorted((i, [sum(x) / n, -0.5 * sum(x) / n]) for i, n, x in sums if x)
+        assert [g[0] for g in got] == [e[0] for e in expected] and np.allclose([g[1] for g in got], [e[1] for e in expected])
+    main = found._jdf.queryExecution().optimizedPlan().toString().split("Subquery")[0]
+    assert "Generate" not in main.split("scalar-subquery")[0] and corpus.word_ids(docs, "id", numbered.where("false")).where("size(ids) > 0").count() == 0
+
+
 def test_known_grams_keep_order_and_repeats(spark):
     docs = spark.createDataFrame([(1, ["b", "a", "x", "b"]), (2, ["x"])], "id int, grams array<string>")
     known = spark.createDataFrame([("a",), ("b",)], "word string")
