@@ -93,21 +93,25 @@ RULES = ("block net/", "allow example.net/en/", "block example.com/de/", "allow
 
 
 def _judge_sql() -> str:
-    """The rounds of the propagation as one common table each."""
+    """The rounds of the propagation as a recursive table, with the stop of the operator: from ROUNDS on it looks every WRITTEN_EVERY rounds whether the scores have settled."""
     lower = "translate(coalesce(regexp_extract({}, '{}', {}), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    rounds, d = url_filter.ROUNDS, url_filter.DAMPING
-    steps = "".join(
-        f""", s{n} AS MATERIALIZED (
-            SELECT host, sum(trust) AS trust, sum(distrust) AS distrust FROM (
-                SELECT e.dst AS host, {d} * s.trust * e.f AS trust, 0.0 AS distrust FROM s{n - 1} s JOIN shares e ON s.host = e.src
-                UNION ALL SELECT e.src, 0.0, {d} * s.distrust * e.b FROM s{n - 1} s JOIN shares e ON s.host = e.dst
-                UNION ALL SELECT host, {1 - d} * trust, {1 - d} * distrust FROM s0
-            ) GROUP BY host
-        )"""
-        for n in range(1, rounds + 1)
-    )
+    rounds, every, d = url_filter.ROUNDS, url_filter.WRITTEN_EVERY, url_filter.DAMPING
+    share = lambda c: f"CASE WHEN {c} <> old_{c} THEN abs({c} - old_{c}) / greatest({c}, old_{c}) ELSE 0.0 END"
+    steps = f""", spread AS (
+        SELECT 0 AS n, host, trust, distrust, false AS settled FROM s0
+        UNION ALL
+        SELECT n, host, trust, distrust, n >= {rounds} AND (n - {rounds}) % {every} = 0 AND max(greatest({share("trust")}, {share("distrust")})) OVER () <= {url_filter.SETTLED} FROM (
+            SELECT n, host, sum(trust) AS trust, sum(distrust) AS distrust, sum(old_trust) AS old_trust, sum(old_distrust) AS old_distrust FROM (
+                SELECT s.n + 1 AS n, e.dst AS host, {d}::DOUBLE * s.trust * e.f AS trust, 0.0::DOUBLE AS distrust, 0.0::DOUBLE AS old_trust, 0.0::DOUBLE AS old_distrust
+                FROM spread s JOIN shares e ON s.host = e.src WHERE NOT s.settled
+                UNION ALL SELECT s.n + 1, e.src, 0.0, {d}::DOUBLE * s.distrust * e.b, 0.0, 0.0 FROM spread s JOIN shares e ON s.host = e.dst WHERE NOT s.settled
+                UNION ALL SELECT p.n + 1, s0.host, {1 - d}::DOUBLE * s0.trust, {1 - d}::DOUBLE * s0.distrust, 0.0, 0.0 FROM s0, (SELECT DISTINCT n FROM spread WHERE NOT settled) p
+                UNION ALL SELECT n + 1, host, 0.0, 0.0, trust, distrust FROM spread WHERE NOT settled
+            ) GROUP BY n, host
+        )
+    )"""
     return rf"""
-    WITH u AS (
+    WITH RECURSIVE u AS (
         SELECT page_id, html, {lower.format("url", "(?s)^.*?://([^/?#]*)", 1)} AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages
     ), r AS (
         SELECT *, CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
@@ -133,8 +137,8 @@ def _judge_sql() -> str:
         SELECT host, CAST(count(*) FILTER (fixed = 'allow') AS DOUBLE) / greatest(any_value(a), 1) AS trust, CAST(count(*) FILTER (fixed = 'block') AS DOUBLE) / greatest(any_value(b), 1) AS distrust
         FROM v, (SELECT count(*) FILTER (fixed = 'allow') AS a, count(*) FILTER (fixed = 'block') AS b FROM v) WHERE fixed IS NOT NULL GROUP BY host
     ){steps}
-    SELECT page_id, v.host, path, rule, coalesce(fixed, CASE WHEN round(distrust, {url_filter.DIGITS}) > round(trust, {url_filter.DIGITS}) THEN 'block' ELSE 'allow' END) AS verdict
-    FROM v LEFT JOIN s{rounds} s ON v.host = s.host
+    SELECT page_id, v.host, path, rule, coalesce(fixed, CASE WHEN distrust > trust * (1 + {url_filter.MARGIN}) THEN 'block' ELSE 'allow' END) AS verdict
+    FROM v LEFT JOIN (SELECT * FROM spread WHERE n = (SELECT max(n) FROM spread)) s ON v.host = s.host
     """
 
 

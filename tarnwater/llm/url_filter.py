@@ -24,8 +24,6 @@ WRITTEN_EVERY = 4
 SETTLED = 1e-3
 #: Distrust outweighs trust when it is larger by more than this share of it, which sums in another order don't reach.
 MARGIN = 1e-9
-#: Digits of a score that count in the SQL twin.
-DIGITS = 9
 
 _LINK = r"""(?i)\shref\s*=\s*["']?(?:https?:)?//([^/?#"'\s>]+)"""
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -81,6 +79,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
     rows = pages.select(host_of(F.col("url")).alias("src"), F.coalesce("html", F.lit("")).alias("html")).where("src <> ''")
     hosts = F.array_distinct(F.transform(F.regexp_extract_all("html", F.lit(_LINK), F.lit(1)), lambda h: F.translate(h, _UPPER, _LOWER)))
     links = rows.select("src", F.explode(hosts).alias("dst")).where("src <> dst").groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
+    links = materialize(links, "links")
     named = rows.select(F.col("src").alias("host")).distinct().union(links.select("dst")).distinct()
     labels = F.split("host", r"\.")
     above = F.transform(F.sequence(F.lit(2), F.size(labels)), lambda n: F.array_join(F.slice(labels, F.size(labels) - n + 1, n), "."))
