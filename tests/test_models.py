@@ -83,3 +83,17 @@ def test_recommender_clusters_and_categories(spark):
     even_users = spark.createDataFrame([(u,) for u in range(0, 20, 2)], "u int")
     liked = recommend.liked_categories(ratings, even_users, items, "u", "i", "r", "genre")
     assert [(r["genre"], r["n"]) for r in liked.collect()] == [("odd", 5)]
+
+
+def test_splits_are_fitted_beside_each_other_with_few_blocks(spark):
+    rng = random.Random(11)
+    rows = [(u, i, 1.0 + 4 * rng.random(), u * i % 97) for u in range(30) for i in range(20)]
+    ratings = spark.createDataFrame(rows, "u int, i int, r double, t int")
+    makers = {f"{n}": recommend.recommender("u", "i", "r", rank=2, iterations=n, blocks=2) for n in (1, 2)}
+    assert all(m.getNumUserBlocks() == m.getNumItemBlocks() == 2 and m.getCheckpointInterval() == recommend.CHECKPOINT_INTERVAL for m in makers.values())
+    found = recommend.score_by_time_split(ratings, F.col("t"), (0.4, 0.8), makers, "r").collect()
+    assert [(r["model"], r["split"], r["metric"]) for r in found] == [(m, s, k) for s in ("40:60", "80:20") for m in ("1", "2") for k in ("rmse", "mse", "mae")]
+    cut = 96 * 0.4
+    scored = makers["2"].fit(ratings.where(F.col("t") < cut)).transform(ratings.where(F.col("t") >= cut))
+    expected = scored.agg(F.avg(F.pow(F.col("r") - F.col("prediction"), 2)).alias("e")).first()["e"]
+    assert {(r["model"], r["split"], r["metric"]): r["score"] for r in found}["2", "40:60", "mse"] == pytest.approx(expected, rel=1e-4)
