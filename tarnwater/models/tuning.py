@@ -6,12 +6,16 @@ import json
 from collections.abc import Mapping, Sequence
 from itertools import product
 
+import numpy as np
 from pyspark.ml import Estimator
-from pyspark.ml.evaluation import Evaluator
+from pyspark.ml.evaluation import Evaluator, RegressionEvaluator
 from pyspark.ml.param import Param
+from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tarnwater.operators.features import assemble
 from tarnwater.operators.splits import random_parts
 
 
@@ -37,6 +41,68 @@ def cross_validate(
         folded.unpersist()
 
 
+def fold_moments(df: DataFrame, keys: Sequence[str], columns: Sequence[str], folds: int, seed: int) -> list[tuple[float, np.ndarray, np.ndarray]]:
+    """(rows, means, sums of products of deviations) of every fold, from one pass; only d x d numbers a fold reach the driver."""
+    d = len(columns)
+    folded = random_parts(df, keys, [1.0] * folds, seed, "_fold")
+    near = folded.select(*[F.col(c).cast("double").alias(c) for c in columns]).first()  # sums of values less a row's own keep their digits
+    if near is None:
+        raise ValueError("no rows to fit on")
+    moved = folded.select("_fold", *[(F.col(c).cast("double") - F.lit(near[c] or 0.0)).alias(f"x{i}") for i, c in enumerate(columns)])
+    products = [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"c{i}_{j}") for i in range(d) for j in range(i, d)]
+    found = {r["_fold"]: r for r in moved.groupBy("_fold").agg(F.count("*").alias("n"), *[F.sum(f"x{i}").alias(f"s{i}") for i in range(d)], *products).collect()}
+    if len(found) < folds:
+        raise ValueError(f"{folds - len(found)} of {folds} folds are empty")
+    parts = []
+    for r in (found[k] for k in range(folds)):
+        n, sums = float(r["n"]), np.array([r[f"s{i}"] for i in range(d)], float)
+        squares = np.array([[r[f"c{min(i, j)}_{max(i, j)}"] for j in range(d)] for i in range(d)], float)
+        parts.append((n, sums / n + np.array([near[c] or 0.0 for c in columns]), squares - np.outer(sums, sums) / n))
+    return parts
+
+
+def _united(parts: Sequence[tuple[float, np.ndarray, np.ndarray]]) -> tuple[float, np.ndarray, np.ndarray]:
+    """Moments of all rows of several parts."""
+    n = sum(p[0] for p in parts)
+    mean = sum(p[0] * p[1] for p in parts) / n
+    return n, mean, sum(p[2] + p[0] * np.outer(p[1] - mean, p[1] - mean) for p in parts)
+
+
+def _ridge(moments: tuple[float, np.ndarray, np.ndarray], penalty: float) -> np.ndarray:
+    """Coefficients of a linear fit on standardised features and label, label last in the moments; a constant feature gets 0."""
+    cov = moments[2] / moments[0]
+    scale = np.sqrt(np.diag(cov))
+    used = scale[:-1] > 0
+    out = np.zeros(len(used))
+    if scale[-1] > 0 and used.any():
+        unit = cov / np.outer(np.where(scale > 0, scale, 1.0), np.where(scale > 0, scale, 1.0))
+        inner = unit[:-1, :-1][np.ix_(used, used)] + np.eye(int(used.sum())) * penalty / scale[-1]
+        out[used] = np.linalg.lstsq(inner, unit[:-1, -1][used], rcond=None)[0] * scale[-1] / scale[:-1][used]
+    return out
+
+
+def cross_validate_ridge(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], estimator: LinearRegression, penalties: Sequence[float], folds: int, seed: int
+) -> CrossValidatorModel:
+    """k-fold search over the L2 penalties of a linear fit with an intercept on standardised features, by root mean squared error. Fits and errors of
+    all folds follow from the folds' moments, so the rows are read once for the search and once for the best fit."""
+    label = estimator.getLabelCol()
+    parts = fold_moments(df, keys, [*columns, label], folds, seed)
+    errors = np.empty((folds, len(penalties)))
+    for k, (n, mean, products) in enumerate(parts):
+        train = _united(parts[:k] + parts[k + 1 :])
+        for j, penalty in enumerate(penalties):
+            slope = np.append(-_ridge(train, penalty), 1.0)
+            errors[k, j] = np.sqrt(max(slope @ products @ slope / n + (slope @ (mean - train[1])) ** 2, 0.0))
+    scores = errors.mean(axis=0)
+    grid = param_grid({estimator.regParam: penalties})
+    best = estimator.fit(assemble(df, columns, estimator.getFeaturesCol()), grid[int(scores.argmin())])
+    model = CrossValidatorModel(best, [float(x) for x in scores], None, [float(x) for x in errors.std(axis=0)])
+    model.set(model.estimatorParamMaps, grid)
+    model.set(model.evaluator, RegressionEvaluator(labelCol=label, metricName="rmse"))
+    return model
+
+
 def score_table(model: CrossValidatorModel, df: DataFrame) -> DataFrame:
     """One row per grid point: parameters as JSON, mean and deviation over the folds."""
     points = [json.dumps({p.name: v for p, v in point.items()}, sort_keys=True) for point in model.getEstimatorParamMaps()]

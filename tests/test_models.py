@@ -97,3 +97,19 @@ def test_splits_are_fitted_beside_each_other_with_few_blocks(spark):
     scored = makers["2"].fit(ratings.where(F.col("t") < cut)).transform(ratings.where(F.col("t") >= cut))
     expected = scored.agg(F.avg(F.pow(F.col("r") - F.col("prediction"), 2)).alias("e")).first()["e"]
     assert {(r["model"], r["split"], r["metric"]): r["score"] for r in found}["2", "40:60", "mse"] == pytest.approx(expected, rel=1e-4)
+
+
+def test_folds_from_moments_equal_the_general_search(spark):
+    rng = random.Random(12)
+    rows = [(i, rng.gauss(50, 3), float(rng.randrange(4)), 7.0) for i in range(400)]
+    df = spark.createDataFrame([(i, a, b, c, 2 * a - b + rng.gauss(0, 1)) for i, a, b, c in rows], "id int, a double, b double, c double, y double")
+    estimator, penalties = fits.linear_regression("y"), [0.001, 0.5, 20.0]
+    grid = tuning.param_grid({estimator.regParam: penalties})
+    slow = tuning.cross_validate(features.assemble(df, ["a", "b"]), ["id"], estimator, grid, RegressionEvaluator(labelCol="y"), 4, 6)
+    quick = tuning.cross_validate_ridge(df, ["id"], ["a", "b"], estimator, penalties, 4, 6)
+    assert quick.avgMetrics == pytest.approx(slow.avgMetrics, rel=1e-9) and quick.stdMetrics == pytest.approx(slow.stdMetrics, rel=1e-6)
+    assert tuning.best_params_json(quick) == tuning.best_params_json(slow) and tuning.best_point(quick) == tuning.best_point(slow)
+    assert tuning.score_table(quick, df).collect()[0]["params"] == tuning.score_table(slow, df).collect()[0]["params"]
+    assert tuning.cross_validate_ridge(df, ["id"], ["a", "c"], estimator, penalties, 4, 6).avgMetrics[0] > 0
+    with pytest.raises(ValueError, match="folds are empty"):
+        tuning.cross_validate_ridge(df.limit(1), ["id"], ["a"], estimator, penalties, 4, 6)
