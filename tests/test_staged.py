@@ -81,3 +81,24 @@ def test_tables_of_results(spark, small_dir):
     sizes = [r.n for r in clusters if r.kind == "cluster"]
     customers = spark.read.parquet(f"{small_dir}/orders.parquet").select("o_custkey").distinct().count()
     assert len(sizes) == 5 and 0 < sum(sizes) <= customers and max(sizes) >= customers / 25
+
+
+def test_cells_stand_for_their_rows(spark):
+    df = spark.range(4000).select("id", (F.col("id") % 3).cast("double").alias("few"), (F.col("id") * 7 % 1009).cast("double").alias("many"), (F.col("id") % 2).cast("double").alias("label"))
+    table = staged.cells(staged.binned(df, df, ["few", "many"], 8), ["few", "many"], "label").cache()
+    assert table.count() <= 3 * 8 * 2 and table.agg(F.sum("n")).first()[0] == 4000
+    bins = table.groupBy(vector_to_array("features")[1]).agg(F.sum("n").alias("n")).collect()
+    assert len(bins) == 8 and all(abs(r.n - 500) < 40 for r in bins)
+    assert staged.binned(df, df, ["few"], 8) is df
+    scored, whole = table.withColumn("score1", vector_to_array("features")[0] / 3), df.withColumn("score1", F.col("few") / 3)
+    weighted, plain = staged.class_scores(scored, [1], weight="n")[1], staged.class_scores(whole, [1])[1]
+    assert weighted == pytest.approx(plain)
+    assert metrics.roc_auc(scored, score="score1", weight="n").first()[0] == pytest.approx(metrics.roc_auc(whole, score="score1").first()[0])
+
+
+def test_cells_of_numbers_keep_all_of_the_error(spark):
+    df = spark.range(3000).select("id", (F.col("id") % 5).cast("double").alias("x"), ((F.col("id") % 5) * 2 + keyed_uniform(1, "id")).alias("y"))
+    table = staged.value_cells(df, ["x"], "y", ["id"], shares=4).cache()
+    assert table.count() == 20 and table.agg(F.sum("n")).first()[0] == 3000
+    weighted = staged.value_scores(table.withColumn("score1", vector_to_array("features")[0] * 2), [1], "y", "n", "inner")[1]
+    assert weighted == pytest.approx(staged.value_scores(df.withColumn("score1", F.col("x") * 2), [1], "y")[1])
