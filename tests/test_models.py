@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tarnwater.models import fits, metrics, recommend, tuning
 from tarnwater.operators import features
+from tarnwater.plans import models
+from tarnwater.session import Tables
 
 
 def toy(spark):
@@ -113,3 +115,22 @@ def test_folds_from_moments_equal_the_general_search(spark):
     assert tuning.cross_validate_ridge(df, ["id"], ["a", "c"], estimator, penalties, 4, 6).avgMetrics[0] > 0
     with pytest.raises(ValueError, match="folds are empty"):
         tuning.cross_validate_ridge(df.limit(1), ["id"], ["a"], estimator, penalties, 4, 6)
+
+
+def test_rows_of_many_rounds_lie_in_few_partitions(spark, tmp_path):
+    values = F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: F.sin(F.col("id") * i).cast("float"))
+    vectors = spark.range(3000).select(F.col("id").alias("vec_id"), values.alias("embedding"), F.lit(0).alias("label"))
+    vectors.write.parquet(f"{tmp_path}/embeddings.parquet")
+    kept = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "50", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in kept}
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+    try:
+        projected, shares = models.projected_classes(Tables(spark, str(tmp_path)))
+        assert models.sign_classes(Tables(spark, str(tmp_path))).rdd.getNumPartitions() == 50
+        assert projected.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+        assert projected.count() == 3000 and len(shares) == max(models.PCA_SIZES)
+        projected.unpersist()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
