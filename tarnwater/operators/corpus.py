@@ -33,14 +33,35 @@ def gram_frequencies(tokenized: DataFrame, column: str = "tokens") -> DataFrame:
 def gram_counts(tokenized: DataFrame, column: str = "tokens") -> DataFrame:
     """Corpus frequency and document frequency of every gram (word, n, df).
 
-    Each document emits its grams once for the frequency and its distinct grams once for the document frequency; both
-    are plain sums that combine before the shuffle, so frequent words do not make a hot task.
+    Each document emits its grams for the frequency and behind them its distinct grams for the document frequency; both
+    are plain counts that combine before the shuffle, so frequent words do not make a hot task.
     """
-    pair = lambda n, df: lambda w: F.struct(w.alias("word"), F.lit(n).alias("n"), F.lit(df).alias("df"))
-    uses = F.transform(column, pair(1, 0))
-    documents = F.transform(F.array_distinct(column), pair(0, 1))
-    long = tokenized.select(F.inline_outer(F.concat(uses, documents))).where(F.col("word").isNotNull())
-    return long.groupBy("word").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+    first = F.posexplode_outer(F.concat(column, F.array_distinct(column))).alias("_pos", "word")
+    long = tokenized.select(F.size(column).alias("_n"), first).where(F.col("word").isNotNull())
+    return long.groupBy("word").agg(F.count_if(F.col("_pos") < F.col("_n")).alias("n"), F.count_if(F.col("_pos") >= F.col("_n")).alias("df"))
+
+
+def top_ngrams(tokenized: DataFrame, high: int, top_n: int, column: str = "tokens", most: int = VOCABULARY_SIZE) -> DataFrame:
+    """The ``top_n`` most frequent n-grams with n <= ``high`` (word, n), equal counts in order of the gram; the elements of the array hold no blank.
+
+    An n-gram isn't more frequent than any of its words. So longer ones are only counted where all their words are as frequent as the word at
+    place ``top_n``, ties included: rare n-grams, nearly all there are, are never made. With more than ``most`` such words all n-grams are counted.
+    """
+    ranked = vocabulary(gram_frequencies(tokenized, column), most + 1).collect()
+    limit = ranked[top_n - 1]["n"] if len(ranked) >= top_n else 0
+    frequent = [row for row in ranked if row["n"] >= limit]
+    if len(frequent) > most:
+        return vocabulary(gram_frequencies(with_ngrams(tokenized, 1, high, column, "_grams"), "_grams"), top_n)
+    listed = [row["word"] for row in frequent]
+    marked = F.transform(column, lambda w: F.when(w.isin(listed), w))
+    counts = tokenized.sparkSession.createDataFrame([tuple(row) for row in frequent], "word string, n bigint")
+    rows = tokenized.select(marked.alias("_level1"))
+    for n in range(2, high + 1):
+        size = F.greatest(F.size("_level1") - (n - 1), F.lit(0))
+        joined = F.zip_with(F.slice(f"_level{n - 1}", F.lit(1), size), F.slice("_level1", F.lit(n), size), lambda a, b: F.concat(a, F.lit(" "), b))
+        rows = rows.withColumn(f"_level{n}", joined)
+        counts = counts.unionByName(gram_frequencies(rows, f"_level{n}"))
+    return vocabulary(counts, top_n)
 
 
 def vocabulary(counts: DataFrame, top_n: int = VOCABULARY_SIZE, min_df: int = 0, legacy_min_df: bool = False) -> DataFrame:
@@ -72,9 +93,8 @@ def number_all_words(vocab: DataFrame) -> DataFrame:
 
 def keep_known(tokenized: DataFrame, key: str, words: DataFrame, column: str) -> DataFrame:
     """Keep only the array elements that occur in ``words`` (column ``word``, bounded), order and repeats preserved."""
-    listed = _hash_table(_bounded(words), "word")
-    same = lambda word, bucket: F.exists(bucket, lambda entry: entry["word"] == word)
-    return _with_scalar(tokenized.select(key, column), listed, lambda table: F.filter(_words(column), lambda w: same(w, _bucket(table, w))).alias(column), [key])
+    listed = [row["word"] for row in _bounded(words).where(F.col("word").isNotNull()).select("word").collect()]
+    return tokenized.select(key, F.filter(_words(column), lambda w: w.isin(listed)).alias(column))
 
 
 def word_ids(tokenized: DataFrame, key: str, numbered: DataFrame, column: str = "tokens") -> DataFrame:

@@ -86,9 +86,9 @@ def text_ngrams(t: Tables) -> DataFrame:
     kept AS (SELECT doc_id, count(*) AS n, string_agg(gram, '|' ORDER BY pos) AS grams FROM places SEMI JOIN known USING (gram) GROUP BY doc_id)
     SELECT doc_id, coalesce(n, 0) AS n_grams, coalesce(grams, '') AS grams FROM documents LEFT JOIN kept USING (doc_id)""")
 def text_ngrams_vocab(t: Tables) -> DataFrame:
-    grams = corpus.with_ngrams(tokenized(t), 1, 2).select("doc_id", "grams")
-    known = corpus.vocabulary(corpus.gram_frequencies(grams, "grams"), 200)
-    kept = corpus.keep_known(grams, "doc_id", known, "grams")
+    docs = tokenized(t)
+    known = corpus.top_ngrams(docs, 2, 200)
+    kept = corpus.keep_known(corpus.with_ngrams(docs, 1, 2), "doc_id", known, "grams")
     return kept.select("doc_id", F.size("grams").cast("bigint").alias("n_grams"), F.array_join("grams", "|").alias("grams"))
 
 

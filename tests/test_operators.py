@@ -353,3 +353,24 @@ def test_except_all_in_chunks(spark):
     right = spark.createDataFrame([("a",)] * 4 + [("b",)] * 5 + [(None,)] + [("c",)], "x string")
     rows = combine.except_all(left, right, chunk=10).collect()
     assert sorted((r["x"] or "") for r in rows) == [""] * 3 + ["a"] * 21
+
+
+@pytest.mark.parametrize("most", [5000, 3])
+def test_top_ngrams_count_no_rare_ones(spark, most):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, rng.choices(words, [1 / (k + 1) for k in range(40)], k=rng.randrange(30))) for i in range(80)] + [(80, ["w0"] * 9), (81, []), (82, None)]
+    docs = spark.createDataFrame(rows, "id int, tokens array<string>")
+    for high, top_n in ((2, 12), (3, 60), (2, 5000)):
+        want = Counter(" ".join(t[i : i + n]) for _, t in rows if t for n in range(1, high + 1) for i in range(len(t) - n + 1))
+        found = [tuple(r) for r in corpus.top_ngrams(docs, high, top_n, most=most).collect()]
+        assert found == sorted(want.items(), key=lambda x: (-x[1], x[0]))[:top_n]
+
+
+def test_kept_grams_are_looked_up_in_a_list(spark):
+    docs = spark.createDataFrame([(1, ["b", "a", None, "b"]), (2, None)], "id int, grams array<string>")
+    known = spark.createDataFrame([("a",), (None,)], "word string")
+    kept = corpus.keep_known(docs, "id", known.limit(5), "grams")
+    assert {r["id"]: r["grams"] for r in kept.collect()} == {1: ["a"], 2: []}
+    assert "subquery" not in kept._jdf.queryExecution().optimizedPlan().toString()
+    assert corpus.keep_known(docs, "id", known.limit(5).where("false"), "grams").where("size(grams) > 0").count() == 0
