@@ -19,13 +19,10 @@ from tarnwater.session import materialize
 def cooccurrences(rows: DataFrame, column: str, window: int = 5) -> DataFrame:
     """How often two words of the array ``column`` stand at most ``window`` places apart: (a, b, n) with a <= b. Counts are combined in the
     map tasks; a NULL array or element takes no part."""
-    words = F.filter(column, lambda w: w.isNotNull())
-    size = F.size("_words")
-    left = lambda o: F.slice("_words", F.lit(1), F.greatest(size - o, F.lit(0)))
-    right = lambda o: F.slice("_words", o + 1, F.greatest(size - o, F.lit(0)))
-    pair = lambda x, y: F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    pairs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(window)), lambda o: F.zip_with(left(o), right(o), pair)))
-    return rows.select(words.alias("_words")).where(size > 1).select(F.inline(pairs)).groupBy("a", "b").agg(F.count("*").alias("n"))
+    words = F.filter(column, lambda w: w.isNotNull()).alias("_words")
+    left = rows.select(words).select("_words", F.posexplode_outer("_words").alias("_pos", "_x")).where(F.col("_x").isNotNull())
+    pairs = left.select("_x", F.explode_outer(F.slice("_words", F.col("_pos") + 2, F.lit(window))).alias("_y")).where(F.col("_y").isNotNull())
+    return pairs.groupBy(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b")).agg(F.count("*").alias("n"))
 
 
 def information(counts: DataFrame) -> DataFrame:

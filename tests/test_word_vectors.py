@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tarnwater.models import word_vectors
 
@@ -40,3 +41,12 @@ def test_counts_information_and_vectors(spark):
     best = vectors[:, order] * np.sqrt(np.abs(values[order]))
     assert np.allclose(np.abs(got), np.abs(best), atol=1e-6) and (got.sum(0) >= -1e-9).all()
     assert word_vectors.learn(rows.where("id < 0"), "words", 2).count() == 0
+
+
+def test_pairs_read_the_words_once(spark):
+    docs = spark.createDataFrame([(1, "b a b"), (2, "c"), (3, None), (4, "")], "id int, text string")
+    words = docs.select(F.split("text", " ").alias("words"))
+    counts = word_vectors.cooccurrences(words, "words", window=1)
+    assert {(r.a, r.b): r.n for r in counts.collect()} == {("a", "b"): 2}
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and "zip_with" not in plan
