@@ -100,8 +100,7 @@ def keep_known(tokenized: DataFrame, key: str, words: DataFrame, column: str) ->
 def word_ids(tokenized: DataFrame, key: str, numbered: DataFrame, column: str = "tokens") -> DataFrame:
     """Document to its list of ids of a bounded vocabulary, unknown words dropped; (key, ids)."""
     listed = _hash_table(_bounded(numbered), "word", "word_id")
-    entry = lambda table, word: F.get(F.filter(_bucket(table, word), lambda e: e["word"] == word), F.lit(0))["word_id"]
-    found = lambda table: F.array_compact(F.transform(_words(column), lambda w: entry(table, w)))
+    found = lambda table: F.array_compact(F.transform(_words(column), lambda w: F.try_element_at(_bucket(table, w), w)))
     return _with_scalar(tokenized.select(key, column), listed, lambda table: found(table).alias("ids"), [key])
 
 
@@ -121,13 +120,14 @@ def _words(column):
     return F.coalesce(column, F.array().cast("array<string>"))
 
 
-def _hash_table(words: DataFrame, *columns: str) -> DataFrame:
-    """A bounded vocabulary as a single value: an array of places, each with the entries whose word hashes to it."""
-    entries = words.where(F.col("word").isNotNull()).groupBy(_place(F.col("word")).alias("place")).agg(F.collect_list(F.struct(*columns)).alias("entries"))
+def _hash_table(words: DataFrame, word: str, value: str) -> DataFrame:
+    """A bounded vocabulary as a single value: an array of places, each with a map of the few words that hash to it."""
+    known = words.where(F.col(word).isNotNull()).groupBy(word).agg(F.min(value).alias(value))
+    entries = known.groupBy(_place(F.col(word)).alias("place")).agg(F.map_from_entries(F.collect_list(F.struct(word, value))).alias("entries"))
     places = words.sparkSession.range(_PLACES).select(F.col("id").cast("int").alias("place")).join(entries, "place", "left")
-    empty = F.array().cast(entries.schema["entries"].dataType)
-    rows = places.agg(F.array_sort(F.collect_list(F.struct("place", F.coalesce("entries", empty).alias("entries")))).alias("all"))
-    return rows.select(F.transform("all", lambda p: p["entries"]).alias("table"))
+    empty = F.create_map().cast(entries.schema["entries"].dataType)
+    rows = places.agg(F.collect_list(F.struct("place", F.map_entries(F.coalesce("entries", empty)).alias("entries"))).alias("all"))
+    return rows.select(F.transform(F.array_sort("all"), lambda p: F.map_from_entries(p["entries"])).alias("table"))
 
 
 def _with_scalar(df, one_value, build, keep):
@@ -208,12 +208,15 @@ def _vectors_in_row(counted, key, vectors, dedupe, ids):
     known = vectors.select("word_id", F.col("vector").cast("array<double>").alias("vector"))
     placed = ids.join(known, "word_id", "left").agg(F.array_sort(F.collect_list(F.struct("word_id", "vector"))).alias("all"))
     table = placed.select(F.transform("all", lambda e: e["vector"]).alias("table"))
-    times = lambda pair: F.lit(1.0) if dedupe else pair["times"].cast("double")
 
     def mean(table):
-        pairs = F.transform(F.arrays_zip("ids", "times"), lambda p: F.struct(F.get(table, p["ids"]).alias("v"), times(p).alias("w")))
-        found = F.filter(pairs, lambda p: p["v"].isNotNull())
-        add = lambda total, p: F.when(total.isNull(), F.transform(p["v"], lambda x: x * p["w"])).otherwise(F.zip_with(total, p["v"], lambda a, x: a + x * p["w"]))
+        if dedupe:  # without weights the vectors are added as they are
+            found = F.array_compact(F.transform("ids", lambda i: F.get(table, i)))
+            add = lambda total, v: F.when(total.isNull(), v).otherwise(F.zip_with(total, v, lambda a, x: a + x))
+        else:
+            pairs = F.transform(F.arrays_zip("ids", "times"), lambda p: F.struct(F.get(table, p["ids"]).alias("v"), p["times"].cast("double").alias("w")))
+            found = F.filter(pairs, lambda p: p["v"].isNotNull())
+            add = lambda total, p: F.when(total.isNull(), F.transform(p["v"], lambda x: x * p["w"])).otherwise(F.zip_with(total, p["v"], lambda a, x: a + x * p["w"]))
         scaled = lambda total: F.transform(total, lambda x: x / F.col("n_ids"))
         return F.aggregate(found, F.lit(None).cast("array<double>"), add, scaled).alias("vector")
 

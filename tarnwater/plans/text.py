@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tarnwater.functions.text import STOP_WORDS, VOCABULARY_SIZE
 from tarnwater.operators import corpus, splits, table
 from tarnwater.plans.registry import long_vector, query, uniform_sql
-from tarnwater.session import Tables, spread
+from tarnwater.session import Tables, materialize, spread
 
 WORDS = VOCABULARY_SIZE
 
@@ -56,6 +56,11 @@ def numbered_vocabulary(docs: DataFrame) -> DataFrame:
     return corpus.number_words(corpus.vocabulary(corpus.gram_counts(docs), WORDS, min_df=2))
 
 
+def kept_vocabulary(docs: DataFrame) -> DataFrame:
+    """The same, written once, for plans that read it more than once; the limit states the bound again."""
+    return materialize(numbered_vocabulary(docs), "vocabulary").limit(WORDS)
+
+
 def indexed(t: Tables) -> DataFrame:
     """Documents as vocabulary ids (doc_id, ids)."""
     docs = tokenized(t)
@@ -135,7 +140,7 @@ def _vector_sql(source: str) -> str:
 def _document_vectors(t: Tables, dedupe: bool) -> DataFrame:
     vectors = t.embeddings.select(F.col("vec_id").alias("word_id"), F.col("embedding").alias("vector"))
     tokens = tokenized(t)
-    numbered = numbered_vocabulary(tokens)
+    numbered = kept_vocabulary(tokens)
     docs = corpus.document_vectors(corpus.known_counts(tokens, "doc_id", numbered), "doc_id", vectors, dedupe=dedupe, numbered=numbered)
     return long_vector(docs, ["doc_id"], "vector").withColumn("pos", F.col("pos").cast("bigint"))
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tarnwater.functions.bits import inverse_permutation
 from tarnwater.operators import aggregate, candidates, combine, corpus, features, logs, order, splits, stats, table
+from tarnwater.plans import text
+from tarnwater.session import Tables, row_bound
 
 
 def test_row_positions_with_a_hot_value(spark):
@@ -374,3 +376,23 @@ def test_kept_grams_are_looked_up_in_a_list(spark):
     assert {r["id"]: r["grams"] for r in kept.collect()} == {1: ["a"], 2: []}
     assert "subquery" not in kept._jdf.queryExecution().optimizedPlan().toString()
     assert corpus.keep_known(docs, "id", known.limit(5).where("false"), "grams").where("size(grams) > 0").count() == 0
+
+
+@pytest.mark.parametrize("dedupe", [True, False])
+def test_document_vectors_count_the_vocabulary_once(spark, tmp_path, dedupe):
+    spark.createDataFrame([(1, "cat cat dog"), (2, "dog emu"), (3, None), (4, "cat")], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, [3.0, 0.0]), (1, [0.0, 6.0])], "vec_id bigint, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = text._document_vectors(Tables(spark, str(tmp_path)), dedupe)
+    assert {(r["doc_id"], r["pos"]): r["value"] for r in found.collect()} == {
+        (1, 0): 1.0 if dedupe else 2.0, (1, 1): 2.0, (2, 0): 0.0, (2, 1): 6.0, (4, 0): 3.0, (4, 1): 0.0,
+    }
+    kept = text.kept_vocabulary(text.tokenized(Tables(spark, str(tmp_path))))
+    assert row_bound(kept) is not None and "Aggregate" not in kept._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_ids_are_looked_up_in_maps(spark):
+    docs = spark.createDataFrame([(1, ["b", None, "a", "b", "x"]), (2, None)], "id int, tokens array<string>")
+    numbered = spark.createDataFrame([("a", 0), ("b", 1), (None, 2)], "word string, word_id int").limit(5)
+    found = corpus.word_ids(docs, "id", numbered)
+    assert {r["id"]: r["ids"] for r in found.collect()} == {1: [1, 0, 1], 2: []}
+    assert "try_element_at" in found._jdf.queryExecution().analyzed().toString()
