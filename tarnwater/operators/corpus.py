@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -186,7 +188,7 @@ def document_vectors(counted: DataFrame, key: str, vectors: DataFrame, dedupe: b
 
     ``counted`` comes from :func:`known_counts`, ``vectors`` holds (word_id, vector). With ``dedupe`` each distinct word
     is summed once but the sum is divided by the number of words with repeats; without it the result is the plain mean.
-    With ``numbered``, the bounded vocabulary, its vectors become one array, looked up by id and summed inside the row: nothing is exploded
+    With ``numbered``, the bounded vocabulary, its vectors become one array, which tasks look ids up in and sum with numpy: nothing is exploded
     or shuffled. Without, vectors are joined by shuffle: one row per document and distinct word, combined before the shuffle.
     """
     if numbered is not None:
@@ -207,17 +209,35 @@ def document_vectors(counted: DataFrame, key: str, vectors: DataFrame, dedupe: b
 def _vectors_in_row(counted, key, vectors, dedupe, ids):
     known = vectors.select("word_id", F.col("vector").cast("array<double>").alias("vector"))
     placed = ids.join(known, "word_id", "left").agg(F.array_sort(F.collect_list(F.struct("word_id", "vector"))).alias("all"))
-    table = placed.select(F.transform("all", lambda e: e["vector"]).alias("table"))
-
-    def mean(table):
-        if dedupe:  # without weights the vectors are added as they are
-            found = F.array_compact(F.transform("ids", lambda i: F.get(table, i)))
-            add = lambda total, v: F.when(total.isNull(), v).otherwise(F.zip_with(total, v, lambda a, x: a + x))
-        else:
-            pairs = F.transform(F.arrays_zip("ids", "times"), lambda p: F.struct(F.get(table, p["ids"]).alias("v"), p["times"].cast("double").alias("w")))
-            found = F.filter(pairs, lambda p: p["v"].isNotNull())
-            add = lambda total, p: F.when(total.isNull(), F.transform(p["v"], lambda x: x * p["w"])).otherwise(F.zip_with(total, p["v"], lambda a, x: a + x * p["w"]))
-        scaled = lambda total: F.transform(total, lambda x: x / F.col("n_ids"))
-        return F.aggregate(found, F.lit(None).cast("array<double>"), add, scaled).alias("vector")
-
-    return _with_scalar(counted.select(key, "ids", "times", "n_ids"), table, mean, [key, "n_ids"])
+    listed = [entry["vector"] for entry in placed.first()["all"]]  # bounded like the vocabulary
+    sizes = np.array([-1 if v is None else len(v) for v in listed], np.int64)
+    width = max(sizes.max(initial=0), 0)
+    table, missing = np.zeros((len(listed), width)), np.ones((len(listed), width), bool)
+    for row, v in enumerate(listed):
+        if v:
+            table[row, : len(v)], missing[row, : len(v)] = np.array(v, float), [x is None for x in v]
+    uneven = bool(missing.any())
+
+    def means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, times = batch.column("ids"), batch.column("times")
+            first, flat = lists.offsets[0].as_py(), lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+            found = (flat >= 0) & (flat < len(sizes))
+            found[found] = sizes[flat[found]] >= 0
+            bounds = np.append(0, np.cumsum(found))[lists.offsets.to_numpy() - first]
+            flat, weights = flat[found], None if dedupe else times.flatten().to_numpy(zero_copy_only=False)[found].astype(float)
+            sums, nulls, lengths = [], [], np.zeros(len(batch), np.int64)
+            for i in np.flatnonzero(np.diff(bounds)):
+                a, b = bounds[i], bounds[i + 1]
+                rows = table[flat[a:b]]
+                total = (rows if dedupe else rows * weights[a:b, None]).sum(axis=0) / batch.column("n_ids")[i].as_py()
+                lengths[i] = sizes[flat[a:b]].max()
+                sums.append(total[: lengths[i]])
+                if uneven:  # as with zip_with, a component that one of the vectors lacks is null
+                    nulls.append(missing[flat[a:b]].any(axis=0)[: lengths[i]])
+            values = pa.array(np.concatenate(sums) if sums else np.zeros(0), mask=np.concatenate(nulls) if nulls else None)
+            ends = pa.array(np.append(0, np.cumsum(lengths)).astype(np.int32), mask=np.append(np.diff(bounds) == 0, False))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column("n_ids"), pa.ListArray.from_arrays(ends, values)], [key, "n_ids", "vector"])
+
+    rows = counted.select(key, "ids", "times", "n_ids")
+    return rows.mapInArrow(means, rows.select(key, "n_ids", F.lit(None).cast("array<double>").alias("vector")).schema)

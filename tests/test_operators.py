@@ -396,3 +396,23 @@ def test_ids_are_looked_up_in_maps(spark):
     found = corpus.word_ids(docs, "id", numbered)
     assert {r["id"]: r["ids"] for r in found.collect()} == {1: [1, 0, 1], 2: []}
     assert "try_element_at" in found._jdf.queryExecution().analyzed().toString()
+
+
+@pytest.mark.parametrize("dedupe", [True, False])
+def test_vectors_in_tasks_equal_joined_ones(spark, dedupe):
+    rows = [(1, ["a", "b", "a"]), (2, ["b", "c"]), (3, ["d"]), (4, []), (None, ["e", "a"]), (1, ["f", "a"]), (6, None), (7, ["g"])]
+    docs = spark.createDataFrame(rows, "id bigint, tokens array<string>").repartition(3)
+    numbered = corpus.number_words(spark.createDataFrame([(w,) for w in "abcdefg"], "word string").limit(10))
+    counted = corpus.known_counts(docs, "id", numbered)
+    given = [(0, [3.0, 0.5]), (1, [0.0, None]), (2, [0.25, 6.0]), (4, None), (5, [1.0]), (6, []), (99, [7.0, 7.0])]
+    found = corpus.document_vectors(counted, "id", spark.createDataFrame(given, "word_id int, vector array<float>"), dedupe, numbered)
+    order = lambda rows: sorted(rows, key=repr)
+    twice = 1 if dedupe else 2
+    assert order(tuple(r) for r in found.collect()) == order([
+        (1, 3, [twice * 1.0, None]), (2, 2, [0.125, None]), (3, 1, None), (4, 0, None), (None, 2, [1.5, 0.25]), (1, 2, [2.0, None]), (6, 0, None), (7, 1, []),
+    ])
+    assert found.schema["vector"].dataType.simpleString() == "array<double>"
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "zip_with" not in plan
+    none = corpus.document_vectors(counted, "id", spark.createDataFrame([], "word_id int, vector array<float>"), dedupe, numbered)
+    assert none.where("vector is not null").count() == 0 and none.count() == len(rows)
