@@ -8,21 +8,51 @@ the driver; counts, cells and vectors are keyed rows, so neither vocabulary nor
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tarnwater.session import materialize
 
 
+# Places of a batch whose pairs a task counts at once.
+PIECE = 1 << 21
+
+
 def cooccurrences(rows: DataFrame, column: str, window: int = 5) -> DataFrame:
-    """How often two words of the array ``column`` stand at most ``window`` places apart: (a, b, n) with a <= b. Counts are combined in the
-    map tasks; a NULL array or element takes no part."""
-    words = F.filter(column, lambda w: w.isNotNull()).alias("_words")
-    left = rows.select(words).select("_words", F.posexplode_outer("_words").alias("_pos", "_x")).where(F.col("_x").isNotNull())
-    pairs = left.select("_x", F.explode_outer(F.slice("_words", F.col("_pos") + 2, F.lit(window))).alias("_y")).where(F.col("_y").isNotNull())
-    return pairs.groupBy(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b")).agg(F.count("*").alias("n"))
+    """How often two words of the array ``column`` stand at most ``window`` places apart: (a, b, n) with a <= b. Tasks count the pairs of a piece
+    of their rows with numpy, so that only different pairs become rows; a NULL array or element takes no part."""
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(0)
+            flat = lists.flatten()
+            known = flat.is_valid().to_numpy(zero_copy_only=False)
+            place = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())[known]
+            coded = flat.drop_null().dictionary_encode()
+            codes, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+            for start in range(0, len(codes), PIECE):
+                found = []
+                for gap in range(1, window + 1):
+                    later = slice(start + gap, start + gap + PIECE)
+                    n = len(codes[later])
+                    same = place[start : start + n] == place[later]
+                    x, y = codes[start : start + n][same], codes[later][same]
+                    found.append(np.minimum(x, y) * len(words) + np.maximum(x, y))
+                cells = np.concatenate(found)
+                cells.sort()
+                last = np.flatnonzero(np.append(cells[1:] != cells[:-1], np.ones(min(len(cells), 1), bool)))
+                cells, times = cells[last], np.diff(last, prepend=-1)
+                yield pa.RecordBatch.from_arrays([words.take(pa.array(cells // len(words))), words.take(pa.array(cells % len(words))), pa.array(times)], ["_x", "_y", "_n"])
+
+    words = rows.select(F.col(column).alias("_words"))
+    kind = words.schema["_words"].dataType.elementType
+    counted = words.mapInArrow(pairs, StructType().add("_x", kind).add("_y", kind).add("_n", "long"))
+    return counted.groupBy(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b")).agg(F.sum("_n").alias("n"))
 
 
 def information(counts: DataFrame) -> DataFrame:

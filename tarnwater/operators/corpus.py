@@ -161,6 +161,12 @@ def known_counts(tokenized: DataFrame, key: str, numbered: DataFrame, column: st
     return found.withColumn("n_ids", F.aggregate("times", F.lit(0), lambda a, n: a + n))
 
 
+def distinct_ids(indexed: DataFrame, key: str) -> DataFrame:
+    """The different ids of a document and how many it has with repeats (key, ids, n_ids), ids ascending, from what :func:`word_ids` found: no word
+    is looked up again."""
+    return indexed.select(key, F.sort_array(F.array_distinct("ids")).alias("ids"), F.size("ids").alias("n_ids"))
+
+
 def known_counts_by_shuffle(tokenized: DataFrame, key: str, numbered: DataFrame, column: str = "tokens") -> DataFrame:
     """The same for a vocabulary without a bound: words are joined by shuffle."""
     hits = tokenized.select(key, F.explode_outer(column).alias("word")).join(numbered, "word")
@@ -186,8 +192,8 @@ def words_per_label(counted: DataFrame, labels: DataFrame, key: str, label: str)
 def document_vectors(counted: DataFrame, key: str, vectors: DataFrame, dedupe: bool = True, numbered: DataFrame | None = None) -> DataFrame:
     """Mean of the word vectors of a document (key, n_ids, vector); NULL for a document without known words.
 
-    ``counted`` comes from :func:`known_counts`, ``vectors`` holds (word_id, vector). With ``dedupe`` each distinct word
-    is summed once but the sum is divided by the number of words with repeats; without it the result is the plain mean.
+    ``counted`` comes from :func:`known_counts` (or, with ``dedupe`` and ``numbered``, :func:`distinct_ids`), ``vectors`` holds (word_id, vector). With
+    ``dedupe`` each distinct word is summed once but the sum is divided by the number of words with repeats; without it the result is the plain mean.
     With ``numbered``, the bounded vocabulary, its vectors become one array, which tasks look ids up in and sum with numpy: nothing is exploded
     or shuffled. Without, vectors are joined by shuffle: one row per document and distinct word, combined before the shuffle.
     """
@@ -220,12 +226,12 @@ def _vectors_in_row(counted, key, vectors, dedupe, ids):
 
     def means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists, times = batch.column("ids"), batch.column("times")
+            lists = batch.column("ids")
             first, flat = lists.offsets[0].as_py(), lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
             found = (flat >= 0) & (flat < len(sizes))
             found[found] = sizes[flat[found]] >= 0
             bounds = np.append(0, np.cumsum(found))[lists.offsets.to_numpy() - first]
-            flat, weights = flat[found], None if dedupe else times.flatten().to_numpy(zero_copy_only=False)[found].astype(float)
+            flat, weights = flat[found], None if dedupe else batch.column("times").flatten().to_numpy(zero_copy_only=False)[found].astype(float)
             sums, nulls, lengths = [], [], np.zeros(len(batch), np.int64)
             for i in np.flatnonzero(np.diff(bounds)):
                 a, b = bounds[i], bounds[i + 1]
@@ -239,5 +245,5 @@ def _vectors_in_row(counted, key, vectors, dedupe, ids):
             ends = pa.array(np.append(0, np.cumsum(lengths)).astype(np.int32), mask=np.append(np.diff(bounds) == 0, False))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column("n_ids"), pa.ListArray.from_arrays(ends, values)], [key, "n_ids", "vector"])
 
-    rows = counted.select(key, "ids", "times", "n_ids")
+    rows = counted.select(key, "ids", "n_ids", *([] if dedupe else ["times"]))
     return rows.mapInArrow(means, rows.select(key, "n_ids", F.lit(None).cast("array<double>").alias("vector")).schema)

@@ -416,3 +416,12 @@ def test_vectors_in_tasks_equal_joined_ones(spark, dedupe):
     assert "MapInArrow" in plan and "zip_with" not in plan
     none = corpus.document_vectors(counted, "id", spark.createDataFrame([], "word_id int, vector array<float>"), dedupe, numbered)
     assert none.where("vector is not null").count() == 0 and none.count() == len(rows)
+
+
+def test_distinct_ids_equal_known_counts(spark):
+    docs = spark.createDataFrame([(1, ["b", "a", "x", "b"]), (2, None), (1, ["c"]), (None, ["x"])], "id int, tokens array<string>")
+    numbered = corpus.number_words(spark.createDataFrame([("a",), ("b",), ("c",)], "word string").limit(5))
+    found = corpus.distinct_ids(corpus.word_ids(docs, "id", numbered), "id")
+    rows = lambda df: sorted(map(repr, df.select("id", "ids", "n_ids").collect()))
+    assert rows(found) == rows(corpus.known_counts(docs, "id", numbered))
+    assert rows(found) == sorted(["Row(id=1, ids=[0, 1], n_ids=3)", "Row(id=2, ids=[], n_ids=0)", "Row(id=1, ids=[2], n_ids=1)", "Row(id=None, ids=[], n_ids=0)"])

@@ -50,3 +50,21 @@ def test_pairs_read_the_words_once(spark):
     assert {(r.a, r.b): r.n for r in counts.collect()} == {("a", "b"): 2}
     plan = counts._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("split(") == 1 and "zip_with" not in plan
+
+
+def test_tasks_count_pairs_piece_by_piece(spark, monkeypatch):
+    draw = random.Random(3)
+    docs = [[draw.randrange(4) if draw.random() < 0.9 else None for _ in range(draw.randrange(9))] for _ in range(40)] + [None, []]
+    wanted = Counter()
+    for d in docs:
+        kept = [w for w in d or () if w is not None]
+        for i, x in enumerate(kept):
+            wanted.update((min(x, y), max(x, y)) for y in kept[i + 1 : i + 6])
+    rows = spark.createDataFrame([(d,) for d in docs], "ids array<int>").coalesce(1)
+    for piece in (3, 1000):
+        monkeypatch.setattr(word_vectors, "PIECE", piece)
+        counts = word_vectors.cooccurrences(rows, "ids")
+        assert {(r.a, r.b): r.n for r in counts.collect()} == dict(wanted)
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan
+    assert counts.schema.simpleString() == "struct<a:int,b:int,n:bigint>"
