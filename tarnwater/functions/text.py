@@ -24,9 +24,14 @@ VOCABULARY_SIZE = 5000
 TOKEN_BLANKS = r"[ \t\n\r\f]+"
 
 
+def lowered(text: Column) -> Column:
+    """The text that tokens are cut from: no periods, lower case, NULL as empty."""
+    return F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("."), F.lit("")))
+
+
 def tokens(text: Column, stop_words: Sequence[str] = ()) -> Column:
     """Delete periods, lower, split on runs of blanks, drop stop words and empty tokens. NULL text gives no tokens."""
-    parts = F.split(F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("."), F.lit(""))), TOKEN_BLANKS)
+    parts = F.split(lowered(text), TOKEN_BLANKS)
     unwanted = list(dict.fromkeys(["", *stop_words]))
     return F.filter(parts, lambda t: ~t.isin(unwanted))
 

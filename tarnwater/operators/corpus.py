@@ -6,13 +6,14 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarnwater.functions.text import STOP_WORDS, VOCABULARY_SIZE, ngrams, tokens
+from tarnwater.functions.text import STOP_WORDS, VOCABULARY_SIZE, lowered, ngrams, tokens
 from tarnwater.operators.order import row_positions
 from tarnwater.session import row_bound
 
@@ -43,6 +44,61 @@ def gram_counts(tokenized: DataFrame, column: str = "tokens") -> DataFrame:
     return long.groupBy("word").agg(F.count_if(F.col("_pos") < F.col("_n")).alias("n"), F.count_if(F.col("_pos") >= F.col("_n")).alias("df"))
 
 
+def _cutter():
+    """A function that cuts texts at every single blank; runs of blanks leave empty pieces, which are no words. It is a local one, as tasks need not
+    have this package."""
+    blanks = bytes.maketrans(b"\t\n\r\f", b"    ")  # no byte of a longer sign is one of them
+
+    def pieces(texts: pa.StringArray) -> pa.ListArray:
+        bounds, data = texts.buffers()[1:]
+        even = pa.py_buffer((data.to_pybytes() if data else b"").translate(blanks))
+        return pc.split_pattern(pa.Array.from_buffers(texts.type, len(texts), [None, bounds, even], 0, texts.offset), " ")
+
+    return pieces
+
+
+def text_word_counts(docs: DataFrame, text: str = "text", stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
+    """What :func:`gram_counts` finds on the tokens of a text column (word, n, df), from the texts: tasks cut a batch of them and count its words
+    with numpy, so that no token becomes a row or a list, and only different words of a batch leave it."""
+
+    pieces = _cutter()
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = pieces(batch.column(0))
+            coded = lists.flatten().dictionary_encode()
+            codes, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+            cells = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy()) * len(words) + codes
+            cells.sort()
+            first = cells[np.append(np.ones(min(len(cells), 1), bool), cells[1:] != cells[:-1])]
+            n, df = (np.bincount(c, minlength=len(words)).astype(np.int64) for c in (codes, first % max(len(words), 1)))
+            yield pa.RecordBatch.from_arrays([words, pa.array(n), pa.array(df)], ["word", "n", "df"])
+
+    found = docs.select(lowered(F.col(text)).alias("text")).mapInArrow(counts, "word string, n bigint, df bigint")
+    summed = found.where(~F.col("word").isin(["", *dict.fromkeys(stop_words)])).groupBy("word")
+    return summed.agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+
+
+def text_word_ids(docs: DataFrame, key: str, numbered: DataFrame, text: str = "text") -> DataFrame:
+    """What :func:`word_ids` finds on the tokens of a text column (key, ids), from the texts. A vocabulary without stop words needs no other filter."""
+    listed = {r["word"]: r["word_id"] for r in _bounded(numbered).where(F.col("word").isNotNull()).groupBy("word").agg(F.min("word_id").alias("word_id")).collect()}
+    listed.pop("", None)
+    pieces = _cutter()
+
+    def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, number = pa.array(list(listed), pa.string()), np.array(list(listed.values()), np.int32)
+        for batch in batches:
+            lists = pieces(batch.column(1))
+            place = pc.index_in(lists.flatten(), value_set=words).fill_null(-1).to_numpy()
+            known = place >= 0
+            bounds = np.append(0, np.cumsum(known))[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+            found = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(number[place[known]], pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), found], [key, "ids"])
+
+    rows = docs.select(key, lowered(F.col(text)).alias("text"))
+    return rows.mapInArrow(ids, rows.select(key, F.lit(None).cast("array<int>").alias("ids")).schema)
+
+
 def top_ngrams(tokenized: DataFrame, high: int, top_n: int, column: str = "tokens", most: int = VOCABULARY_SIZE) -> DataFrame:
     """The ``top_n`` most frequent n-grams with n <= ``high`` (word, n), equal counts in order of the gram; the elements of the array hold no blank.
 

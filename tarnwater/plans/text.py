@@ -61,6 +61,12 @@ def kept_vocabulary(docs: DataFrame) -> DataFrame:
     return materialize(numbered_vocabulary(docs), "vocabulary").limit(WORDS)
 
 
+def kept_text_vocabulary(docs: DataFrame) -> DataFrame:
+    """The same from the texts (doc_id, text), whose tokens are written nowhere."""
+    counts = corpus.text_word_counts(docs)
+    return materialize(corpus.number_words(corpus.vocabulary(counts, WORDS, min_df=2)), "vocabulary").limit(WORDS)
+
+
 def indexed(t: Tables) -> DataFrame:
     """Documents as vocabulary ids (doc_id, ids)."""
     docs = tokenized(t)

@@ -425,3 +425,21 @@ def test_distinct_ids_equal_known_counts(spark):
     rows = lambda df: sorted(map(repr, df.select("id", "ids", "n_ids").collect()))
     assert rows(found) == rows(corpus.known_counts(docs, "id", numbered))
     assert rows(found) == sorted(["Row(id=1, ids=[0, 1], n_ids=3)", "Row(id=2, ids=[], n_ids=0)", "Row(id=1, ids=[2], n_ids=1)", "Row(id=None, ids=[], n_ids=0)"])
+
+
+def test_words_are_counted_and_looked_up_in_the_texts(spark):
+    draw = random.Random(4)
+    words = ["the", "A", "a.b", "É", "ΣΑΣ", "x", "y", "y.", ".", " ", "\x0b", "😀"]
+    odd = ["", None, " ", "\t\n", ". . ", "x\ty\n\r\fX  the", "X"]
+    texts = odd + ["".join(draw.choice(words) + draw.choice([" ", "  ", "\t", "\n", "\f\r", ""]) for _ in range(draw.randrange(30))) for _ in range(80)]
+    docs = spark.createDataFrame([(i % 70 or None, t) for i, t in enumerate(texts)], "id bigint, text string").repartition(3)
+    tokenized = corpus.tokenize(docs)
+    order = lambda df: sorted(map(repr, df.collect()))
+    found = corpus.text_word_counts(docs)
+    assert order(found) == order(corpus.gram_counts(tokenized)) and found.count() > 10
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "split(" not in plan and "Generate" not in plan
+    for numbered in (corpus.number_words(corpus.vocabulary(found, 8)), corpus.number_words(corpus.vocabulary(found, 8).where("false"))):
+        ids = corpus.text_word_ids(docs, "id", numbered)
+        assert order(ids) == order(corpus.word_ids(tokenized, "id", numbered)) and ids.schema["ids"].dataType.simpleString() == "array<int>"
+    assert corpus.text_word_counts(docs.where("false")).count() == 0

@@ -67,3 +67,14 @@ def test_weights_count_rows_and_odd_fits(spark, rows):
     assert constant.coefficients == (0.0,)
     with pytest.raises(ValueError, match="no rows"):
         penalised.fit(rows.where("a > 100"), NAMES, "yes", penalised.LOGISTIC)
+
+
+def test_steps_by_signs_equal_those_by_sweeps():
+    draw = np.random.default_rng(3)
+    for l1 in (0.0, 2.0, 40.0, 1e6):
+        x = draw.normal(size=(200, 12)) + draw.normal(size=(200, 1)) * 3
+        x[:, 5] = 0.0
+        beta, gradient, hessian = draw.normal(size=12), draw.normal(size=12) * 30, x.T @ x
+        absolute, square = np.append(0.0, np.full(11, l1)), np.append(0.0, np.full(11, 0.5))
+        slow = penalised._quadratic_step(beta, gradient, hessian, absolute, square, 200_000)
+        assert np.allclose(penalised.signed_step(beta, gradient, hessian, absolute, square), slow, atol=1e-8)
