@@ -44,35 +44,44 @@ def gram_counts(tokenized: DataFrame, column: str = "tokens") -> DataFrame:
     return long.groupBy("word").agg(F.count_if(F.col("_pos") < F.col("_n")).alias("n"), F.count_if(F.col("_pos") >= F.col("_n")).alias("df"))
 
 
-def _cutter():
-    """A function that cuts texts at every single blank; runs of blanks leave empty pieces, which are no words. It is a local one, as tasks need not
-    have this package."""
-    blanks = bytes.maketrans(b"\t\n\r\f", b"    ")  # no byte of a longer sign is one of them
+# Bytes of the texts that a task cuts at once, if there are more than one: so little fits into memory many times, and into caches.
+TEXT_PIECE = 1 << 22
+
 
-    def pieces(texts: pa.StringArray) -> pa.ListArray:
-        bounds, data = texts.buffers()[1:]
-        even = pa.py_buffer((data.to_pybytes() if data else b"").translate(blanks))
-        return pc.split_pattern(pa.Array.from_buffers(texts.type, len(texts), [None, bounds, even], 0, texts.offset), " ")
+def _cutter():
+    """A function that cuts the texts of a batch at every single blank, a piece of the batch after the other: (rows, their lists of words); runs of
+    blanks leave empty words, which are none. It is a local one, as tasks need not have this package."""
+    blanks, most = bytes.maketrans(b"\t\n\r\f", b"    "), TEXT_PIECE  # no byte of a longer sign is one of the blanks
+
+    def pieces(texts: pa.StringArray) -> Iterator[tuple[slice, pa.ListArray]]:
+        bounds, data = (np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset) if len(texts) else np.zeros(1, np.int32)), texts.buffers()[2]
+        start = 0
+        while start < len(texts):
+            end = max(start + 1, int(np.searchsorted(bounds, int(bounds[start]) + most, "right")) - 1)
+            even = (data.slice(int(bounds[start]), int(bounds[end] - bounds[start])).to_pybytes() if bounds[end] > bounds[start] else b"").translate(blanks)
+            piece = pa.Array.from_buffers(pa.string(), end - start, [None, pa.py_buffer((bounds[start : end + 1] - bounds[start]).tobytes()), pa.py_buffer(even)], 0)
+            yield slice(start, end), pc.split_pattern(piece, " ")
+            start = end
 
     return pieces
 
 
 def text_word_counts(docs: DataFrame, text: str = "text", stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
-    """What :func:`gram_counts` finds on the tokens of a text column (word, n, df), from the texts: tasks cut a batch of them and count its words
-    with numpy, so that no token becomes a row or a list, and only different words of a batch leave it."""
+    """What :func:`gram_counts` finds on the tokens of a text column (word, n, df), from the texts: tasks cut a piece of them and count its words
+    with numpy, so that no token becomes a row or a list, and only different words of a piece leave it."""
 
     pieces = _cutter()
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = pieces(batch.column(0))
-            coded = lists.flatten().dictionary_encode()
-            codes, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
-            cells = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy()) * len(words) + codes
-            cells.sort()
-            first = cells[np.append(np.ones(min(len(cells), 1), bool), cells[1:] != cells[:-1])]
-            n, df = (np.bincount(c, minlength=len(words)).astype(np.int64) for c in (codes, first % max(len(words), 1)))
-            yield pa.RecordBatch.from_arrays([words, pa.array(n), pa.array(df)], ["word", "n", "df"])
+            for _, lists in pieces(batch.column(0)):
+                coded = lists.flatten().dictionary_encode()
+                codes, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+                cells = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy()) * len(words) + codes
+                cells.sort()
+                first = cells[np.append(np.ones(min(len(cells), 1), bool), cells[1:] != cells[:-1])]
+                n, df = (np.bincount(c, minlength=len(words)).astype(np.int64) for c in (codes, first % max(len(words), 1)))
+                yield pa.RecordBatch.from_arrays([words, pa.array(n), pa.array(df)], ["word", "n", "df"])
 
     found = docs.select(lowered(F.col(text)).alias("text")).mapInArrow(counts, "word string, n bigint, df bigint")
     summed = found.where(~F.col("word").isin(["", *dict.fromkeys(stop_words)])).groupBy("word")
@@ -88,12 +97,12 @@ def text_word_ids(docs: DataFrame, key: str, numbered: DataFrame, text: str = "t
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, number = pa.array(list(listed), pa.string()), np.array(list(listed.values()), np.int32)
         for batch in batches:
-            lists = pieces(batch.column(1))
-            place = pc.index_in(lists.flatten(), value_set=words).fill_null(-1).to_numpy()
-            known = place >= 0
-            bounds = np.append(0, np.cumsum(known))[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
-            found = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(number[place[known]], pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), found], [key, "ids"])
+            for rows, lists in pieces(batch.column(1)):
+                place = pc.index_in(lists.flatten(), value_set=words).fill_null(-1).to_numpy()
+                known = place >= 0
+                bounds = np.append(0, np.cumsum(known))[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+                found = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(number[place[known]], pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column(0)[rows], found], [key, "ids"])
 
     rows = docs.select(key, lowered(F.col(text)).alias("text"))
     return rows.mapInArrow(ids, rows.select(key, F.lit(None).cast("array<int>").alias("ids")).schema)

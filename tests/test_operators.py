@@ -427,7 +427,9 @@ def test_distinct_ids_equal_known_counts(spark):
     assert rows(found) == sorted(["Row(id=1, ids=[0, 1], n_ids=3)", "Row(id=2, ids=[], n_ids=0)", "Row(id=1, ids=[2], n_ids=1)", "Row(id=None, ids=[], n_ids=0)"])
 
 
-def test_words_are_counted_and_looked_up_in_the_texts(spark):
+@pytest.mark.parametrize("piece", [1, 40, 1 << 22])
+def test_words_are_counted_and_looked_up_in_the_texts(spark, monkeypatch, piece):
+    monkeypatch.setattr(corpus, "TEXT_PIECE", piece)
     draw = random.Random(4)
     words = ["the", "A", "a.b", "É", "ΣΑΣ", "x", "y", "y.", ".", " ", "\x0b", "😀"]
     odd = ["", None, " ", "\t\n", ". . ", "x\ty\n\r\fX  the", "X"]
