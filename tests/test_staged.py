@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tarnwater.functions.random import keyed_uniform
 from tarnwater.models import fits, metrics, staged
 from tarnwater.operators import features
-from tarnwater.plans import REGISTRY
+from tarnwater.plans import REGISTRY, models
 
 
 @pytest.fixture(scope="module")
@@ -102,3 +102,37 @@ def test_cells_of_numbers_keep_all_of_the_error(spark):
     assert table.count() == 20 and table.agg(F.sum("n")).first()[0] == 3000
     weighted = staged.value_scores(table.withColumn("score1", vector_to_array("features")[0] * 2), [1], "y", "n", "inner")[1]
     assert weighted == pytest.approx(staged.value_scores(df.withColumn("score1", F.col("x") * 2), [1], "y")[1])
+
+
+def test_first_levels_of_a_forest_are_the_forest_of_smaller_depth(rows):
+    make = lambda depth, **more: fits.forest_classifier("label", trees=5, depth=depth, bins=8, **more).fit(rows)
+    deep = make(6, cacheNodeIds=True)
+    scored = staged.grown_stages(deep, rows, {f"score{d}": (d, 5) for d in (0, 1, 3, 4, 6, 9)}).cache()
+    assert scored.columns == [*rows.columns, *[f"score{d}" for d in (0, 1, 3, 4, 6, 9)]]
+    for depth in (0, 1, 3, 4, 6):
+        own = make(depth).transform(scored).withColumn("p", vector_to_array("probability")[1])
+        assert own.agg(F.max(F.abs(F.col("p") - F.col(f"score{depth}")))).first()[0] < 1e-9
+    assert scored.where("score6 != score9").isEmpty() and not scored.where("score3 != score4").isEmpty()
+
+
+def test_search_over_forests_fits_once_for_all_depths(spark, monkeypatch):
+    monkeypatch.setattr(models, "FOREST_GRID", {"depth": (1, 3), "bins": (4, 6), "trees": (2, 3)})
+    df = spark.range(900).select(F.col("id").alias("l_orderkey"), (F.col("id") % 7).cast("int").alias("l_linenumber"), F.col("id").alias("l_partkey"), *[F.floor(20 * keyed_uniform(i, "id")).cast("double").alias(n) for i, n in enumerate(models._HEAVY[1:])])
+    lines = df.withColumns({"label": (F.col("l_quantity") + F.col("l_tax") + 4 * keyed_uniform(9, "l_orderkey") > 20).cast("double"), "part": (F.col("l_orderkey") % 5 == 0).cast("int")})
+    fitted, make = [], fits.forest_classifier
+    monkeypatch.setattr(fits, "forest_classifier", lambda label, **p: fitted.append(p["depth"]) or make(label, **p))
+    found = models.class_search(lines, boosted=False)
+    assert fitted == [3] * 6  # two numbers of bins, three folds
+    folded = staged.fold_of(lines.where("part = 0").drop("part"), models._LINE_KEYS, models.TUNED_FOLDS, fits.SEED)
+    tables = {b: staged.cells(staged.binned(folded, folded, models._HEAVY, b), models._HEAVY, "label", "_fold") for b in (4, 6)}
+    fit = lambda part, p: make("label", trees=3, weightCol="n", **p).fit(part)
+    score = lambda model, part: staged.class_scores(staged.forest_stages(model, part, (2, 3), classes=True), (2, 3), weight="n")
+    each = staged.search_folds(lambda p: tables[p["bins"]], [{"depth": d, "bins": b} for d in (1, 3) for b in (4, 6)], "trees", (2, 3), fit, score, models.TUNED_FOLDS)
+    assert found.points == each.points and len(each.points) == 8
+    assert all(abs(a["auc"] - b["auc"]) < 0.05 and abs(a["accuracy"] - b["accuracy"]) < 0.05 for a, b in zip(found.scores, each.scores, strict=True))  # rows of cells may come in another order
+
+
+def test_scores_of_no_rows_and_of_null_labels(spark):
+    scored = spark.createDataFrame([(1.0, 0.9), (0.0, 0.2), (0.0, 0.7), (None, 0.8)], "label double, score1 double")
+    assert staged.class_scores(scored, [1])[1] == pytest.approx({"accuracy": 0.5, "auc": 1.0})
+    assert staged.class_scores(scored.where("false"), [1])[1] == {"accuracy": None, "auc": None}
