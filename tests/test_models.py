@@ -2,6 +2,7 @@
 
 import json
 import random
+import threading
 
 import numpy as np
 import pytest
@@ -102,6 +103,47 @@ def test_splits_are_fitted_beside_each_other_with_few_blocks(spark):
     assert {(r["model"], r["split"], r["metric"]): r["score"] for r in found}["2", "40:60", "mse"] == pytest.approx(expected, rel=1e-4)
 
 
+def test_large_fits_get_more_blocks_and_wait_for_each_other(spark, monkeypatch):
+    ratings = spark.range(600).select((F.col("id") % 30).cast("int").alias("u"), (F.col("id") % 19).cast("int").alias("i"), (F.col("id") % 5).cast("double").alias("r"), F.col("id").cast("int").alias("t"))
+    makers = {str(n): recommend.recommender("u", "i", "r", rank=2, iterations=n, blocks=3) for n in (1, 2)}
+    plain = recommend.score_by_time_split(ratings, F.col("t"), (0.4, 0.8), makers, "r").collect()
+    fit, running, seen = recommend.ALS.fit, [], []
+
+    def watched(self, rows):
+        n = rows.count()
+        running.append(n)
+        seen.append((n, self.getNumUserBlocks(), self.getNumItemBlocks(), sum(running)))
+        try:
+            return fit(self, rows)
+        finally:
+            running.remove(n)
+
+    monkeypatch.setattr(recommend.ALS, "fit", watched)
+    monkeypatch.setattr(recommend, "BLOCK_RATINGS", 100)
+    monkeypatch.setattr(recommend, "RATINGS_BESIDE", 485)
+    found = recommend.score_by_time_split(ratings, F.col("t"), (0.4, 0.8), makers, "r").collect()
+    assert sorted(x[:3] for x in seen) == [(240, 3, 3), (240, 3, 3), (480, 5, 5), (480, 5, 5)]
+    assert max(x[3] for x in seen) <= 485
+    assert [r[:3] for r in found] == [r[:3] for r in plain] and found[0] == plain[0]  # the small split has its three blocks in both
+    assert all(m.getIntermediateStorageLevel() == "DISK_ONLY" and m.getNumUserBlocks() == 3 for m in makers.values())
+
+
+def test_a_job_larger_than_the_room_is_alone():
+    room, order = recommend.Room(10), []
+
+    def small():
+        with room.of(1):
+            order.append(room.used)
+
+    with room.of(25):
+        late = threading.Thread(target=small)
+        late.start()
+        late.join(0.2)
+        assert order == [] and room.used == 25
+    late.join(5)
+    assert order == [1] and room.used == 0
+
+
 def test_folds_from_moments_equal_the_general_search(spark):
     rng = random.Random(12)
     rows = [(i, rng.gauss(50, 3), float(rng.randrange(4)), 7.0) for i in range(400)]
